@@ -1,0 +1,118 @@
+"""Keyed state processors for the streaming forms (STA2-STA4, STA6, STA8).
+
+Spark gives a processor the rows of one key and one micro-batch in no
+particular order, so each sorts them by arrival number or event time first.
+Calendar days and conditions are computed as columns before the shuffle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from tidemark.operators.visits import NEW, RETURNING
+
+
+class FirstVisitProcessor(StatefulProcessor):
+    """STA2: one date per device, written once and never changed."""
+
+    def __init__(self, is_new: str, order: str):
+        self.is_new, self.order = is_new, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first_visit", "day string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batches = rows
+        if self.first.exists():
+            day = self.first.get()[0]
+        else:
+            batches = list(rows)
+            firsts = [b.loc[b[self.order].idxmin(), [self.order, "_own_day"]] for b in batches]
+            day = min(firsts, key=lambda r: r[self.order])["_own_day"]
+            self.first.update((day,))
+        for batch in batches:
+            late = (batch[self.is_new] == NEW) & (batch["_day"] != day)
+            batch = batch.drop(columns=["_day", "_own_day"])
+            batch[self.is_new] = batch[self.is_new].mask(late, RETURNING)
+            yield batch
+
+
+class DailyVisitProcessor(StatefulProcessor):
+    """STA3: the day of the device's last emitted entry page, with optional expiry (STA4)."""
+
+    def __init__(self, order: str, ttl_ms: int | None):
+        self.order, self.ttl_ms = order, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last_visit", "day string", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(self.order)
+        day = batch["visit_date"]
+        before = day.shift()
+        before.iloc[0] = self.last.get()[0] if self.last.exists() else None
+        fresh = batch[day != before]
+        if len(fresh):
+            self.last.update((day.iloc[-1],))
+            yield fresh
+
+
+class NextMatchProcessor(StatefulProcessor):
+    """STA8: adjacent pairs in event-time order, decided once the watermark has passed them.
+
+    ``waiting`` holds rows above the watermark; ``tail`` the newest row below
+    it, which is the possible first half of the next pair. One timer per
+    micro-batch and key, at the newest row, triggers the work.
+    """
+
+    FIELDS = ["ts", "seq", "is_first", "is_second", "row"]
+
+    def __init__(self, key: str, within_ms: int):
+        self.key, self.within_ms = key, within_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        schema = "ts bigint, seq bigint, is_first boolean, is_second boolean, row string"
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", schema)
+        self.tail = handle.getValueState("tail", schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest = None
+        for batch in rows:
+            if len(batch):
+                self.waiting.appendList([self._plain(r) for r in batch[self.FIELDS].itertuples(index=False)])
+                top = int(batch["ts"].max())
+                newest = top if newest is None else max(newest, top)
+        if newest is not None:
+            self.handle.registerTimer(newest)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        settled = sorted((r for r in held if r[0] <= watermark), key=lambda r: r[:2])
+        if not settled:
+            yield pd.DataFrame()
+            return
+        later = [r for r in held if r[0] > watermark]
+        if later:
+            self.waiting.put(later)
+        else:
+            self.waiting.clear()
+        chain = ([tuple(self.tail.get())] if self.tail.exists() else []) + settled
+        self.tail.update(settled[-1])
+        pairs = [
+            (key[0], a[0], a[1], a[4], b[0], b[1], b[4])
+            for a, b in zip(chain, chain[1:])
+            if a[2] and b[3] and b[0] - a[0] < self.within_ms
+        ]
+        names = [self.key, "first_ts", "first_seq", "first_row", "second_ts", "second_seq", "second_row"]
+        yield pd.DataFrame(pairs, columns=names)
+
+    @staticmethod
+    def _plain(row) -> tuple:
+        text = None if pd.isna(row.row) else row.row
+        return (int(row.ts), int(row.seq), bool(row.is_first), bool(row.is_second), text)
