@@ -15,7 +15,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from tidemark.functions.paths import is_blank, is_missing
 from tidemark.functions.time import DISPLAY_ZONE
 from tidemark.operators.patterns import JUMP_OUT_MS
-from tidemark.operators.records import log_records, parse_records
+from tidemark.operators.records import log_records
 from tidemark.operators.split import route_channels
 from tidemark.plans.jobs import page_records, route_dimensions
 from tidemark.sinks.dimensions import append_changes
@@ -33,14 +33,22 @@ def split_traffic_stream(
 ) -> DataFrame:
     """Traffic split on a stream of ``value`` and ``order``: channel rows as in the batch plan.
 
-    Dirty rows get a key of their own text's hash, so they spread over the
-    tasks and share one state entry per text instead of one for all.
+    Only the text and what the repair needs pass through the keyed state. Dirty
+    rows are keyed by a hash of their text, which spreads them over the tasks.
     """
-    parsed = log_records(raw)
-    key = F.coalesce(F.col("mid"), F.concat(F.lit("\u0000dirty-"), F.xxhash64("value").cast("string")))
-    slim = parsed.withColumn("_key", key).drop("record")
-    repaired = repair_first_visit_stream(slim, key="_key", order=order, tz=tz).drop("_key")
-    return route_channels(parse_records(repaired), context)
+    own_key = F.concat(F.lit("dirty "), F.xxhash64("value").cast("string"))
+    slim = log_records(raw).select(
+        F.coalesce("mid", own_key).alias("device"),
+        F.col(order),
+        "value",
+        F.coalesce("is_new", F.lit("")).alias("repaired"),
+        F.coalesce("ts", F.lit(0)).alias("ts"),
+    )
+    repaired = repair_first_visit_stream(slim, "device", "repaired", "ts", order, tz)
+    records = log_records(repaired.drop("device", "ts")).withColumn(
+        "is_new", F.when(F.col("is_dirty"), F.col("is_new")).otherwise(F.col("repaired"))
+    )
+    return route_channels(records.drop("repaired"), context)
 
 
 def daily_unique_visitors_stream(

@@ -30,7 +30,7 @@ def repair_first_visit_stream(
     use_rocksdb_state(df.sparkSession)
     day = to_date_text(ts, tz)
     own = F.when(F.col(is_new) == NEW, day).otherwise(previous_local_date(ts, tz).cast("string"))
-    keyed = df.where(F.col(key).isNotNull()).withColumns({"_day": day, "_own_day": own})
+    keyed = df.where(F.col(key).isNotNull()).withColumns({"visit_day": day, "own_day": own})
     return keyed.groupBy(key).transformWithStateInPandas(
         FirstVisitProcessor(is_new, order), df.schema, "Append", "None"
     )

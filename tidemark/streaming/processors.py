@@ -2,7 +2,9 @@
 
 Spark gives a processor the rows of one key and one micro-batch in no
 particular order, so each sorts them by arrival number or event time first.
-Calendar days and conditions are computed as columns before the shuffle.
+Calendar days and conditions are computed as columns before the shuffle. Spark
+hands the rows over as named tuples, so column names must be Python identifiers
+that do not start with an underscore.
 """
 
 from __future__ import annotations
@@ -30,12 +32,12 @@ class FirstVisitProcessor(StatefulProcessor):
             day = self.first.get()[0]
         else:
             batches = list(rows)
-            firsts = [b.loc[b[self.order].idxmin(), [self.order, "_own_day"]] for b in batches]
-            day = min(firsts, key=lambda r: r[self.order])["_own_day"]
+            firsts = [b.loc[b[self.order].idxmin(), [self.order, "own_day"]] for b in batches]
+            day = min(firsts, key=lambda r: r[self.order])["own_day"]
             self.first.update((day,))
         for batch in batches:
-            late = (batch[self.is_new] == NEW) & (batch["_day"] != day)
-            batch = batch.drop(columns=["_day", "_own_day"])
+            late = (batch[self.is_new] == NEW) & (batch["visit_day"] != day)
+            batch = batch.drop(columns=["visit_day", "own_day"])
             batch[self.is_new] = batch[self.is_new].mask(late, RETURNING)
             yield batch
 
