@@ -36,6 +36,10 @@ def test_text_to_epoch(spark):
 def test_round_trip_and_previous_day(spark):
     text = F.lit("2024-03-10 02:30:00")  # falls in a gap of the session zone
     back = t.to_datetime_text(t.to_epoch_ms(text, full=True))
+    gap = F.lit("2024-03-10 02:30:00").cast("timestamp_ntz")
+    assert one(spark, t.ntz_to_epoch_ms(gap)) == (1710037800000,)
+    text_in_gap = t.to_datetime_text(t.to_epoch_ms(F.lit("2024-03-10 10:30:00"), full=True), "UTC")
+    assert one(spark, text_in_gap) == ("2024-03-10 02:30:00",)
     prev = t.previous_local_date(F.lit(MS)).cast("string")
     assert one(spark, back, prev) == ("2024-03-10 02:30:00", "2023-12-31")
 

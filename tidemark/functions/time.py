@@ -27,8 +27,12 @@ def _epoch() -> Column:
 
 
 def ntz_to_epoch_ms(ts: Column | str) -> Column:
-    """UTC wall-clock ``TIMESTAMP_NTZ`` to epoch milliseconds (truncating)."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), _col(ts))
+    """UTC wall-clock ``TIMESTAMP_NTZ`` to epoch milliseconds (truncating).
+
+    Interval division, because ``timestampdiff`` goes through the session zone
+    and is an hour off in its clock-change gaps.
+    """
+    return F.call_function("div", _col(ts) - _epoch(), F.expr("INTERVAL '0.001' SECOND"))
 
 
 def epoch_ms_to_local(ms: Column | str, tz: str = DISPLAY_ZONE) -> Column:
