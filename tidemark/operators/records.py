@@ -33,18 +33,14 @@ def parse_records(
     """PRJ1: add ``record VARIANT`` and typed ``fields`` read from it.
 
     NULL marks text that is not exactly one JSON object. The one-element
-    generators are barriers: a filter on a parsed field would otherwise move
-    below the projection and parse every row a second time.
+    ``explode`` steps are barriers: a filter on a parsed field would otherwise
+    move below the projection and parse every row a second time.
     """
     parsed = df.withColumn("_parsed", F.explode(F.array(parse_text(value))))
     alone = F.try_variant_get("_parsed", "$[1]", "variant").isNull()
-    wanted = {record: ("", "variant")}
-    wanted.update(fields or {})
-    columns = []
-    for name, (path, dtype) in wanted.items():
-        full_path = f"$[0].{path}" if path else "$[0]"
-        columns.append(F.when(alone, F.try_variant_get("_parsed", full_path, dtype)).alias(name))
-    return parsed.select(*df.columns, F.inline(F.array(F.struct(*columns))))
+    first = F.when(alone, F.try_variant_get("_parsed", "$[0]", "variant"))
+    read = [F.try_variant_get(record, f"$.{path}", dtype).alias(c) for c, (path, dtype) in (fields or {}).items()]
+    return parsed.withColumn(record, F.explode(F.array(first))).select(*df.columns, record, *read)
 
 
 def log_records(df: DataFrame, value: str = "value") -> DataFrame:

@@ -27,10 +27,18 @@ def set_is_new(common: Column, is_new: Column) -> Column:
     )
 
 
-def _item(channel: str, position: Column, value: Column) -> Column:
-    return F.struct(
-        F.lit(channel).alias("channel"), position.cast("int").alias("position"), value.alias("value")
-    )
+def _object_text(*members: tuple[str, Column], others: Column | None = None) -> Column:
+    """JSON object text from member names and JSON value texts; NULL values are left out."""
+    texts = [F.concat(F.lit(f'"{name}":'), text) for name, text in members]
+    texts += [] if others is None else [others]
+    return F.concat(F.lit("{"), F.concat_ws(",", *texts), F.lit("}"))
+
+
+def _other_members(record: Column, *left_out: str) -> Column:
+    """The record's remaining members as JSON text without the outer braces; NULL if there are none."""
+    fields = F.map_filter(record.try_cast("map<string,variant>"), lambda name, _: ~name.isin(*left_out))
+    text = F.to_json(fields)
+    return F.when(F.length(text) > 2, F.substring(text, F.lit(2), F.length(text) - 2))
 
 
 def route_channels(
@@ -51,63 +59,72 @@ def route_channels(
     common from the element and leaves the time out of action rows.
     ``keep_start_context`` adds common and time to start rows.
 
-    Every record is expanded once: there is no second read and no shuffle.
+    The log is read once and not shuffled. Text is written only after the
+    channels are known, so a filter on ``channel`` or a plan that ignores
+    ``value`` saves that work; page and common fields are written once per
+    record and reused for its elements.
     """
     if context not in ("record", "element"):
         raise ValueError("context is 'record' or 'element'")
-    record, ts = F.col("record"), F.col("ts")
-    common = read_object(record, "common")
-    repaired = F.col("is_new") != read_string(record, "common.is_new")
-    fixed_common = F.when(repaired, set_is_new(common, F.col("is_new"))).otherwise(common)
-    actions, displays = read_array(record, "actions"), read_array(record, "displays")
-    err, start, page = (read_object(record, name) for name in ("err", "start", "page"))
-
-    def rebuilt(*dropped: str) -> Column:
-        fields = record.try_cast("map<string,variant>")
-        if dropped:
-            fields = F.map_filter(fields, lambda name, _: ~name.isin(*dropped))
-        return F.to_json(
-            F.transform_values(
-                fields, lambda name, field: F.when((name == "common") & repaired, fixed_common).otherwise(field)
-            )
-        )
+    record, channel, item = F.col("record"), F.col("channel"), F.col("_item")
+    kept = [c for c in df.columns if c not in ("value", "record", "is_dirty")]
+    original = [c for c in df.columns if c != "is_dirty"]
 
-    # A record that nothing changes keeps its text, which is cheaper than writing it anew.
-    whole = F.when(repaired, rebuilt()).otherwise(F.col("value"))
-    has_parts = F.coalesce(
-        read_string(record, "actions"), read_string(record, "displays")
-    ).isNotNull()
-    main = F.when(repaired | has_parts, rebuilt("actions", "displays")).otherwise(F.col("value"))
-
-    def element(name: str, with_ts: bool):
-        def build(item: Column, position: Column) -> Column:
-            if context == "record":
-                fields = [page.alias("page"), fixed_common.alias("common")]
-            else:
-                fields = [read_string(item, "page").alias("page"), read_string(item, "common").alias("common")]
-            fields.append(item.alias(name))
-            if with_ts:
-                fields.append(ts.alias("ts"))
-            return _item(name, position, F.to_json(F.struct(*fields)))
-
-        return build
-
-    nothing = F.array().cast("array<struct<channel:string,position:int,value:string>>")
-    parts = F.concat(
-        F.array(_item("page", F.lit(0), main)),
-        F.coalesce(F.transform(actions, element("action", context == "record")), nothing),
-        F.coalesce(F.transform(displays, element("display", True)), nothing),
+    err, start, common = (read_object(record, name) for name in ("err", "start", "common"))
+    repaired = F.col("is_new") != read_string(record, "common.is_new")
+    channels = (
+        F.when(F.col("is_dirty"), F.array(F.lit(DIRTY)))
+        .when(err.isNotNull(), F.array(F.lit("err")))
+        .when(start.isNotNull(), F.array(F.lit("start")))
+        .otherwise(F.array(F.lit("page"), F.lit("action"), F.lit("display")))
+    )
+    facts = df.withColumns({"_channels": channels, "_repaired": F.coalesce(repaired, F.lit(False))})
+    common_text = F.to_json(F.when(F.col("_repaired"), set_is_new(common, F.col("is_new"))).otherwise(common))
+    page_text = F.to_json(read_object(record, "page"))
+    has_text = F.element_at("_channels", 1) == "page"
+    texts = facts.withColumns(
+        {
+            "_common": F.when(has_text | F.col("_repaired"), common_text),
+            "_page": F.when(has_text, page_text),
+        }
     )
-    start_text = F.to_json(
-        F.struct(fixed_common.alias("common"), start.alias("start"), ts.alias("ts"))
+    # The outer form keeps Spark from adding a "not empty" filter that works the list out twice.
+    by_channel = texts.select(*original, "_repaired", "_common", "_page", F.explode_outer("_channels").alias("channel"))
+    items = (
+        F.when(channel == "action", read_array(record, "actions"))
+        .when(channel == "display", read_array(record, "displays"))
+        .otherwise(F.array(F.lit(None).cast("variant")))
+    )
+    rows = by_channel.select("*", F.posexplode(items).alias("position", "_item"))
+
+    ts_text = F.col("ts").cast("string")
+    element = {
+        name: [("page", F.col("_page")), ("common", F.col("_common"))]
+        if context == "record"
+        else [(field, F.to_json(read_string(item, field).cast("variant"))) for field in ("page", "common")]
+        for name in ("action", "display")
+    }
+    for name, members in element.items():
+        members.append((name, F.to_json(item)))
+        if name == "display" or context == "record":
+            members.append(("ts", ts_text))
+    # Records that nothing changes keep their text, which is cheaper than writing it anew.
+    parts = F.coalesce(read_string(record, "actions"), read_string(record, "displays"))
+    others = _other_members(record, "common", "page", "actions", "displays")
+    main = _object_text(("common", F.col("_common")), ("page", F.col("_page")), others=others)
+    whole = _object_text(("common", F.col("_common")), others=_other_members(record, "common"))
+    start_object = F.to_json(read_object(record, "start"))
+    start_text = (
+        _object_text(("common", F.to_json(common)), ("start", start_object), ("ts", ts_text))
         if keep_start_context
-        else start
+        else start_object
     )
-    routed = (
-        F.when(F.col("is_dirty"), F.array(_item(DIRTY, F.lit(0), F.col("value"))))
-        .when(err.isNotNull(), F.array(_item("err", F.lit(0), whole)))
-        .when(start.isNotNull(), F.array(_item("start", F.lit(0), start_text)))
-        .otherwise(parts)
+    value = (
+        F.when(channel == "action", _object_text(*element["action"]))
+        .when(channel == "display", _object_text(*element["display"]))
+        .when((channel == "page") & (F.col("_repaired") | parts.isNotNull()), main)
+        .when((channel == "err") & F.col("_repaired"), whole)
+        .when(channel == "start", start_text)
+        .otherwise(F.col("value"))
     )
-    kept = [c for c in df.columns if c not in ("value", "record", "is_dirty")]
-    return df.select(*kept, F.inline(routed))
+    return rows.select(*kept, "channel", "position", value.alias("value"))

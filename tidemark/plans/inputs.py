@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) ->
     return spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the files have fewer splits than that.
+
+    Writing and parsing text is costly per row, and a small table is a single
+    split. A large one has enough splits and is not shuffled.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _counter() -> F.Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -61,7 +73,7 @@ def raw_log(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame
     text = F.to_json(record)
     broken = (kind == "purchase") & (k >= 90)
     value = F.when(broken, F.substring(text, F.lit(1), F.length(text) - 2)).otherwise(text)
-    return _events(spark, sf_dir, stream).select("seq", value.alias("value"))
+    return _spread(_events(spark, sf_dir, stream)).select("seq", value.alias("value"))
 
 
 def raw_changes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
@@ -82,7 +94,7 @@ def raw_changes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataF
         kind.alias("type"),
         data.alias("data"),
     )
-    return table(spark, sf_dir, "orders", stream).select(
+    return _spread(table(spark, sf_dir, "orders", stream)).select(
         F.col("o_orderkey").alias("seq"), F.to_json(record).alias("value")
     )
 
