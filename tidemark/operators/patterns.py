@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidemark.operators.sizes import floor_div
+
 # Fixed value: longest gap between the two entry pages of a jump-out.
 JUMP_OUT_MS = 10 * 1000
 
@@ -38,7 +40,7 @@ def match_next(
     if bucket_ms < within_ms:
         raise ValueError("bucket_ms must not be below within_ms")
 
-    bucket = F.floor(F.col(ts) / F.lit(bucket_ms)).cast("bigint")
+    bucket = floor_div(F.col(ts), bucket_ms)
     early = F.pmod(F.col(ts), F.lit(bucket_ms)) < within_ms
     kept = F.coalesce(first, F.lit(False)) | F.coalesce(second, F.lit(False))
     rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(

@@ -168,11 +168,11 @@ def route_as_of(
 def _carry_versions(log: DataFrame, hot: DataFrame, table: str, order: str, group_rows: int) -> DataFrame:
     """For hot tables: the version in force at the start of every later chunk it spans."""
     hot_log = log.join(F.broadcast(hot), F.col(table) == F.col("_hot_key")).withColumn(
-        "_chunk", sizes.chunk_of(F.col(order), group_rows)
+        "_chunk", sizes.floor_div(F.col(order), group_rows)
     )
     last = latest_per_key(hot_log, [table, "_chunk"], [order])
     following = F.lead("_chunk").over(W.partitionBy(table).orderBy("_chunk"))
-    until = F.coalesce(following, sizes.chunk_of(F.col("_last_order"), group_rows))
+    until = F.coalesce(following, sizes.floor_div(F.col("_last_order"), group_rows))
     start = F.col("_chunk") + 1
     reach = last.withColumn("_until", until)
     chunks = F.when(start <= F.col("_until"), F.sequence(start, F.col("_until")))

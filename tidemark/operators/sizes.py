@@ -13,12 +13,17 @@ GROUP_ROWS = 4_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (rows and text size); reads at most ``max_rows + 1`` rows."""
+    """Measure ``df`` (rows and text size) in one pass that sends two numbers per task."""
     size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    rows, total = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    rows, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return rows <= max_rows and total <= max_bytes
 
 
+def floor_div(value: Column, width: int) -> Column:
+    """Exact integer floor division; ``/`` would go through a double."""
+    return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width)).cast("bigint")
+
+
 def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, *extra: Column) -> DataFrame:
     """Keys with more than ``group_rows`` rows: ``_hot_key`` and any ``extra`` aggregates.
 
@@ -34,10 +39,6 @@ def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, *extra: Colu
     )
 
 
-def chunk_of(order: Column, group_rows: int) -> Column:
-    return F.floor(order / F.lit(group_rows)).cast("bigint")
-
-
 def with_chunk(df: DataFrame, key: str, order: str, hot: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Add ``_chunk``, an order-contiguous chunk number that splits hot keys only.
 
@@ -45,7 +46,7 @@ def with_chunk(df: DataFrame, key: str, order: str, hot: DataFrame, group_rows:
     key, so one (key, chunk) pair never holds more than ``group_rows`` rows.
     """
     marks = F.broadcast(hot.select("_hot_key"))
-    chunk = F.when(F.col("_hot_key").isNotNull(), chunk_of(F.col(order), group_rows))
+    chunk = F.when(F.col("_hot_key").isNotNull(), floor_div(F.col(order), group_rows))
     return (
         df.join(marks, F.col(key) == F.col("_hot_key"), "left")
         .withColumn("_chunk", F.coalesce(chunk, F.lit(0).cast("bigint")))

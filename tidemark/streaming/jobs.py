@@ -34,15 +34,16 @@ def split_traffic_stream(
     """Traffic split on a stream of ``value`` and ``order``: channel rows as in the batch plan.
 
     Only the text and what the repair needs pass through the keyed state. Dirty
-    rows are keyed by a hash of their text, which spreads them over the tasks.
+    rows are keyed by a hash of their text, which spreads them over the tasks;
+    they leave no state.
     """
     own_key = F.concat(F.lit("dirty "), F.xxhash64("value").cast("string"))
     slim = log_records(raw).select(
         F.coalesce("mid", own_key).alias("device"),
         F.col(order),
         "value",
-        F.coalesce("is_new", F.lit("")).alias("repaired"),
-        F.coalesce("ts", F.lit(0)).alias("ts"),
+        F.col("is_new").alias("repaired"),
+        F.when(~F.col("is_dirty"), F.col("ts")).alias("ts"),
     )
     repaired = repair_first_visit_stream(slim, "device", "repaired", "ts", order, tz)
     records = log_records(repaired.drop("device", "ts")).withColumn(

@@ -18,7 +18,10 @@ from tidemark.operators.visits import NEW, RETURNING
 
 
 class FirstVisitProcessor(StatefulProcessor):
-    """STA2: one date per device, written once and never changed."""
+    """STA2: one date per device, written once and never changed.
+
+    Rows without a day (dirty ones) pass unchanged and leave no state.
+    """
 
     def __init__(self, is_new: str, order: str):
         self.is_new, self.order = is_new, order
@@ -27,16 +30,18 @@ class FirstVisitProcessor(StatefulProcessor):
         self.first = handle.getValueState("first_visit", "day string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batches = rows
+        batches, day = rows, None
         if self.first.exists():
             day = self.first.get()[0]
         else:
             batches = list(rows)
-            firsts = [b.loc[b[self.order].idxmin(), [self.order, "own_day"]] for b in batches]
-            day = min(firsts, key=lambda r: r[self.order])["own_day"]
-            self.first.update((day,))
+            dated = [b[b["own_day"].notna()] for b in batches]
+            firsts = [b.loc[b[self.order].idxmin(), [self.order, "own_day"]] for b in dated if len(b)]
+            if firsts:
+                day = min(firsts, key=lambda r: r[self.order])["own_day"]
+                self.first.update((day,))
         for batch in batches:
-            late = (batch[self.is_new] == NEW) & (batch["visit_day"] != day)
+            late = (batch[self.is_new] == NEW) & batch["visit_day"].notna() & (batch["visit_day"] != day)
             batch = batch.drop(columns=["visit_day", "own_day"])
             batch[self.is_new] = batch[self.is_new].mask(late, RETURNING)
             yield batch
