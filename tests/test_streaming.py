@@ -1,15 +1,15 @@
 import json
 import os
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import models
 from test_visits import D1, frame, random_rows
 from tidemark.functions.paths import is_blank
-from tidemark.operators.visits import first_entry_per_day, repair_first_visit
 from tidemark.plans.jobs import daily_unique_visitors, jump_outs, split_traffic
-from tidemark.session import shared_folder
 from tidemark.sources.text import landed_text, read_log
 from tidemark.sinks.channels import stream_channels
 from tidemark.streaming.jobs import (
@@ -116,3 +116,66 @@ def test_page_jobs_stream_equal_batch(spark, tmp_path):
     got = {(r.mid, r.first_row, r.second_row) for r in jumps.collect()}
     assert got == {(r.mid, r["first"].value, r["second"].value) for r in jump_outs(raw).collect()}
     assert got
+
+
+def add_file(spark, path, index, rows, schema):
+    os.makedirs(path, exist_ok=True)
+    name = f"{path}/part-{index}.parquet"
+    pq.write_table(spark.createDataFrame(rows, schema).toArrow(), name)
+    os.utime(name, (1_700_000_000 + 10 * index,) * 2)
+
+
+SCHEMA = "seq bigint, mid string, ts bigint, is_new string, last_page_id string"
+
+
+def test_state_survives_a_restart(spark, tmp_path):
+    rows = random_rows(400, 8, 9)
+    path, out, ckpt = (str(tmp_path / name) for name in ("in", "out", "ckpt"))
+    for index, part in enumerate((rows[:200], rows[200:])):
+        add_file(spark, path, index, part, SCHEMA)
+        found = first_entry_per_day_stream(landed_text(spark, path, True, SCHEMA), ttl_ms=None)
+        run_to_end(found.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt), 120)
+    got = [r.seq for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == models.daily_uv([(r[0], r[1], r[2], r[4]) for r in rows])
+
+
+def test_rows_behind_the_watermark(spark, tmp_path):
+    """Rows count until the watermark of the batch before has passed them; later ones are ignored."""
+    path, entry = str(tmp_path / "in"), is_blank("last_page_id")
+    row = lambda seq, ts: (seq, "m", D1 + ts, "0", None)
+    add_file(spark, path, 0, [row(0, 0), row(1, 50_000)], SCHEMA)
+    add_file(spark, path, 1, [row(2, 50_000), row(3, 1_000)], SCHEMA)
+    add_file(spark, path, 2, [row(4, 90_000), row(5, 2_000), row(6, 50_000)], SCHEMA)
+    add_file(spark, path, 3, [row(7, 190_000), row(8, 51_000)], SCHEMA)
+    source = landed_text(spark, path, True, SCHEMA, files_per_trigger=1)
+    out = run(spark, tmp_path, match_next_stream(source, entry, entry, 10_000, row="mid"))
+    assert {(r.first_seq, r.second_seq) for r in out.collect()} == {(0, 3), (1, 2), (2, 6), (6, 8)}
+
+
+def test_last_visit_expires(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    add_file(spark, path, 0, [(0, "m", D1, "0", None), (1, "m", D1, "0", None)], SCHEMA)
+    found = first_entry_per_day_stream(landed_text(spark, path, True, SCHEMA), ttl_ms=2_000)
+    query = (
+        found.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", str(tmp_path / "ckpt"))
+        .trigger(processingTime="500 milliseconds")
+        .start()
+    )
+    try:
+        seen = lambda: sorted(r.seq for r in spark.read.schema(found.schema).parquet(out).collect())
+        wait_for(lambda: os.path.exists(out + "/_spark_metadata") and seen() == [0], 60)
+        time.sleep(4)
+        add_file(spark, path, 1, [(2, "m", D1, "0", None)], SCHEMA)
+        wait_for(lambda: seen() == [0, 2], 60)
+    finally:
+        query.stop()
+
+
+def wait_for(condition, timeout_s):
+    end = time.time() + timeout_s
+    while not condition():
+        assert time.time() < end
+        time.sleep(0.5)

@@ -71,8 +71,9 @@ class NextMatchProcessor(StatefulProcessor):
     """STA8: adjacent pairs in event-time order, decided once the watermark has passed them.
 
     ``waiting`` holds rows above the watermark; ``tail`` the newest row below
-    it, which is the possible first half of the next pair. One timer per
-    micro-batch and key, at the newest row, triggers the work.
+    it, which is the possible first half of the next pair; rows before ``tail``
+    are too late. One timer per micro-batch and key, at the newest row, triggers
+    the work.
     """
 
     FIELDS = ["ts", "seq", "is_first", "is_second", "row"]
@@ -109,8 +110,11 @@ class NextMatchProcessor(StatefulProcessor):
             self.waiting.put(later)
         else:
             self.waiting.clear()
-        chain = ([tuple(self.tail.get())] if self.tail.exists() else []) + settled
-        self.tail.update(settled[-1])
+        chain = settled
+        if self.tail.exists():
+            tail = tuple(self.tail.get())
+            chain = [tail] + [r for r in settled if r[:2] > tail[:2]]
+        self.tail.update(chain[-1])
         pairs = [
             (key[0], a[0], a[1], a[4], b[0], b[1], b[4])
             for a, b in zip(chain, chain[1:])
