@@ -20,6 +20,7 @@ DIRTY = [
     '{"common":{"is_new":"1"},"ts":1}',
     '{"common":{"mid":"m1"},"ts":1}',
     '{"common":{"mid":"m1","is_new":"1"}}',
+    '{"common":{"mid":"m1","is_new":"1"},"ts":9223372036854775807}',
 ]
 
 

@@ -1,3 +1,8 @@
+import random
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import time as t
@@ -21,6 +26,24 @@ def test_day_boundary(spark):
     assert got == ("2024-01-01", "2023-12-31", "1970-01-01")
 
 
+@pytest.mark.parametrize("tz", ["Asia/Shanghai", "+08:00", "-03:30", "UTC", "Europe/Berlin", "America/Sao_Paulo"])
+def test_zones_equal_python(spark, tz):
+    rng = random.Random(3)
+    values = [rng.randrange(-(10**12), 3 * 10**12) for _ in range(400)] + [694_224_000_000, 694_223_999_999, 0, -1]
+    values += [521_000_000_000 + i * 3_600_000 for i in range(200)]  # 1986, clock changes in China
+    rows = spark.createDataFrame([(v,) for v in values], "ms bigint").select(
+        "ms", t.to_date_text("ms", tz).alias("d"), t.to_datetime_text("ms", tz).alias("dt"), t.local_date("ms", tz).alias("day")
+    )
+    if tz[0] in "+-":
+        zone = timezone(int(tz[0] + "1") * timedelta(hours=int(tz[1:3]), minutes=int(tz[4:])))
+    else:
+        zone = ZoneInfo(tz)
+    start = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    for r in rows.collect():
+        local = (start + timedelta(milliseconds=r.ms)).astimezone(zone)
+        assert (r.d, r.dt, r.day) == (local.strftime("%Y-%m-%d"), local.strftime("%Y-%m-%d %H:%M:%S"), local.date()), r.ms
+
+
 def test_text_to_epoch(spark):
     got = one(
         spark,

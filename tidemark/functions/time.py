@@ -6,6 +6,8 @@ changes a result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Text forms, parse offset, display zone and one day in milliseconds.
@@ -15,6 +17,13 @@ PARSE_ZONE = "+08:00"
 DISPLAY_ZONE = "Asia/Shanghai"
 DAY_MS = 24 * 60 * 60 * 1000
 
+# Zones whose offset has not changed since an instant: zone -> (offset, instant), in milliseconds.
+# China has had +08:00 without clock changes since September 1991; the instant is 1992-01-01 UTC.
+STEADY_ZONES = {"Asia/Shanghai": (8 * 3_600_000, 694_224_000_000)}
+
+# Farthest instant from the epoch that Spark's timestamps hold, rounded down.
+MAX_MS = 9_000_000_000_000_000
+
 _DATETIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
@@ -35,9 +44,39 @@ def ntz_to_epoch_ms(ts: Column | str) -> Column:
     return F.call_function("div", _col(ts) - _epoch(), F.expr("INTERVAL '0.001' SECOND"))
 
 
+def _steady(tz: str) -> tuple[int, int | None] | None:
+    """Offset of ``tz`` and the instant from which it holds (None: always); None if it changes."""
+    if tz in ("UTC", "Z"):
+        return 0, None
+    fixed = re.fullmatch(r"([+-])(\d{2}):(\d{2})", tz)
+    if fixed:
+        sign, hours, minutes = fixed.groups()
+        return int(f"{sign}1") * (int(hours) * 60 + int(minutes)) * 60_000, None
+    return STEADY_ZONES.get(tz)
+
+
+def _by_offset(ms: Column, tz: str, arithmetic, general: Column) -> Column:
+    """``arithmetic`` on the shifted value where the offset is known, else ``general``.
+
+    Zone rules cost several times as much per row as an addition.
+    """
+    steady = _steady(tz)
+    if steady is None:
+        return general
+    offset, since = steady
+    shifted = arithmetic(ms + F.lit(offset))
+    return shifted if since is None else F.when(ms >= since, shifted).otherwise(general)
+
+
+def _as_ntz(ms: Column) -> Column:
+    return F.timestamp_add("MILLISECOND", ms, _epoch())
+
+
 def epoch_ms_to_local(ms: Column | str, tz: str = DISPLAY_ZONE) -> Column:
     """Epoch milliseconds to the wall clock of ``tz`` as ``TIMESTAMP_NTZ``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), F.timestamp_add("MILLISECOND", _col(ms), _epoch()))
+    ms = _col(ms)
+    general = F.convert_timezone(F.lit("UTC"), F.lit(tz), _as_ntz(ms))
+    return _by_offset(ms, tz, _as_ntz, general)
 
 
 def local_date(ms: Column | str, tz: str = DISPLAY_ZONE) -> Column:
@@ -46,7 +85,14 @@ def local_date(ms: Column | str, tz: str = DISPLAY_ZONE) -> Column:
     Operators compare and aggregate this form: a ``DATE`` is a fixed-width
     value, so ``min_by`` over it stays a hash aggregate.
     """
-    return epoch_ms_to_local(ms, tz).cast("date")
+    ms = _col(ms)
+
+    def day(shifted: Column) -> Column:
+        whole = shifted - F.pmod(shifted, F.lit(DAY_MS))
+        return F.date_from_unix_date(F.call_function("div", whole, F.lit(DAY_MS)).cast("int"))
+
+    general = F.convert_timezone(F.lit("UTC"), F.lit(tz), _as_ntz(ms)).cast("date")
+    return _by_offset(ms, tz, day, general)
 
 
 def to_date_text(ms: Column | str, tz: str = DISPLAY_ZONE) -> Column:
@@ -68,6 +114,9 @@ def to_epoch_ms(text: Column | str, full: bool = False, tz: str = PARSE_ZONE) ->
     if not full:
         text = F.concat(text, F.lit(" 00:00:00"))
     parsed = F.when(text.rlike(_DATETIME_SHAPE), text).try_cast("timestamp_ntz")
+    steady = _steady(tz)
+    if steady and steady[1] is None:
+        return ntz_to_epoch_ms(parsed) - F.lit(steady[0])
     return ntz_to_epoch_ms(F.convert_timezone(F.lit(tz), F.lit("UTC"), parsed))
 
 

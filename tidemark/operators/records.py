@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.time import MAX_MS
+
 # Fields every traffic job reads: column -> (path, type).
 LOG_FIELDS = {
     "mid": ("common.mid", "string"),
@@ -43,6 +45,11 @@ def parse_records(
     return parsed.withColumn(record, F.explode(F.array(first))).select(*df.columns, record, *read)
 
 
+def is_instant(ts: str) -> Column:
+    """Whether an epoch-millisecond value is present and within the range of timestamps."""
+    return F.coalesce(F.col(ts).between(-MAX_MS, MAX_MS), F.lit(False))
+
+
 def log_records(df: DataFrame, value: str = "value") -> DataFrame:
     """PRJ1/PRJ2: parse log lines into ``record, mid, is_new, ts, is_dirty``.
 
@@ -51,7 +58,7 @@ def log_records(df: DataFrame, value: str = "value") -> DataFrame:
     the keyed operators leave it alone.
     """
     parsed = parse_records(df, value, "record", LOG_FIELDS)
-    dirty = F.col("mid").isNull() | F.col("is_new").isNull() | F.col("ts").isNull()
+    dirty = F.col("mid").isNull() | F.col("is_new").isNull() | ~is_instant("ts")
     return parsed.withColumn("is_dirty", dirty).withColumn("mid", F.when(~F.col("is_dirty"), F.col("mid")))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import operator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A broadcast side must stay below both limits.
 BROADCAST_ROWS = 500_000
@@ -12,9 +15,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 GROUP_ROWS = 4_000_000
 
 
+def _column_bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (rows and text size) in one pass that sends two numbers per task."""
-    size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    """Measure ``df`` (rows and bytes) in one pass that sends two numbers per task."""
+    size = reduce(operator.add, [_column_bytes(field).cast("bigint") for field in df.schema])
     rows, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return rows <= max_rows and total <= max_bytes
 

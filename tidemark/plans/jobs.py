@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.paths import is_blank, is_missing
 from tidemark.functions.time import DISPLAY_ZONE
 from tidemark.operators.patterns import JUMP_OUT_MS, match_next
-from tidemark.operators.records import log_records, parse_records
+from tidemark.operators.records import is_instant, log_records, parse_records
 from tidemark.operators.routing import (
     change_records,
     config_changes,
@@ -42,7 +42,7 @@ def page_records(pages: DataFrame, last_page: str = "page.last_page_id") -> Data
         "last_page_id": (last_page, "string"),
     }
     parsed = parse_records(pages, fields=fields).drop("record")
-    return parsed.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+    return parsed.where(F.col("mid").isNotNull() & is_instant("ts"))
 
 
 def daily_unique_visitors(pages: DataFrame, order: str = "seq", tz: str = DISPLAY_ZONE) -> DataFrame:
