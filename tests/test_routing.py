@@ -131,3 +131,15 @@ def test_fold(spark):
     )
     assert {(r.k, r.seq) for r in latest_per_key(df, ["k"], ["seq"]).collect()} == {("a", 3), ("b", 2), (None, 1)}
     assert {(r.k, r.seq) for r in fold_changes(df, ["k"], ["seq"], F.col("op") == "d").collect()} == {("b", 2), (None, 1)}
+
+
+def test_route_as_of_with_sparse_arrival_numbers(spark):
+    far = 10**15
+    records = spark.createDataFrame([(i * far, "hot") for i in range(1, 9)], "seq bigint, table string")
+    changes = spark.createDataFrame(
+        [(far + 1, "hot", False, "a"), (5 * far, "hot", True, None), (7 * far - 1, "hot", False, "b")],
+        "seq bigint, source_table string, is_deleted boolean, sink_table string",
+    )
+    out = route_as_of(records, changes, settings=("sink_table",), max_rows=0, group_rows=2)
+    got = {r.seq // far: r.sink_table for r in out.collect()}
+    assert got == {2: "a", 3: "a", 4: "a", 7: "b", 8: "b"}

@@ -1,9 +1,12 @@
 import json
 import os
+import subprocess
+import sys
 import time
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import models
@@ -24,6 +27,8 @@ from tidemark.streaming.operators import (
     repair_first_visit_stream,
 )
 
+from tidemark.streaming.processors import DailyVisitProcessor, FirstVisitProcessor, NextMatchProcessor
+
 
 @pytest.fixture(autouse=True)
 def few_partitions(spark):
@@ -179,3 +184,12 @@ def wait_for(condition, timeout_s):
     while not condition():
         assert time.time() < end
         time.sleep(0.5)
+
+
+def test_processors_travel_without_the_package(tmp_path):
+    code = "import pickle, sys; print(type(pickle.loads(sys.stdin.buffer.read())).__name__)"
+    for processor in (FirstVisitProcessor("a", "b"), DailyVisitProcessor("a", None), NextMatchProcessor("a", 1)):
+        done = subprocess.run(
+            [sys.executable, "-c", code], input=cloudpickle.dumps(processor), cwd=tmp_path, capture_output=True, check=True
+        )
+        assert done.stdout.decode().strip() == type(processor).__name__

@@ -153,10 +153,8 @@ def route_as_of(
     )
     rows = records.where(F.col(table).isNotNull()).withColumn("_kind", F.lit(1))
     both = rows.unionByName(log, allowMissingColumns=True)
-    hot = sizes.hot_keys(
-        both.select(table, order), table, group_rows, F.max(order).alias("_last_order")
-    )
-    carried = _carry_versions(log, hot, table, order, group_rows)
+    hot = sizes.hot_keys(both, table, group_rows)
+    carried = _carry_versions(both, log, hot, table, order, group_rows)
     chunked = sizes.with_chunk(both, table, order, hot, group_rows).unionByName(carried, allowMissingColumns=True)
 
     so_far = W.partitionBy(table, "_chunk").orderBy(order, "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -165,20 +163,25 @@ def route_as_of(
     return filled.where(live).select(*records.columns, *[F.col(f"_version.{c}").alias(c) for c in settings])
 
 
-def _carry_versions(log: DataFrame, hot: DataFrame, table: str, order: str, group_rows: int) -> DataFrame:
-    """For hot tables: the version in force at the start of every later chunk it spans."""
-    hot_log = log.join(F.broadcast(hot), F.col(table) == F.col("_hot_key")).withColumn(
-        "_chunk", sizes.floor_div(F.col(order), group_rows)
+def _carry_versions(
+    both: DataFrame, log: DataFrame, hot: DataFrame, table: str, order: str, group_rows: int
+) -> DataFrame:
+    """For hot tables: the version in force at the start of each chunk that has rows."""
+
+    def in_chunks(df: DataFrame) -> DataFrame:
+        chunk = sizes.floor_div(F.col(order), group_rows)
+        return df.join(F.broadcast(hot), F.col(table) == F.col("_hot_key")).withColumn("_chunk", chunk)
+
+    chunks = in_chunks(both.select(table, order)).select(table, "_chunk").distinct()
+    last = latest_per_key(in_chunks(log), [table, "_chunk"], [order]).select(table, "_chunk", "_version")
+    before = W.partitionBy(table).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    carried = chunks.join(last, [table, "_chunk"], "left").withColumn(
+        "_version", F.last("_version", ignorenulls=True).over(before)
     )
-    last = latest_per_key(hot_log, [table, "_chunk"], [order])
-    following = F.lead("_chunk").over(W.partitionBy(table).orderBy("_chunk"))
-    until = F.coalesce(following, sizes.floor_div(F.col("_last_order"), group_rows))
-    start = F.col("_chunk") + 1
-    reach = last.withColumn("_until", until)
-    chunks = F.when(start <= F.col("_until"), F.sequence(start, F.col("_until")))
-    return reach.select(
+    return carried.where(F.col("_version").isNotNull()).select(
         table,
-        "_version",
+        (F.col("_chunk") * F.lit(group_rows)).alias(order),
         F.lit(-1).alias("_kind"),
-        F.explode(chunks).alias("_chunk"),
-    ).withColumn(order, F.col("_chunk") * F.lit(group_rows))
+        "_version",
+        "_chunk",
+    )

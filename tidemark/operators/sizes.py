@@ -35,8 +35,8 @@ def floor_div(value: Column, width: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width)).cast("bigint")
 
 
-def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, *extra: Column) -> DataFrame:
-    """Keys with more than ``group_rows`` rows: ``_hot_key`` and any ``extra`` aggregates.
+def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Keys with more than ``group_rows`` rows, as ``_hot_key``.
 
     The count is combined before its shuffle, and at most
     ``rows / group_rows`` keys can qualify, which bounds the broadcast.
@@ -44,7 +44,7 @@ def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, *extra: Colu
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count("*").alias("_hot_rows"), *extra)
+        .agg(F.count("*").alias("_hot_rows"))
         .where(F.col("_hot_rows") > group_rows)
         .drop("_hot_rows")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.paths import is_missing
@@ -9,8 +10,12 @@ from tidemark.functions.time import DAY_MS, DISPLAY_ZONE, previous_local_date, t
 from tidemark.operators.patterns import JUMP_OUT_MS
 from tidemark.operators.visits import NEW
 from tidemark.session import use_rocksdb_state
+from tidemark.streaming import processors
 from tidemark.streaming.processors import DailyVisitProcessor, FirstVisitProcessor, NextMatchProcessor
 
+# Python workers get the processors with the query, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(processors)
+
 # Fixed value: how long a device's last visit is remembered after it was written.
 VISIT_TTL_MS = DAY_MS
 
