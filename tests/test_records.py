@@ -108,12 +108,14 @@ def test_split_repairs_before_routing(spark):
         ERR.replace('"is_new":"0"', '"is_new":"1"').replace("1704067205000", str(1704067205000 + day)),
         "oops",
         PAGE.replace("1704067200000", str(1704067200000 + 2 * day)),
+        '{"common":{"mid":"m1","is_new":"1"},"ts":9223372036854775807}',
+        START.replace('"0"', '"1"').replace("1704067204000", str(1704067204000 + day)),
     ]
-    out = routed(split_traffic(raw(spark, lines)))
+    out = routed(split_traffic(raw(spark, lines), keep_start_context=True))
     flags = {
         seq: {json.loads(v)["common"]["is_new"] for c, _, v in items if c != "dirty"} for seq, items in out.items()
     }
-    assert flags == {0: {"1"}, 1: {"0"}, 2: {"1"}, 3: {"0"}, 4: set(), 5: {"0"}}
+    assert flags == {0: {"1"}, 1: {"0"}, 2: {"1"}, 3: {"0"}, 4: set(), 5: {"0"}, 6: set(), 7: {"0"}}
     fixed = json.loads(out[1][0][2])
     assert fixed == {**json.loads(lines[1]), "common": {"mid": "m1", "is_new": "0"}}
     assert json.loads([v for c, _, v in out[5] if c == "page"][0])["extra"] == {"kept": [1, 2.5]}

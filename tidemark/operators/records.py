@@ -55,10 +55,11 @@ def log_records(df: DataFrame, value: str = "value") -> DataFrame:
 
     A row is dirty when it does not parse or lacks the device, the new-visitor
     flag or the time. Its raw text stays in ``value`` and ``mid`` is NULL, so
-    the keyed operators leave it alone.
+    the keyed operators leave it alone; a time out of range is NULL as well.
     """
     parsed = parse_records(df, value, "record", LOG_FIELDS)
-    dirty = F.col("mid").isNull() | F.col("is_new").isNull() | ~is_instant("ts")
+    parsed = parsed.withColumn("ts", F.when(is_instant("ts"), F.col("ts")))
+    dirty = F.col("mid").isNull() | F.col("is_new").isNull() | F.col("ts").isNull()
     return parsed.withColumn("is_dirty", dirty).withColumn("mid", F.when(~F.col("is_dirty"), F.col("mid")))
 
 

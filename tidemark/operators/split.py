@@ -115,7 +115,9 @@ def route_channels(
     whole = _object_text(("common", F.col("_common")), others=_other_members(record, "common"))
     start_object = F.to_json(read_object(record, "start"))
     start_text = (
-        _object_text(("common", F.to_json(common)), ("start", start_object), ("ts", ts_text))
+        _object_text(
+            ("common", F.coalesce("_common", F.to_json(common))), ("start", start_object), ("ts", ts_text)
+        )
         if keep_start_context
         else start_object
     )

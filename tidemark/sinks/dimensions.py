@@ -17,6 +17,10 @@ from tidemark.operators.changelog import latest_per_key
 DELETE_TYPE = "delete"
 PRIMARY_KEY_PROPERTY = "primary_key"
 
+# Type of rows written by compaction, and an arrival number below all others.
+SNAPSHOT_TYPE = "snapshot"
+NEVER = -(1 << 62)
+
 
 def _quoted(*names: str) -> str:
     return ".".join("`" + name.replace("`", "``") + "`" for name in names)
@@ -87,6 +91,12 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
+def _is_removal(on_delete: str) -> Column:
+    if on_delete not in ("upsert", "delete"):
+        raise ValueError("on_delete is 'upsert' or 'delete'")
+    return (F.col("type") == DELETE_TYPE) if on_delete == "delete" else F.lit(False)
+
+
 def fold_rows(
     changes: DataFrame,
     columns: list[str],
@@ -101,9 +111,7 @@ def fold_rows(
     any other change; ``"delete"`` removes what came before them. Combined
     before its shuffle, so a hot row moves one record per task.
     """
-    if on_delete not in ("upsert", "delete"):
-        raise ValueError("on_delete is 'upsert' or 'delete'")
-    removed = (F.col("type") == DELETE_TYPE) if on_delete == "delete" else F.lit(False)
+    removed = _is_removal(on_delete)
     last = [
         F.max(
             F.when(
@@ -114,7 +122,7 @@ def fold_rows(
         for i, c in enumerate(columns)
     ]
     folded = changes.groupBy(*keys).agg(
-        F.coalesce(F.max(F.when(removed, F.col(order))), F.lit(-(1 << 62))).alias("_removed_at"),
+        F.coalesce(F.max(F.when(removed, F.col(order))), F.lit(NEVER)).alias("_removed_at"),
         F.max(F.when(~removed, F.col(order))).alias("_written_at"),
         *last,
     )
@@ -153,25 +161,30 @@ def publish_dimension(
 def compact_changes(spark: SparkSession, path: str, new_path: str, on_delete: str = "upsert") -> None:
     """Fold a change folder into a new one that holds each row once, as batch -1.
 
-    Works on all tables together: the entries of ``data`` are folded one by one.
-    Continue with ``new_path`` afterwards.
+    Works on all tables together: the entries of ``data`` are folded one by one,
+    so a row's group holds one entry per column. Continue with ``new_path``
+    afterwards.
     """
     changes = read_changes(spark, path)
-    table_row = ["sink_table", "row_key"]
-    if on_delete == "delete":
-        removed_at = changes.groupBy(*table_row).agg(
-            F.max(F.when(F.col("type") == DELETE_TYPE, F.col("seq"))).alias("_removed_at")
-        )
-        changes = changes.join(removed_at, table_row).where(
-            F.col("_removed_at").isNull() | (F.col("seq") > F.col("_removed_at"))
-        )
-    entries = changes.select(*table_row, "type", "seq", F.explode("data").alias("column", "text"))
-    latest = latest_per_key(entries, [*table_row, "column"], ["seq"])
-    rows = latest.groupBy(*table_row).agg(
-        F.max_by("type", "seq").alias("type"),
-        F.map_from_entries(F.collect_list(F.struct("column", "text"))).alias("data"),
-        F.max("seq").alias("seq"),
+    row = ["sink_table", "row_key"]
+    # A removal becomes an entry without a column, so it folds together with the others.
+    removal = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    removed = _is_removal(on_delete)
+    entries = changes.select(*row, "seq", F.explode(F.when(removed, removal).otherwise(F.map_entries("data"))).alias("_e"))
+    latest = latest_per_key(entries.select(*row, "seq", "_e.*"), [*row, "key"], ["seq"])
+    written = F.when(F.col("key").isNotNull(), F.struct("seq", "key", "value"))
+    folded = latest.groupBy(*row).agg(
+        F.coalesce(F.max(F.when(F.col("key").isNull(), F.col("seq"))), F.lit(NEVER)).alias("_removed_at"),
+        F.collect_list(written).alias("_entries"),
+    )
+    kept = F.filter("_entries", lambda e: e["seq"] > F.col("_removed_at"))
+    rows = folded.withColumn("_kept", kept).where(F.size("_kept") > 0)
+    snapshot = rows.select(
+        *row,
+        F.lit(SNAPSHOT_TYPE).alias("type"),
+        F.map_from_entries(F.transform("_kept", lambda e: F.struct(e["key"], e["value"]))).alias("data"),
+        F.array_max(F.transform("_kept", lambda e: e["seq"])).alias("seq"),
+    )
+    snapshot.hint("rebalance", "sink_table").write.mode("overwrite").partitionBy("sink_table").parquet(
+        f"{new_path.rstrip('/')}/batch_id=-1"
     )
-    rows.select("sink_table", "row_key", "type", "data", "seq").hint("rebalance", "sink_table").write.mode(
-        "overwrite"
-    ).partitionBy("sink_table").parquet(f"{new_path.rstrip('/')}/batch_id=-1")

@@ -4,7 +4,8 @@ Spark gives a processor the rows of one key and one micro-batch in no
 particular order, so each sorts them by arrival number or event time first.
 Calendar days and conditions are computed as columns before the shuffle. Spark
 hands the rows over as named tuples, so column names must be Python identifiers
-that do not start with an underscore.
+that do not start with an underscore, and 64-bit integers that may be NULL
+should travel as text.
 """
 
 from __future__ import annotations
