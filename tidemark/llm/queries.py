@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontam, line_dedup
+from tidemark.llm import decontam, line_dedup, quality, sharding, urls
+
+URL_RULES = [
+    urls.Rule("net/", "block"),
+    urls.Rule("example.net/en/", "allow"),
+    urls.Rule("example.com/de/", "block"),
+    urls.Rule("org/fr/", "allow"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +25,19 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_texts(docs, model)
+    return scored.select(
+        "doc_id", quality.held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def contamination_columns(found: DataFrame) -> DataFrame:
     items = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select(
@@ -34,9 +54,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_columns(decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op7_url_filter": op7_url_filter,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {
