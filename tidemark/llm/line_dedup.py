@@ -77,8 +77,7 @@ def dedup_lines(
     gives an empty one. Only the named columns are read, so others never clash; ``keep`` may not name an output column.
 
     Plan: one (line hash, document) row per distinct line of a document is spread by both columns, counted with partial
-    sums, and only the hashes over the threshold are joined back. Texts are shuffled once at most, and not at all while
-    the list of dropped lines is measured to be small.
+    sums, and only the hashes over the threshold are joined back. Texts are shuffled once, to meet their dropped lines.
     """
     keep = [c for c in keep if c not in (id_col, text_col)]
     if {"n_lines", "n_dropped", "text", "_drop"} & set(keep):
@@ -91,8 +90,6 @@ def dedup_lines(
     common = stored(counts.select("key", "holder"), "common-lines")
     hits = stored(keys.join(small_or_shuffled(common), "key").where("doc <> holder").select("doc", "key"), "dropped-lines")
     drops = hits.groupBy("doc").agg(F.collect_list("key").alias("_drop")).withColumnRenamed("doc", "_doc")
-    if small_or_shuffled(hits) is not hits:
-        drops = F.broadcast(drops)
     rows = docs.select(id_col, F.col(text_col).alias("text"), *keep)
     joined = rows.join(drops, F.col(id_col) == F.col("_doc"), "left").select(id_col, "text", *keep, "_drop")
     out = T.StructType(
