@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontam, line_dedup, quality, sharding, urls
+from tidemark.llm import bpe, decontam, line_dedup, quality, sharding, urls, warc
 
 URL_RULES = [
     urls.Rule("net/", "block"),
@@ -25,6 +26,28 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages")))
+    failed = F.raise_error(F.concat(F.lit("unsound record: "), "error")).cast("string")
+    kind = F.when(F.col("error").isNull(), F.col("record_type")).otherwise(failed)
+    return records.select("page_id", "payload_bytes", "payload_digest", kind.alias("record_type"), "refers_to")
+
+
+def bpe_path() -> str:
+    """The tokenizer's file; ``TIDEMARK_BPE`` names another one."""
+    if "TIDEMARK_BPE" in os.environ:
+        return os.environ["TIDEMARK_BPE"]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), bpe_path())
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return coded.select("doc_id", "n_tokens", sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -61,6 +84,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc": op3_warc,
+    "op4_bpe": op4_bpe,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
@@ -78,6 +103,14 @@ judged AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.holder AS gone FROM k
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+h AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS holder FROM p),
+r AS (SELECT *, n >= 1000 AND holder IS NOT NULL AND page_id IS DISTINCT FROM holder AS again FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN holder END AS refers_to
+FROM r
 """,
     "op9_decontamination": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

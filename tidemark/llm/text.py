@@ -120,14 +120,25 @@ def _run_hashes(data: np.ndarray, starts_of_rows: np.ndarray, alphabet: Alphabet
     inside = kind[edges] > 0
     ends = np.append(edges[1:], len(data))[inside]
     starts = edges[inside]
+    return range_hashes(data, starts, ends, alphabet.values), starts
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUES) -> np.ndarray:
+    """Hashes of the (not empty) ranges of bytes."""
     power, inverse = _powers(len(data))
-    sums = alphabet.values[data]
+    sums = values[data]
     sums *= power
     first = sums[starts]
     np.cumsum(sums, out=sums)
     hashes = (sums[ends - 1] - sums[starts] + first) * inverse[starts]
     hashes += (ends - starts).astype(np.uint64)
-    return mix(hashes), starts
+    return mix(hashes)
+
+
+def gather(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Indices of all ranges, one after the other."""
+    before = np.cumsum(length) - length
+    return np.arange(int(length.sum())) + np.repeat(start - before, length)
 
 
 def words(data: np.ndarray, bounds: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
