@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontam, jaccard, line_dedup, quality, sharding, urls, warc
+from tidemark.llm import bpe, decontam, embeddings, jaccard, line_dedup, quality, sharding, urls, warc
 
 URL_RULES = [
     urls.Rule("net/", "block"),
@@ -52,6 +52,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
+    "op6_embeddings": op6_embeddings,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
@@ -116,6 +121,17 @@ r AS (SELECT *, n >= 1000 AND holder IS NOT NULL AND page_id IS DISTINCT FROM ho
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN holder END AS refers_to
 FROM r
+""",
+    "op6_embeddings": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM good a JOIN good b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM v UNION SELECT r.u, l.w FROM reach r JOIN links l ON l.u = r.w),
+least AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM v JOIN least l ON l.u = v.vec_id LEFT JOIN counts c ON c.u = v.vec_id
 """,
     "op9_decontamination": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
