@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontam, embeddings, jaccard, line_dedup, quality, sharding, urls, warc
+from tidemark.llm import bpe, decontam, embeddings, jaccard, line_dedup, quality, sharding, substrings, urls, warc
 
 URL_RULES = [
     urls.Rule("net/", "block"),
@@ -52,6 +52,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", sha("ids").alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
+    "op5_suffix_array": op5_suffix_array,
     "op6_embeddings": op6_embeddings,
     "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
