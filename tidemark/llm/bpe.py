@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.store import stored
 from tidemark.llm.text import gather, range_hashes, slices, utf8
 
 #: Words compiled into the lexicon; bounds the transducer and what the driver holds.
@@ -441,10 +442,27 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+#: Steps of the histogram of counts for each doubling.
+COUNT_STEPS = 64
+
+
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", limit: int = LEXICON_WORDS) -> list[bytes]:
-    """The ``limit`` most frequent words of the corpus, ties by the word."""
-    counts = word_counts(docs, vocabulary, text_col).where(F.octet_length("word").between(1, LEXICON_BYTES))
-    return [r["word"].encode() for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    """The most frequent words of the corpus, ``limit`` at most; words that occur once are not frequent.
+
+    A histogram of the counts gives the smallest count that keeps the list within the limit, so nothing but that list and
+    the histogram reaches the driver, however many partitions there are.
+    """
+    counts = word_counts(docs, vocabulary, text_col).where((F.col("n") > 1) & F.octet_length("word").between(1, LEXICON_BYTES))
+    counts = stored(counts.withColumn("step", F.floor(COUNT_STEPS * F.log2("n"))), "word-counts")
+    least, total = None, 0
+    for row in sorted(counts.groupBy("step").count().collect(), reverse=True):
+        total += row["count"]
+        if total > limit:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    return [r["word"].encode() for r in counts.where(F.col("step") >= least).select("word").toLocalIterator()]
 
 
 def _encode(shared, kept: list[str]):
