@@ -129,3 +129,12 @@ def test_page_jobs(spark):
     assert [(r.seq, r.value) for r in uv] == [(0, entry)]
     pairs = jump_outs(pages.where(F.col("seq").isin(2, 3))).collect()
     assert [(r.mid, r["first"].value, r["second"].seq) for r in pairs] == [("m1", blank, 3)]
+
+
+def test_white_space_around_records_and_repeated_keys(spark):
+    lines = [" \t\r\n" + PAGE + "\n", "\u00a0" + PAGE, PAGE.replace('"is_new":"1"', '"is_new":"0","is_new":"1"')]
+    assert [(r.mid, r.is_new, r.is_dirty) for r in log_records(raw(spark, lines)).orderBy("seq").collect()] == [
+        ("m1", "1", False),
+        (None, None, True),
+        ("m1", "1", False),
+    ]

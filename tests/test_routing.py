@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import models
+from tidemark.operators import sizes
 from tidemark.operators.changelog import fold_changes, latest_per_key
 from tidemark.operators.routing import (
     change_records,
     config_changes,
     current_config,
+    judged_config,
     route_as_of,
     route_current,
 )
@@ -143,3 +145,35 @@ def test_route_as_of_with_sparse_arrival_numbers(spark):
     out = route_as_of(records, changes, settings=("sink_table",), max_rows=0, group_rows=2)
     got = {r.seq // far: r.sink_table for r in out.collect()}
     assert got == {2: "a", 3: "a", 4: "a", 7: "b", 8: "b"}
+
+
+def test_numbers_keep_their_digits(spark):
+    data = '{"a":10.50,"b":100.00,"c":123456789012345678901234567890123456789012,"d":-0,"e":1E5,"f":"x: 1.50","g":{"h":[1.10,"2"]},"i":null,"j":true}'
+    line = f'{{"database":"shop","table":"t","type":"insert","data":{data}}}'
+    wrong = [line.replace("10.50", "010"), line.replace("10.50", "1 2"), line.replace("x", "\u0001")]
+    rows = change_records(raw(spark, list(enumerate([line, *wrong])))).orderBy("seq").collect()
+    assert [r.is_dirty for r in rows] == [False, True, True, True]
+    assert rows[0].data == {
+        "a": "10.50",
+        "b": "100.00",
+        "c": "123456789012345678901234567890123456789012",
+        "d": "-0",
+        "e": "1E5",
+        "f": "x: 1.50",
+        "g": '{"h":[1.10,"2"]}',
+        "i": None,
+        "j": "true",
+    }
+
+
+def test_configuration_that_does_not_count(spark):
+    lines = ["oops", CREATE.replace('"sink_primary_key":"id"', '"sink_primary_key":"uid"'), CREATE, DROP]
+    found = judged_config(raw(spark, list(enumerate(lines)))).orderBy("seq").collect()
+    assert [r.problem for r in found] == ["unreadable", "no primary key among the columns", None, None]
+
+
+def test_chunks_follow_the_rows_not_the_numbers(spark):
+    rows = spark.range(1000).selectExpr("id * 1000000 AS seq", "'hot' AS k").union(spark.range(5).selectExpr("id AS seq", "'cold' AS k"))
+    hot = sizes.hot_keys(rows, "k", 100, "seq")
+    counts = {r._chunk: r["count"] for r in sizes.with_chunk(rows, "k", "seq", hot).where("k = 'hot'").groupBy("_chunk").count().collect()}
+    assert len(counts) == 10 and max(counts.values()) <= 101

@@ -75,7 +75,7 @@ def test_upsert_sets_carried_columns_only(spark, tmp_path, compact):
         if not compact:
             return current(spark, path, on_delete=on_delete)
         folded = str(tmp_path / f"folded-{on_delete}")
-        dims.compact_changes(spark, path, folded, on_delete)
+        dims.compact_changes(spark, path, folded)
         return current(spark, folded, on_delete=on_delete)
 
     assert read("upsert") == {("1", None, "5"), ("2", "it's", None), ("3", "y", "1")}
@@ -88,6 +88,23 @@ def test_row_without_key_fails_the_batch(spark, tmp_path):
         dims.append_changes(bad, 0, str(tmp_path / "changes"))
 
 
+def test_publish_follows_the_configuration(spark, tmp_path):
+    spark.sql("DROP SCHEMA IF EXISTS dim_wide CASCADE")
+    spark.sql(f"CREATE SCHEMA dim_wide LOCATION '{tmp_path}/warehouse'")
+    path = str(tmp_path / "changes")
+    assert current(spark, path) == set()
+    dims.append_changes(routed(spark, [("insert", {"id": "1", "name": "a", "n": "5"}, 1)]), 0, path)
+    for columns, expected in (("id,name", ("1", "a")), ("id,name,n", ("1", "a", "5")), ("id,n,", ("1", None, "5"))):
+        name = dims.publish_dimension(spark, path, "dim_wide", "dim_a", columns, "id")
+        assert [tuple(r) for r in spark.table(name).collect()] == [expected]
+    spark.sql("DROP SCHEMA dim_wide CASCADE")
+
+
+def test_uv_topic_rows(spark):
+    rows = channels.uv_topic_rows(spark.createDataFrame([("m", "{}", 1)], "mid string, value string, seq bigint"))
+    assert [tuple(r) for r in rows.collect()] == [("dwd_traffic_uv_log", "m", "{}")]
+
+
 def test_create_and_publish(spark, tmp_path):
     spark.sql("DROP SCHEMA IF EXISTS dim_test CASCADE")
     spark.sql(f"CREATE SCHEMA dim_test LOCATION '{tmp_path}/warehouse'")

@@ -1,12 +1,9 @@
 import json
 import os
-import subprocess
-import sys
 import time
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import models
@@ -14,20 +11,20 @@ from test_visits import D1, frame, random_rows
 from tidemark.functions.paths import is_blank
 from tidemark.plans.jobs import daily_unique_visitors, jump_outs, split_traffic
 from tidemark.sources.text import landed_text, read_log
-from tidemark.sinks.channels import stream_channels
 from tidemark.streaming.jobs import (
     daily_unique_visitors_stream,
     jump_outs_stream,
     run_to_end,
     split_traffic_stream,
 )
+from tidemark.streaming import state
 from tidemark.streaming.operators import (
+    NextMatches,
     first_entry_per_day_stream,
     match_next_stream,
     repair_first_visit_stream,
 )
-
-from tidemark.streaming.processors import DailyVisitProcessor, FirstVisitProcessor, NextMatchProcessor
+from tidemark.streaming.state import StateTable, file_sink, read_sink
 
 
 @pytest.fixture(autouse=True)
@@ -50,11 +47,18 @@ def landed(spark, folder, df, parts):
     return path
 
 
-def run(spark, folder, df):
+def run(spark, folder, stream, *args, partitions=(), **kw):
+    """Run a stream to its end and read what it emitted."""
     out = str(folder / "out")
-    writer = df.writeStream.format("parquet").option("path", out)
-    run_to_end(writer.option("checkpointLocation", str(folder / "ckpt")), 300)
-    return spark.read.schema(df.schema).parquet(out)
+    run_to_end(stream(*args, file_sink(out, *partitions), str(folder / "ckpt"), **kw), 300)
+    return read_sink(spark, out)
+
+
+def rest(spark, folder, within_ms, lateness_ms, key_type="string"):
+    """Pairs that are open at the end of a stream, and the number of late rows."""
+    last = spark.read.parquet(str(folder / "out")).agg(F.max("batch_id")).first()[0]
+    matches = NextMatches(spark, str(folder / "ckpt"), key_type, within_ms, lateness_ms=lateness_ms)
+    return matches.rest(last), matches.late_rows(last)
 
 
 def stream_of(spark, folder, df, parts=3):
@@ -66,14 +70,14 @@ def stream_of(spark, folder, df, parts=3):
 def test_repair_stream(spark, tmp_path):
     rows = random_rows(600, 12, 7)
     source = stream_of(spark, tmp_path, frame(spark, rows))
-    got = {r.seq: r.is_new for r in run(spark, tmp_path, repair_first_visit_stream(source)).collect()}
+    got = {r.seq: r.is_new for r in run(spark, tmp_path, repair_first_visit_stream, source).collect()}
     assert got == models.repair([r[:4] for r in rows])
 
 
 def test_uv_stream(spark, tmp_path):
     rows = random_rows(600, 12, 8)
     source = stream_of(spark, tmp_path, frame(spark, rows))
-    got = [r.seq for r in run(spark, tmp_path, first_entry_per_day_stream(source, ttl_ms=None)).collect()]
+    got = [r.seq for r in run(spark, tmp_path, first_entry_per_day_stream, source).collect()]
     assert len(got) == len(set(got))
     assert set(got) == models.daily_uv([(r[0], r[1], r[2], r[4]) for r in rows])
 
@@ -82,8 +86,8 @@ def test_jump_out_stream(spark, tmp_path):
     rows = [(i, f"m{i % 5}", D1 + i * 900 + (i % 3), "0", [None, "", "p"][(i // 5) % 3]) for i in range(400)]
     source = stream_of(spark, tmp_path, frame(spark, rows))
     entry = is_blank("last_page_id")
-    out = run(spark, tmp_path, match_next_stream(source, entry, entry, 10_000, row=F.col("mid"), delay="0 seconds"))
-    got = [(r.first_seq, r.second_seq) for r in out.collect()]
+    out = run(spark, tmp_path, match_next_stream, source, entry, entry, within_ms=10_000, row=F.col("mid"), lateness_ms=5_000)
+    got = [(r.first_seq, r.second_seq) for r in out.unionByName(rest(spark, tmp_path, 10_000, 5_000)[0]).collect()]
     assert len(got) == len(set(got))
     assert set(got) == models.jump_outs([(r[0], r[1], r[2], r[4]) for r in rows], 10_000)
 
@@ -104,10 +108,9 @@ def text_rows(spark, n, seed):
 def test_split_stream_equals_batch(spark, tmp_path):
     raw = text_rows(spark, 300, 4)
     source = read_log(spark, {"kind": "landed", "path": landed(spark, tmp_path, raw, 2), "files_per_trigger": 1})
-    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    run_to_end(stream_channels(split_traffic_stream(source), out, ckpt), 300)
+    out = run(spark, tmp_path, split_traffic_stream, source, partitions=("channel",))
     key = lambda r: (r.seq, r.channel, r.position, r.mid, r.value)
-    streamed = sorted(map(key, spark.read.parquet(out).collect()), key=str)
+    streamed = sorted(map(key, out.collect()), key=str)
     assert streamed == sorted(map(key, split_traffic(raw).collect()), key=str)
     assert {r[1] for r in streamed} == {"page", "action", "dirty"}
 
@@ -115,9 +118,10 @@ def test_split_stream_equals_batch(spark, tmp_path):
 def test_page_jobs_stream_equal_batch(spark, tmp_path):
     raw = text_rows(spark, 300, 5)
     source = landed_text(spark, landed(spark, tmp_path, raw, 1), True)
-    uv = run(spark, tmp_path / "uv", daily_unique_visitors_stream(source, ttl_ms=None))
+    uv = run(spark, tmp_path / "uv", daily_unique_visitors_stream, source)
     assert {r.value for r in uv.collect()} == {r.value for r in daily_unique_visitors(raw).collect()}
-    jumps = run(spark, tmp_path / "jump", jump_outs_stream(source, delay="0 seconds"))
+    jumps = run(spark, tmp_path / "jump", jump_outs_stream, source)
+    jumps = jumps.unionByName(rest(spark, tmp_path / "jump", 10_000, 60_000)[0])
     got = {(r.mid, r.first_row, r.second_row) for r in jumps.collect()}
     assert got == {(r.mid, r["first"].value, r["second"].value) for r in jump_outs(raw).collect()}
     assert got
@@ -135,61 +139,70 @@ SCHEMA = "seq bigint, mid string, ts bigint, is_new string, last_page_id string"
 
 def test_state_survives_a_restart(spark, tmp_path):
     rows = random_rows(400, 8, 9)
-    path, out, ckpt = (str(tmp_path / name) for name in ("in", "out", "ckpt"))
+    path = str(tmp_path / "in")
     for index, part in enumerate((rows[:200], rows[200:])):
         add_file(spark, path, index, part, SCHEMA)
-        found = first_entry_per_day_stream(landed_text(spark, path, True, SCHEMA), ttl_ms=None)
-        run_to_end(found.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt), 120)
-    got = [r.seq for r in spark.read.parquet(out).collect()]
+        out = run(spark, tmp_path, first_entry_per_day_stream, landed_text(spark, path, True, SCHEMA))
+    got = [r.seq for r in out.collect()]
     assert len(got) == len(set(got))
     assert set(got) == models.daily_uv([(r[0], r[1], r[2], r[4]) for r in rows])
 
 
-def test_rows_behind_the_watermark(spark, tmp_path):
-    """Rows count until the watermark of the batch before has passed them; later ones are ignored."""
+def test_state_is_folded_and_batches_run_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "SNAPSHOT_EVERY", 2)
+    latest = lambda rows: rows.groupBy("key").agg(F.max_by("v", "version").alias("v"), F.max("version").alias("version"))
+    table = StateTable(spark, str(tmp_path / "ckpt"), "t", "key string, v int", latest)
+    expected = {}
+    for batch_id in range(7):
+        for _ in range(2):
+            assert {r.key: r.v for r in table.before(batch_id).collect()} == expected
+            rows = [(f"k{batch_id % 3}", batch_id)]
+            table.write(batch_id, spark.createDataFrame(rows, "key string, v int"))
+        expected |= dict(rows)
+
+
+def test_lateness(spark, tmp_path):
+    """Rows within the lateness count wherever they come from; later ones are left out and counted."""
     path, entry = str(tmp_path / "in"), is_blank("last_page_id")
     row = lambda seq, ts: (seq, "m", D1 + ts, "0", None)
     add_file(spark, path, 0, [row(0, 0), row(1, 50_000)], SCHEMA)
     add_file(spark, path, 1, [row(2, 50_000), row(3, 1_000)], SCHEMA)
     add_file(spark, path, 2, [row(4, 90_000), row(5, 2_000), row(6, 50_000)], SCHEMA)
-    add_file(spark, path, 3, [row(7, 190_000), row(8, 51_000)], SCHEMA)
+    add_file(spark, path, 3, [row(7, 190_000), row(8, 29_000), row(9, 51_000)], SCHEMA)
     source = landed_text(spark, path, True, SCHEMA, files_per_trigger=1)
-    out = run(spark, tmp_path, match_next_stream(source, entry, entry, 10_000, row="mid"))
-    assert {(r.first_seq, r.second_seq) for r in out.collect()} == {(0, 3), (1, 2), (2, 6), (6, 8)}
+    out = run(spark, tmp_path, match_next_stream, source, entry, entry, within_ms=10_000, row="mid", lateness_ms=60_000)
+    left, late = rest(spark, tmp_path, 10_000, 60_000)
+    assert late == 1
+    assert {(r.first_seq, r.second_seq) for r in out.unionByName(left).collect()} == {(0, 3), (3, 5), (1, 2), (2, 6), (6, 9)}
+
+
+def test_a_partition_behind_loses_nothing_within_the_lateness(spark, tmp_path):
+    path, entry = str(tmp_path / "in"), is_blank("last_page_id")
+    ahead = [(2 * i, "a", D1 + i * 4_000, "0", None) for i in range(60)]
+    behind = [(2 * i + 1, "b", D1 + i * 4_000, "0", None) for i in range(60)]
+    for batch in range(6):
+        part = ahead[batch * 10 : batch * 10 + 10] + (behind[(batch - 1) * 10 : batch * 10] if batch else [])
+        add_file(spark, path, batch, part + (behind[50:] if batch == 5 else []), SCHEMA)
+    source = landed_text(spark, path, True, SCHEMA, files_per_trigger=1)
+    out = run(spark, tmp_path, match_next_stream, source, entry, entry, within_ms=10_000, row="mid", lateness_ms=80_000)
+    left, late = rest(spark, tmp_path, 10_000, 80_000)
+    got = [(r.first_seq, r.second_seq) for r in out.unionByName(left).collect()]
+    assert late == 0 and len(got) == len(set(got))
+    assert set(got) == {(i, i + 2) for i in range(118)}
+
+
+def test_rows_without_a_key_or_time_pass_the_repair(spark, tmp_path):
+    path = str(tmp_path / "in")
+    add_file(spark, path, 0, [(0, None, D1, "1", None), (1, "m", None, "1", None), (2, "m", D1, "1", None)], SCHEMA)
+    out = run(spark, tmp_path, repair_first_visit_stream, landed_text(spark, path, True, SCHEMA))
+    assert sorted((r.seq, r.mid, r.is_new) for r in out.collect()) == [(0, None, "1"), (1, "m", "1"), (2, "m", "1")]
 
 
 def test_last_visit_expires(spark, tmp_path):
-    path, out = str(tmp_path / "in"), str(tmp_path / "out")
-    add_file(spark, path, 0, [(0, "m", D1, "0", None), (1, "m", D1, "0", None)], SCHEMA)
-    found = first_entry_per_day_stream(landed_text(spark, path, True, SCHEMA), ttl_ms=2_000)
-    query = (
-        found.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", str(tmp_path / "ckpt"))
-        .trigger(processingTime="500 milliseconds")
-        .start()
-    )
-    try:
-        seen = lambda: sorted(r.seq for r in spark.read.schema(found.schema).parquet(out).collect())
-        wait_for(lambda: os.path.exists(out + "/_spark_metadata") and seen() == [0], 60)
-        time.sleep(4)
-        add_file(spark, path, 1, [(2, "m", D1, "0", None)], SCHEMA)
-        wait_for(lambda: seen() == [0, 2], 60)
-    finally:
-        query.stop()
-
-
-def wait_for(condition, timeout_s):
-    end = time.time() + timeout_s
-    while not condition():
-        assert time.time() < end
-        time.sleep(0.5)
-
-
-def test_processors_travel_without_the_package(tmp_path):
-    code = "import pickle, sys; print(type(pickle.loads(sys.stdin.buffer.read())).__name__)"
-    for processor in (FirstVisitProcessor("a", "b"), DailyVisitProcessor("a", None), NextMatchProcessor("a", 1)):
-        done = subprocess.run(
-            [sys.executable, "-c", code], input=cloudpickle.dumps(processor), cwd=tmp_path, capture_output=True, check=True
-        )
-        assert done.stdout.decode().strip() == type(processor).__name__
+    path = str(tmp_path / "in")
+    seen = []
+    for index in range(3):
+        add_file(spark, path, index, [(index, "m", D1, "0", None)], SCHEMA)
+        out = run(spark, tmp_path, first_entry_per_day_stream, landed_text(spark, path, True, SCHEMA), ttl_ms=60_000 if index < 2 else 1)
+        seen.append(sorted(r.seq for r in out.collect()))
+    assert seen == [[0], [0], [0, 2]]

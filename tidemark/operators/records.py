@@ -11,17 +11,28 @@ LOG_FIELDS = {
     "mid": ("common.mid", "string"),
     "is_new": ("common.is_new", "string"),
     "ts": ("ts", "bigint"),
+    "last_page_id": ("page.last_page_id", "string"),
 }
 
+# Fixed value: what JSON allows around a value.
+JSON_SPACE = " \t\r\n"
+
+# A noncharacter of Unicode, which no text holds, marks numbers that travel as strings; the others are control characters
+# that JSON does not allow in text.
+NUMBER_MARK = "\ufdd0"
+OPENS, CLOSES = "\u0001", "\u0002"
+STRING_OR_NUMBER = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?)'
+
 
 def parse_text(value: Column | str) -> Column:
     """Text to a one-element ``VARIANT`` array, NULL unless it is a JSON object.
 
-    The brackets make the parser see what follows the first value, which it
-    would otherwise ignore.
+    White space around it is allowed. The brackets make the parser see what
+    follows the first value, which it would otherwise ignore. Repeated keys need
+    ``spark.sql.variant.allowDuplicateKeys``; the last one wins.
     """
     value = F.col(value) if isinstance(value, str) else value
-    body = F.trim(value)
+    body = F.btrim(value, F.lit(JSON_SPACE))
     shaped = body.startswith("{") & body.endswith("}")
     return F.when(shaped, F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
 
@@ -45,13 +56,28 @@ def parse_records(
     return parsed.withColumn(record, F.explode(F.array(first))).select(*df.columns, record, *read)
 
 
+def mark_numbers(value: Column) -> Column:
+    """JSON text with every number as a marked string, so that parsing keeps its digits as they are written."""
+    split = F.regexp_replace(value, STRING_OR_NUMBER, f"$1{OPENS}$2{CLOSES}")
+    numbers = F.replace(split, F.lit(OPENS + CLOSES), F.lit(""))
+    marked = F.regexp_replace(numbers, f"{OPENS}([^{CLOSES}]*){CLOSES}", f'"{NUMBER_MARK}$1{NUMBER_MARK}"')
+    return F.when(value.contains(OPENS) | value.contains(CLOSES), value).otherwise(marked)
+
+
+def unmark_numbers(text: Column) -> Column:
+    """Undo :func:`mark_numbers`: in nested JSON text the quotes go too."""
+    for mark in (f'"{NUMBER_MARK}', f'{NUMBER_MARK}"', NUMBER_MARK):
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
 def is_instant(ts: str) -> Column:
     """Whether an epoch-millisecond value is present and within the range of timestamps."""
     return F.coalesce(F.col(ts).between(-MAX_MS, MAX_MS), F.lit(False))
 
 
 def log_records(df: DataFrame, value: str = "value") -> DataFrame:
-    """PRJ1/PRJ2: parse log lines into ``record, mid, is_new, ts, is_dirty``.
+    """PRJ1/PRJ2: parse log lines into ``record, mid, is_new, ts, last_page_id, is_dirty``.
 
     A row is dirty when it does not parse or lacks the device, the new-visitor
     flag or the time. Its raw text stays in ``value`` and ``mid`` is NULL, so

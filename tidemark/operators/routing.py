@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidemark.functions.paths import in_list
 from tidemark.operators import sizes
 from tidemark.operators.changelog import fold_changes, latest_per_key
-from tidemark.operators.records import parse_records
+from tidemark.operators.records import mark_numbers, parse_records, unmark_numbers
 
 # Fixed values of the change formats.
 MAINTENANCE_TYPES = ("bootstrap-start", "bootstrap-complete")
@@ -29,8 +29,18 @@ MAX_BROADCAST_VERSIONS = 64
 
 
 def change_records(df: DataFrame, value: str = "value") -> DataFrame:
-    """Parse change records into ``database, table, type, data, is_dirty``."""
-    parsed = parse_records(df, value, "record", CHANGE_FIELDS).drop("record")
+    """Parse change records into ``database, table, type, data, is_dirty``.
+
+    Values in ``data`` are text with the digits that the record has: ``10.50`` stays ``10.50``.
+    """
+    marked = df.withColumn("_marked", mark_numbers(F.col(value)))
+    parsed = parse_records(marked, "_marked", "record", CHANGE_FIELDS).drop("record", "_marked")
+    parsed = parsed.withColumns(
+        {
+            **{name: unmark_numbers(F.col(name)) for name in ("database", "table", "type")},
+            "data": F.transform_values("data", lambda _, text: unmark_numbers(text)),
+        }
+    )
     named = F.col("database").isNotNull() & F.col("table").isNotNull() & F.col("type").isNotNull()
     filled = F.col("data").isNotNull() | F.col("type").isin(*MAINTENANCE_TYPES)
     return parsed.withColumn("is_dirty", ~(named & filled))
@@ -51,18 +61,18 @@ def _camel(name: str) -> str:
     return head + "".join(part.title() for part in tail)
 
 
-def config_changes(df: DataFrame, value: str = "value") -> DataFrame:
-    """SRC3/SRC4: parse configuration changes: ``op``, ``is_deleted`` and the five settings.
+def table_changes(df: DataFrame, columns: tuple[str, ...], value: str = "value", camel: bool = False) -> DataFrame:
+    """SRC4: parse change log entries of any table: ``op``, ``is_deleted`` and ``columns``, as text.
 
     A delete is described by its ``before`` image, any other change by
-    ``after``. Snake-case and camel-case keys are both read. Rows without a
-    source table are dropped.
+    ``after``. With ``camel``, camel-case keys are read as well. Unreadable rows
+    have a NULL ``op``.
     """
     fields = {"op": ("op", "string")}
     for image in ("before", "after"):
-        for name in CONFIG_FIELDS:
+        for name in columns:
             fields[f"_{image}_{name}"] = (f"{image}.{name}", "string")
-            fields[f"_{image}_{name}_camel"] = (f"{image}.{_camel(name)}", "string")
+            fields[f"_{image}_{name}_camel"] = (f"{image}.{_camel(name) if camel else name}", "string")
     parsed = parse_records(df, value, "_record", fields).drop("_record")
     deleted = F.col("op") == DELETE_OP
 
@@ -71,11 +81,38 @@ def config_changes(df: DataFrame, value: str = "value") -> DataFrame:
 
     settings = [
         F.when(deleted, setting("before", name)).otherwise(setting("after", name)).alias(name)
-        for name in CONFIG_FIELDS
+        for name in columns
     ]
-    return parsed.select(*df.columns, "op", deleted.alias("is_deleted"), *settings).where(
-        F.col("op").isNotNull() & F.col("source_table").isNotNull()
+    # A barrier as in parse_records: conditions on the settings stay above the parse.
+    change = F.explode(F.array(F.struct("op", deleted.alias("is_deleted"), *settings))).alias("_change")
+    return parsed.select(*df.columns, change).select(*df.columns, "_change.*")
+
+
+def judged_config(df: DataFrame, value: str = "value") -> DataFrame:
+    """SRC3/SRC4: all configuration changes with ``problem``, which is NULL for those that count.
+
+    A change needs an operation and a source table and, unless it is a delete,
+    a sink table and a primary key among the sink columns: one without would
+    fail every batch later.
+    """
+    parsed = table_changes(df, CONFIG_FIELDS, value, camel=True)
+    keys = F.split("sink_primary_key", ",")
+    keyed = F.size(F.array_except(keys, F.split("sink_columns", ","))) == 0
+    problem = (
+        F.when(F.col("op").isNull() | F.col("source_table").isNull(), "unreadable")
+        .when(F.col("is_deleted"), None)
+        .when(F.col("sink_table").isNull() | F.col("sink_columns").isNull(), "no sink")
+        .when(~F.coalesce(keyed, F.lit(False)), "no primary key among the columns")
     )
+    return parsed.withColumn("problem", problem)
+
+
+def config_changes(df: DataFrame, value: str = "value") -> DataFrame:
+    """SRC3/SRC4: configuration changes that count: ``op``, ``is_deleted`` and the five settings.
+
+    The others are those of :func:`judged_config` with a ``problem``.
+    """
+    return judged_config(df, value).where(F.col("problem").isNull()).drop("problem")
 
 
 def current_config(changes: DataFrame, order: str = "seq") -> DataFrame:
@@ -153,9 +190,9 @@ def route_as_of(
     )
     rows = records.where(F.col(table).isNotNull()).withColumn("_kind", F.lit(1))
     both = rows.unionByName(log, allowMissingColumns=True)
-    hot = sizes.hot_keys(both, table, group_rows)
-    carried = _carry_versions(both, log, hot, table, order, group_rows)
-    chunked = sizes.with_chunk(both, table, order, hot, group_rows).unionByName(carried, allowMissingColumns=True)
+    hot = sizes.hot_keys(both, table, group_rows, order)
+    carried = _carry_versions(both, log, hot, table, order)
+    chunked = sizes.with_chunk(both, table, order, hot).unionByName(carried, allowMissingColumns=True)
 
     so_far = W.partitionBy(table, "_chunk").orderBy(order, "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = chunked.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
@@ -164,15 +201,14 @@ def route_as_of(
 
 
 def _carry_versions(
-    both: DataFrame, log: DataFrame, hot: DataFrame, table: str, order: str, group_rows: int
+    both: DataFrame, log: DataFrame, hot: DataFrame, table: str, order: str
 ) -> DataFrame:
     """For hot tables: the version in force at the start of each chunk that has rows."""
 
     def in_chunks(df: DataFrame) -> DataFrame:
-        chunk = sizes.floor_div(F.col(order), group_rows)
-        return df.join(F.broadcast(hot), F.col(table) == F.col("_hot_key")).withColumn("_chunk", chunk)
+        return df.join(F.broadcast(hot), F.col(table) == F.col("_hot_key")).withColumn("_chunk", sizes.chunk_of(order))
 
-    chunks = in_chunks(both.select(table, order)).select(table, "_chunk").distinct()
+    chunks = in_chunks(both.select(table, order)).groupBy(table, "_chunk").agg(F.min(order).alias("_first"))
     last = latest_per_key(in_chunks(log), [table, "_chunk"], [order]).select(table, "_chunk", "_version")
     before = W.partitionBy(table).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = chunks.join(last, [table, "_chunk"], "left").withColumn(
@@ -180,7 +216,7 @@ def _carry_versions(
     )
     return carried.where(F.col("_version").isNotNull()).select(
         table,
-        (F.col("_chunk") * F.lit(group_rows)).alias(order),
+        F.col("_first").alias(order),
         F.lit(-1).alias("_kind"),
         "_version",
         "_chunk",

@@ -35,33 +35,39 @@ def floor_div(value: Column, width: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width)).cast("bigint")
 
 
-def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, order: str | None = None) -> DataFrame:
     """Keys with more than ``group_rows`` rows, as ``_hot_key``.
 
-    The count is combined before its shuffle, and at most
-    ``rows / group_rows`` keys can qualify, which bounds the broadcast.
+    With ``order``, also the numbers at which their chunks begin (``_low``) and
+    the width (``_width``) that gives about ``rows / group_rows`` chunks, however
+    sparse the numbers are. The counts are combined before the shuffle, and at
+    most ``rows / group_rows`` keys can qualify, which bounds the broadcast.
     """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count("*").alias("_hot_rows"))
-        .where(F.col("_hot_rows") > group_rows)
-        .drop("_hot_rows")
-    )
+    counts = [F.count("*").alias("_hot_rows")]
+    if order is not None:
+        counts += [F.min(order).cast("bigint").alias("_low"), F.max(order).cast("bigint").alias("_high")]
+    hot = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot_key")).agg(*counts).where(F.col("_hot_rows") > group_rows)
+    if order is None:
+        return hot.select("_hot_key")
+    chunks = F.call_function("div", F.col("_hot_rows") + F.lit(group_rows - 1), F.lit(group_rows))
+    width = F.call_function("div", F.col("_high") - F.col("_low"), chunks) + 1
+    return hot.select("_hot_key", "_low", width.cast("bigint").alias("_width"))
+
+
+def chunk_of(order: str) -> Column:
+    """The chunk of a row of a hot key; needs ``_low`` and ``_width``."""
+    return F.call_function("div", F.col(order) - F.col("_low"), F.col("_width")).cast("bigint")
 
 
-def with_chunk(df: DataFrame, key: str, order: str, hot: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def with_chunk(df: DataFrame, key: str, order: str, hot: DataFrame) -> DataFrame:
     """Add ``_chunk``, an order-contiguous chunk number that splits hot keys only.
 
-    Cold keys keep chunk 0. ``order`` is an integer that is unique within a
-    key, so one (key, chunk) pair never holds more than ``group_rows`` rows.
+    Cold keys keep chunk 0. ``hot`` comes from :func:`hot_keys` with ``order``.
     """
-    marks = F.broadcast(hot.select("_hot_key"))
-    chunk = F.when(F.col("_hot_key").isNotNull(), floor_div(F.col(order), group_rows))
     return (
-        df.join(marks, F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_chunk", F.coalesce(chunk, F.lit(0).cast("bigint")))
-        .drop("_hot_key")
+        df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+        .withColumn("_chunk", F.coalesce(chunk_of(order), F.lit(0).cast("bigint")))
+        .drop(*hot.columns)
     )
 
 

@@ -95,8 +95,8 @@ def first_entry_per_day(
     """
     entry = is_missing("last_page_id") if entry is None else entry
     entries = df.where(entry & F.col(key).isNotNull()).withColumn("visit_date", local_date(ts, tz))
-    hot = sizes.hot_keys(entries, key, group_rows)
-    chunked = sizes.with_chunk(entries, key, order, hot, group_rows)
+    hot = sizes.hot_keys(entries, key, group_rows, order)
+    chunked = sizes.with_chunk(entries, key, order, hot)
 
     day = F.col("visit_date")
     within = W.partitionBy(key, "_chunk").orderBy(order)

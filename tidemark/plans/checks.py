@@ -88,6 +88,27 @@ _SPLIT = f"WITH {_RAW} SELECT seq, channel, position, is_new, page_id, item, CAS
 
 _DIM_ROWS = f"WITH {_DIM} SELECT id, price FROM last_routed WHERE sink_table = 'dim_nation_0'"
 
+_CONFIG_ASOF = """SELECT e.event_id, o.o_orderkey AS k FROM events e
+ASOF JOIN orders o ON e.user_id = o.o_custkey AND e.event_id >= o.o_orderkey
+WHERE o.o_orderstatus <> 'F'"""
+
+_CONFIG_JOIN = f"""WITH {_DIM} SELECT chg.seq, chg.tbl AS "table", cur.sink_table, cur.sink_columns
+FROM chg JOIN cur ON chg.tbl = cur.source_table WHERE db = 'shop'"""
+
+_PARSED = f"""WITH {_RAW} SELECT seq, dirty AS is_dirty, CASE WHEN NOT dirty THEN CAST(mid AS VARCHAR) END AS mid,
+  CASE WHEN NOT dirty THEN is_new END AS is_new, CASE WHEN NOT dirty THEN ts END AS ts FROM raw"""
+
+_PAGE_UV = f"""WITH {_RAW} SELECT seq, CAST(mid AS VARCHAR) AS mid, d FROM (
+  SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY seq) AS p FROM fixed WHERE is_page AND lp IS NULL) x
+WHERE p IS NULL OR p <> d"""
+
+_PAGE_JUMP = f"""WITH {_RAW} SELECT CAST(mid AS VARCHAR) AS mid, seq, s2 FROM (
+  SELECT *, lead(seq) OVER w AS s2, lead(ts) OVER w AS t2, lead(coalesce(length(lp), 0) = 0) OVER w AS e2
+  FROM fixed WHERE is_page WINDOW w AS (PARTITION BY mid ORDER BY ts, seq)) x
+WHERE coalesce(length(lp), 0) = 0 AND e2 AND t2 - ts < 3600000"""
+
+_FOLDED = f"WITH {_DIM} SELECT sink_table, id, last_order, price FROM last_routed"
+
 ORACLES: dict[str, str] = {
     "first_visit_repair": _REPAIR,
     "daily_uv": _UV,
@@ -98,11 +119,8 @@ WHERE rn = 1 AND o_orderstatus <> 'F'""",
     "config_fold": f"""WITH {_DIM} SELECT chg.tbl AS "table", cur.sink_table, cur.sink_columns,
   'id' AS sink_primary_key, CAST(NULL AS VARCHAR) AS sink_extend, count(*) AS n_records
 FROM chg JOIN cur ON chg.tbl = cur.source_table GROUP BY ALL""",
-    "config_join": f"""WITH {_DIM} SELECT chg.seq, chg.tbl AS "table", cur.sink_table, cur.sink_columns
-FROM chg JOIN cur ON chg.tbl = cur.source_table WHERE db = 'shop'""",
-    "config_asof_join": """SELECT e.event_id, o.o_orderkey AS k FROM events e
-ASOF JOIN orders o ON e.user_id = o.o_custkey AND e.event_id >= o.o_orderkey
-WHERE o.o_orderstatus <> 'F'""",
+    "config_join": _CONFIG_JOIN,
+    "config_asof_join": _CONFIG_ASOF,
     "prune_columns": f"""WITH {_DIM} SELECT chg.seq, len(string_split(sink_columns, ',')) AS n_columns, id,
   CASE WHEN list_contains(string_split(sink_columns, ','), 'last_order') THEN last_order END AS last_order, price
 FROM chg JOIN cur ON chg.tbl = cur.source_table""",
@@ -111,8 +129,7 @@ FROM chg JOIN cur ON chg.tbl = cur.source_table""",
   CASE WHEN c.sink_columns LIKE '%last_order%' THEN w.last_order END AS last_order, w.price
 FROM wanted w JOIN cur c ON w.tbl = c.source_table""",
     "dimension_routing_asof": f"WITH {_DIM} SELECT seq, sink_table, type, id, last_order, price FROM asof_routed",
-    "parse_dirty": f"""WITH {_RAW} SELECT seq, dirty AS is_dirty, CASE WHEN NOT dirty THEN CAST(mid AS VARCHAR) END AS mid,
-  CASE WHEN NOT dirty THEN is_new END AS is_new, CASE WHEN NOT dirty THEN ts END AS ts FROM raw""",
+    "parse_dirty": _PARSED,
     "json_paths": f"""WITH {_RAW} SELECT seq, CASE WHEN NOT dirty THEN CAST(mid AS VARCHAR) END AS mid,
   CASE WHEN NOT dirty THEN ts END AS ts, event_type = 'error' AS has_err,
   CAST(CASE WHEN is_page AND NOT dirty THEN k % 3 END AS BIGINT) AS n_actions,
@@ -129,13 +146,8 @@ WHERE channel IN ('action', 'display')""",
     "field_drop": f"""WITH {_RAW} SELECT seq, TRUE AS no_actions, TRUE AS no_displays, event_type AS page_id,
   lp AS last_page_id, ts FROM raw WHERE is_page AND NOT dirty""",
     "traffic_split": _SPLIT,
-    "page_log_uv": f"""WITH {_RAW} SELECT seq, CAST(mid AS VARCHAR) AS mid, d FROM (
-  SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY seq) AS p FROM fixed WHERE is_page AND lp IS NULL) x
-WHERE p IS NULL OR p <> d""",
-    "page_log_jump_out": f"""WITH {_RAW} SELECT CAST(mid AS VARCHAR) AS mid, seq, s2 FROM (
-  SELECT *, lead(seq) OVER w AS s2, lead(ts) OVER w AS t2, lead(coalesce(length(lp), 0) = 0) OVER w AS e2
-  FROM fixed WHERE is_page WINDOW w AS (PARTITION BY mid ORDER BY ts, seq)) x
-WHERE coalesce(length(lp), 0) = 0 AND e2 AND t2 - ts < 3600000""",
+    "page_log_uv": _PAGE_UV,
+    "page_log_jump_out": _PAGE_JUMP,
     "time_fns": """SELECT event_id AS seq, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day,
   strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS moment,
   epoch_us(date_trunc('day', ts + INTERVAL 8 HOUR) - INTERVAL 8 HOUR) // 1000 AS day_ms,
@@ -147,7 +159,7 @@ WHERE coalesce(length(lp), 0) = 0 AND e2 AND t2 - ts < 3600000""",
 WHERE rn = 1""",
     "dimension_upsert": f"""WITH {_DIM} SELECT sink_table, id, last_order, price FROM last_routed
 WHERE type <> 'delete'""",
-    "dimension_compacted": f"WITH {_DIM} SELECT sink_table, id, last_order, price FROM last_routed",
+    "dimension_compacted": _FOLDED,
     "create_table": _DIM_ROWS,
     "channel_files": f"WITH {_RAW} SELECT channel, count(*) AS n FROM routed GROUP BY channel",
     "topic_rows": f"""WITH {_RAW} SELECT 'dwd_traffic_' || channel || '_log' AS topic, CAST(mid AS VARCHAR) AS mid,
@@ -156,5 +168,32 @@ WHERE type <> 'delete'""",
     "daily_uv_stream": _UV,
     "jump_out_stream": _JUMP,
     "traffic_split_stream": _SPLIT,
-    "dimension_stream": _DIM_ROWS,
+    "dimension_stream": _FOLDED,
+    "page_files_uv": _PAGE_UV,
+    "page_files_jump_out": _PAGE_JUMP,
+    "uv_topic_rows": f"""WITH {_RAW} SELECT 'dwd_traffic_uv_log' AS topic, CAST(mid AS VARCHAR) AS mid, event_type AS page_id, ts FROM (
+  SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY seq) AS p FROM fixed WHERE is_page AND lp IS NULL) x
+WHERE p IS NULL OR p <> d""",
+    "traffic_split_element": f"""WITH {_RAW} SELECT seq, channel, position,
+  CASE WHEN channel = 'start' THEN CAST(mid AS VARCHAR) END AS common_mid, CAST(NULL AS VARCHAR) AS page_id, item,
+  CASE WHEN channel <> 'action' THEN coalesce(ts, start_ts) END AS ts
+FROM (SELECT r.seq, r.channel, r.position, r.item, r.ts, f.mid, f.ts AS start_ts
+  FROM routed r JOIN fixed f ON f.seq = r.seq WHERE r.channel IN ('action', 'display', 'start')) x""",
+    "parse_padded": _PARSED,
+    "page_rejected": f"""WITH {_RAW} SELECT seq, length('{{"common":{{"mid":"' || mid || '","is_new":"' || is_new || '"}},"page":{{"page_id":"purchase"'
+  || ',"last_page_id":"purchase"}},"actions":' || CASE k % 3 WHEN 0 THEN '[]' WHEN 1 THEN '[{{"action_id":"a0"}}]'
+    ELSE '[{{"action_id":"a0"}},{{"action_id":"a1"}}]' END
+  || ',"displays":' || CASE k % 2 WHEN 0 THEN '[]' ELSE '[{{"item":' || k || ',"order":1}}]' END || ',"ts":' || ts || '}}') - 2 AS n_chars
+FROM raw WHERE dirty""",
+    "dimension_dirty": f"""WITH {_DIM} SELECT 'change' AS kind, seq, 'unreadable' AS problem FROM chg
+  WHERE seq % 11 = 0 OR (seq % 13 = 0 AND seq % 11 <> 0)
+UNION ALL SELECT 'config', seq, CASE WHEN (seq // 500) % 9 = 1 THEN 'unreadable' ELSE 'no primary key among the columns' END
+FROM cfg WHERE (seq // 500) % 9 = 1 OR ((seq // 500) % 9 IN (3, 5) AND NOT deleted)""",
+    "dimension_compacted_delete": f"""WITH {_DIM} SELECT sink_table, id, last_order, price FROM last_routed WHERE type <> 'delete'""",
+    "dimension_widened": f"""WITH {_DIM} SELECT id, last_order, price FROM last_routed WHERE sink_table = 'dim_nation_1'""",
+    "first_visit_repair_large": _REPAIR,
+    "daily_uv_large": _UV,
+    "daily_uv_sparse": _UV,
+    "config_asof_join_large": _CONFIG_ASOF,
+    "config_join_large": _CONFIG_JOIN,
 }

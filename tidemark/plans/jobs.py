@@ -13,6 +13,7 @@ from tidemark.operators.routing import (
     config_changes,
     current_config,
     from_database,
+    judged_config,
     prune_data,
     route_as_of,
     route_current,
@@ -34,15 +35,32 @@ def split_traffic(
     return route_channels(repaired, context, keep_start_context)
 
 
-def page_records(pages: DataFrame, last_page: str = "page.last_page_id") -> DataFrame:
-    """Parse page-log text into ``mid, ts, last_page_id`` beside the raw text; drops dirty rows."""
-    fields = {
-        "mid": ("common.mid", "string"),
-        "ts": ("ts", "bigint"),
-        "last_page_id": (last_page, "string"),
-    }
-    parsed = parse_records(pages, fields=fields).drop("record")
-    return parsed.where(F.col("mid").isNotNull() & is_instant("ts"))
+LAST_PAGE = "page.last_page_id"
+PAGE_COLUMNS = ("mid", "ts", "last_page_id")
+
+
+def judged_pages(pages: DataFrame, last_page: str = LAST_PAGE) -> DataFrame:
+    """Page rows with ``mid, ts, last_page_id, is_dirty``.
+
+    Rows of the page channel have these columns already and are not parsed
+    again, unless ``last_page`` names another field than the channel's.
+    """
+    if last_page == LAST_PAGE and set(PAGE_COLUMNS) <= set(pages.columns):
+        parsed = pages
+    else:
+        fields = {"mid": ("common.mid", "string"), "ts": ("ts", "bigint"), "last_page_id": (last_page, "string")}
+        parsed = parse_records(pages.drop(*PAGE_COLUMNS), fields=fields).drop("record")
+    return parsed.withColumn("is_dirty", ~F.coalesce(F.col("mid").isNotNull() & is_instant("ts"), F.lit(False)))
+
+
+def page_records(pages: DataFrame, last_page: str = LAST_PAGE) -> DataFrame:
+    """The clean rows of :func:`judged_pages`."""
+    return judged_pages(pages, last_page).where(~F.col("is_dirty")).drop("is_dirty")
+
+
+def rejected_pages(pages: DataFrame, last_page: str = LAST_PAGE) -> DataFrame:
+    """The rows that the page jobs leave out, with their raw text."""
+    return judged_pages(pages, last_page).where(F.col("is_dirty")).drop("is_dirty", *PAGE_COLUMNS)
 
 
 def daily_unique_visitors(pages: DataFrame, order: str = "seq", tz: str = DISPLAY_ZONE) -> DataFrame:
@@ -54,7 +72,7 @@ def jump_outs(
     pages: DataFrame,
     order: str = "seq",
     within_ms: int = JUMP_OUT_MS,
-    last_page: str = "page.last_page_id",
+    last_page: str = LAST_PAGE,
 ) -> DataFrame:
     """Jump-out: two entry pages of a device in a row; the jump-out is ``first``."""
     entry = is_blank("last_page_id")
@@ -63,6 +81,16 @@ def jump_outs(
     )
 
 
+def rejected_changes(changes: DataFrame) -> DataFrame:
+    """Change rows that cannot be read, with their raw text."""
+    return change_records(changes).where(F.col("is_dirty")).select(*changes.columns)
+
+
+def rejected_config(config: DataFrame) -> DataFrame:
+    """Configuration rows that do not count, with their raw text and the ``problem``."""
+    return judged_config(config).where(F.col("problem").isNotNull()).select(*config.columns, "problem")
+
+
 def route_dimensions(
     changes: DataFrame,
     config: DataFrame,
@@ -72,7 +100,8 @@ def route_dimensions(
 ) -> DataFrame:
     """Dimension routing: configured tables of one database, with only their configured columns.
 
-    Both inputs are raw text. ``as_of`` replays the configuration as it was
+    Both inputs are raw text; :func:`rejected_changes` and :func:`rejected_config`
+    give the rows that are left out as unreadable. ``as_of`` replays the configuration as it was
     when each record arrived instead of using the one in force.
     """
     records = change_records(changes).where(~F.col("is_dirty")).drop("is_dirty", "value")

@@ -25,14 +25,30 @@ from tidemark.operators.routing import (
 from tidemark.operators.split import CHANNEL_TOPICS, route_channels
 from tidemark.operators.visits import first_entry_per_day, repair_first_visit
 from tidemark.plans import inputs
-from tidemark.plans.jobs import daily_unique_visitors, jump_outs, route_dimensions, split_traffic
+from tidemark.plans.jobs import (
+    daily_unique_visitors,
+    jump_outs,
+    rejected_changes,
+    rejected_config,
+    rejected_pages,
+    route_dimensions,
+    split_traffic,
+)
 from tidemark.session import shared_folder
 from tidemark.sinks import channels, dimensions as dims
+from tidemark.sources.text import landed_text, read_log
 from tidemark.streaming import jobs, operators as streams
+from tidemark.streaming.state import file_sink, read_sink
 
 # The driver events are sparse: one hour gives the pattern enough pairs.
 HOUR_MS = 60 * 60 * 1000
 
+# A dimension whose configuration has all columns.
+WIDE_DIMENSION = "dim_nation_1"
+
+# Small limits, so that the branches for large sides and hot keys run on these tables.
+FEW_ROWS = 40
+
 
 def first_visit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_first_visit(inputs.log_view(spark, sf_dir)).select("seq", "mid", "ts", "is_new")
@@ -61,6 +77,10 @@ def changelog_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asof(spark, sf_dir)
+
+
+def _asof(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     records = inputs.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("user_id").alias("table"))
     changes = inputs.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("seq"),
@@ -68,7 +88,7 @@ def config_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "F").alias("is_deleted"),
         F.col("o_orderkey").alias("k"),
     )
-    return route_as_of(records, changes, settings=("k",)).select(F.col("seq").alias("event_id"), "k")
+    return route_as_of(records, changes, settings=("k",), **limits).select(F.col("seq").alias("event_id"), "k")
 
 
 def config_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,17 +201,96 @@ def traffic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_log_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily unique visitors from the page channel of the split log."""
-    pages = split_traffic(inputs.raw_log(spark, sf_dir)).where(F.col("channel") == "page").select("seq", "value")
+    pages = split_traffic(inputs.raw_log(spark, sf_dir)).where(F.col("channel") == "page")
     return daily_unique_visitors(pages).select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
 
 
 def page_log_jump_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jump-outs from the page channel of the split log."""
-    pages = split_traffic(inputs.raw_log(spark, sf_dir)).where(F.col("channel") == "page").select("seq", "value")
+    pages = split_traffic(inputs.raw_log(spark, sf_dir)).where(F.col("channel") == "page")
     pairs = jump_outs(pages, within_ms=HOUR_MS)
     return pairs.select("mid", F.col("first.seq").alias("seq"), F.col("second.seq").alias("s2"))
 
 
+def _page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page channel as the file sink wrote it."""
+    path = shared_folder(spark, "channels")
+    channels.write_channels(split_traffic(inputs.raw_log(spark, sf_dir)), path)
+    return spark.read.parquet(path).where("channel = 'page'")
+
+
+def page_files_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = daily_unique_visitors(_page_files(spark, sf_dir))
+    return found.select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
+
+
+def page_files_jump_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = jump_outs(_page_files(spark, sf_dir), within_ms=HOUR_MS)
+    return pairs.select("mid", F.col("first.seq").alias("seq"), F.col("second.seq").alias("s2"))
+
+
+def uv_topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily unique visitors as rows for their topic."""
+    pages = split_traffic(inputs.raw_log(spark, sf_dir)).where(F.col("channel") == "page")
+    rows = channels.uv_topic_rows(daily_unique_visitors(pages))
+    page = F.get_json_object("value", "$.page.page_id")
+    return rows.select("topic", F.col("key").alias("mid"), page.alias("page_id"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
+def traffic_split_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split with actions and displays read from their elements alone, and start rows with their context."""
+    routed = split_traffic(inputs.raw_log(spark, sf_dir), context="element", keep_start_context=True)
+    path = lambda name: F.get_json_object("value", f"$.{name}")
+    return routed.where("channel IN ('action', 'display', 'start')").select(
+        "seq",
+        "channel",
+        "position",
+        path("common.mid").alias("common_mid"),
+        path("page.page_id").alias("page_id"),
+        F.coalesce(path("action_id"), path("item"), path("action.action_id"), path("display.item"), path("start.entry")).alias("item"),
+        path("ts").cast("bigint").alias("ts"),
+    )
+
+
+def parse_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with all kinds of JSON white space around them."""
+    pad = F.element_at(F.array(*[F.lit(p) for p in ("\n", "\r\n", "\t", " \t\r\n ")]), (F.col("seq") % 4 + 1).cast("int"))
+    raw = inputs.raw_log(spark, sf_dir).withColumn("value", F.concat(pad, "value", pad))
+    parsed = log_records(raw)
+    clean = lambda c: F.when(~F.col("is_dirty"), F.col(c)).alias(c)
+    return parsed.select("seq", "is_dirty", "mid", clean("is_new"), clean("ts"))
+
+
+def page_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records that the page jobs leave out."""
+    return rejected_pages(inputs.raw_log(spark, sf_dir)).select("seq", F.length("value").cast("bigint").alias("n_chars"))
+
+
+def _broken_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh change is cut off, every thirteenth has no table."""
+    cut = F.substring("value", F.lit(1), F.length("value") - 1)
+    unnamed = F.replace("value", F.lit('"table"'), F.lit('"tables"'))
+    value = F.when(F.col("seq") % 11 == 0, cut).when(F.col("seq") % 13 == 0, unnamed).otherwise(F.col("value"))
+    return inputs.raw_changes(spark, sf_dir).withColumn("value", value)
+
+
+def _broken_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd configuration rows of ``raw_config``: cut off, without a key, with a key outside the columns."""
+    n = (F.col("seq") / 500).cast("int")
+    text = F.col("value")
+    broken = (
+        F.when(n % 9 == 1, F.substring(text, F.lit(1), F.length(text) - 1))
+        .when(n % 9 == 3, F.replace(text, F.lit(',"sink_primary_key":"id"'), F.lit("")))
+        .when(n % 9 == 5, F.replace(text, F.lit('"sink_primary_key":"id"'), F.lit('"sink_primary_key":"id,uid"')))
+    )
+    return inputs.raw_config(spark, sf_dir).withColumn("value", F.coalesce(broken, text))
+
+
+def dimension_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that dimension routing leaves out as unreadable, and why."""
+    changes = rejected_changes(_broken_changes(spark, sf_dir)).select(F.lit("change").alias("kind"), "seq", F.lit("unreadable").alias("problem"))
+    return changes.union(rejected_config(_broken_config(spark, sf_dir)).select(F.lit("config"), "seq", "problem"))
+
 def time_fns(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = inputs.log_view(spark, sf_dir)
     day, moment = t.to_date_text("ts"), t.to_datetime_text("ts")
@@ -259,8 +358,27 @@ def _stored_changes(spark: SparkSession, sf_dir: str) -> str:
 
 def dimension_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed changes stored as one batch, then the current rows of all dimensions, deletes applied."""
-    changes = dims.read_changes(spark, _stored_changes(spark, sf_dir))
-    rows = dims.fold_rows(changes, ["id", "last_order", "price"], ("sink_table", "row_key"), on_delete="delete")
+    return _folded_rows(dims.read_changes(spark, _stored_changes(spark, sf_dir)), "delete")
+
+
+def dimension_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``dimension_upsert``, read after the change folder was compacted; deletes are upserts."""
+    return _folded_rows(_compacted(spark, sf_dir), "upsert")
+
+
+def dimension_compacted_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder read with deletes applied: compaction keeps both readings."""
+    return _folded_rows(_compacted(spark, sf_dir), "delete")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = shared_folder(spark, "folded")
+    dims.compact_changes(spark, _stored_changes(spark, sf_dir), folded)
+    return dims.read_changes(spark, folded)
+
+
+def _folded_rows(changes: DataFrame, on_delete: str) -> DataFrame:
+    rows = dims.fold_rows(changes, ["id", "last_order", "price"], ("sink_table", "row_key"), on_delete=on_delete)
     return rows.select(
         "sink_table",
         F.col("id").cast("bigint").alias("id"),
@@ -269,15 +387,15 @@ def dimension_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dimension_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``dimension_upsert``, read after the change folder was compacted; deletes are upserts."""
-    folded = shared_folder(spark, "folded")
-    dims.compact_changes(spark, _stored_changes(spark, sf_dir), folded)
-    return dims.read_changes(spark, folded).select(
-        "sink_table",
-        F.col("data")["id"].cast("bigint").alias("id"),
-        F.col("data")["last_order"].cast("bigint").alias("last_order"),
-        F.col("data")["price"].cast("double").alias("price"),
+def dimension_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published with two columns, then again after its configuration gained one."""
+    schema = f"dims_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{shared_folder(spark, 'dimensions')}'")
+    path = _stored_changes(spark, sf_dir)
+    for columns in ("id,price", "id,last_order,price"):
+        name = dims.publish_dimension(spark, path, schema, WIDE_DIMENSION, columns, "id")
+    return spark.table(name).select(
+        F.col("id").cast("bigint").alias("id"), F.col("last_order").cast("bigint").alias("last_order"), F.col("price").cast("double").alias("price")
     )
 
 
@@ -303,28 +421,80 @@ def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("topic", F.col("key").alias("mid")).agg(F.count("*").alias("n"))
 
 
-def _finished(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Run a stream over what is there and return what it wrote."""
-    out, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-checkpoint")
-    jobs.run_to_end(df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
-    return spark.read.schema(df.schema).parquet(out)
+def first_visit_repair_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair_first_visit(inputs.log_view(spark, sf_dir), group_rows=FEW_ROWS, max_rows=0)
+    return found.select("seq", "mid", "ts", "is_new")
+
+
+def daily_uv_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = first_entry_per_day(inputs.log_view(spark, sf_dir), group_rows=FEW_ROWS)
+    return found.select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
+
+
+def daily_uv_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival numbers a million apart still give about ``rows / group_rows`` chunks."""
+    logs = inputs.log_view(spark, sf_dir).withColumn("seq", F.col("seq") * 1_000_000)
+    found = first_entry_per_day(logs, group_rows=FEW_ROWS)
+    return found.select((F.col("seq") / 1_000_000).cast("bigint").alias("seq"), "mid", F.col("visit_date").cast("string").alias("d"))
+
+
+def config_asof_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asof(spark, sf_dir, group_rows=FEW_ROWS, max_rows=0)
+
+
+def config_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = from_database(change_records(inputs.raw_changes(spark, sf_dir)), "shop")
+    config = current_config(config_changes(inputs.raw_config(spark, sf_dir)))
+    joined = route_current(records.select("seq", "table"), config, group_rows=FEW_ROWS, max_rows=0)
+    return joined.select("seq", "table", "sink_table", "sink_columns")
+
+
+def _landed(spark: SparkSession, df: DataFrame, parts: int = 4) -> tuple[str, str]:
+    """Write rows as files in arrival order, one for each trigger; the folder and the schema."""
+    path = shared_folder(spark, "landed")
+    cuts = df.stat.approxQuantile("seq", [i / parts for i in range(1, parts)], 0.001)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df.where((F.lit(True) if low is None else F.col("seq") > low) & (F.lit(True) if high is None else F.col("seq") <= high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
+def _landed_stream(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path, schema = _landed(spark, df)
+    return landed_text(spark, path, True, schema, files_per_trigger=1)
+
+
+def _landed_log(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Raw text through the general reader."""
+    path, _ = _landed(spark, df.select("value", "seq"))
+    return read_log(spark, {"kind": "landed", "path": path, "files_per_trigger": 1})
+
+
+def _folders(spark: SparkSession) -> tuple[str, str]:
+    return shared_folder(spark, "stream"), shared_folder(spark, "stream-checkpoint")
 
 
 def first_visit_repair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = inputs.log_view(spark, sf_dir, stream=True)
-    return _finished(spark, streams.repair_first_visit_stream(source)).select("seq", "mid", "ts", "is_new")
+    out, checkpoint = _folders(spark)
+    jobs.run_to_end(streams.repair_first_visit_stream(_landed_stream(spark, inputs.log_view(spark, sf_dir)), file_sink(out), checkpoint))
+    return read_sink(spark, out).select("seq", "mid", "ts", "is_new")
 
 
 def daily_uv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = inputs.log_view(spark, sf_dir, stream=True)
-    found = _finished(spark, streams.first_entry_per_day_stream(source, ttl_ms=None))
-    return found.select("seq", "mid", F.col("visit_date").alias("d"))
+    out, checkpoint = _folders(spark)
+    jobs.run_to_end(streams.first_entry_per_day_stream(_landed_stream(spark, inputs.log_view(spark, sf_dir)), file_sink(out), checkpoint))
+    return read_sink(spark, out).select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
 
 
 def jump_out_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, entry = inputs.log_view(spark, sf_dir, stream=True), is_blank("last_page_id")
-    pairs = streams.match_next_stream(source, entry, entry, HOUR_MS, row="is_new", delay="0 seconds")
-    return _finished(spark, pairs).select(
+    """Pairs of a stream that ended, with those that were open at its end."""
+    out, checkpoint = _folders(spark)
+    entry = is_blank("last_page_id")
+    source = _landed_stream(spark, inputs.log_view(spark, sf_dir))
+    jobs.run_to_end(streams.match_next_stream(source, entry, entry, file_sink(out), checkpoint, HOUR_MS, row="is_new"))
+    last = spark.read.parquet(out).agg(F.max("batch_id")).first()[0]
+    matches = streams.NextMatches(spark, checkpoint, "bigint", HOUR_MS)
+    return read_sink(spark, out).unionByName(matches.rest(last)).select(
         "mid",
         F.col("first_seq").alias("seq"),
         F.col("second_seq").alias("s2"),
@@ -334,16 +504,16 @@ def jump_out_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def traffic_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = jobs.split_traffic_stream(inputs.raw_log(spark, sf_dir, stream=True))
-    out, checkpoint = shared_folder(spark, "channels"), shared_folder(spark, "channels-checkpoint")
-    jobs.run_to_end(channels.stream_channels(routed, out, checkpoint))
-    return _channel_fields(spark.read.parquet(out))
+    out, checkpoint = _folders(spark)
+    jobs.run_to_end(jobs.split_traffic_stream(_landed_log(spark, inputs.raw_log(spark, sf_dir)), file_sink(out, "channel"), checkpoint))
+    return _channel_fields(read_sink(spark, out))
 
 
 def dimension_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dimensions after four batches of changes."""
     path, checkpoint = shared_folder(spark, "changes"), shared_folder(spark, "changes-checkpoint")
     writer = jobs.route_dimensions_stream(
-        inputs.raw_changes(spark, sf_dir, stream=True),
+        _landed_log(spark, inputs.raw_changes(spark, sf_dir)),
         lambda: inputs.raw_config(spark, sf_dir),
         "shop",
         path,
@@ -351,7 +521,7 @@ def dimension_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_of=True,
     )
     jobs.run_to_end(writer)
-    return _dimension_rows(dims.read_dimension(spark, path, "dim_nation_0", "id,price"))
+    return _folded_rows(dims.read_changes(spark, path), "upsert")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -384,6 +554,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         create_table,
         channel_files,
         topic_rows,
+        page_files_uv,
+        page_files_jump_out,
+        uv_topic_rows,
+        traffic_split_element,
+        parse_padded,
+        page_rejected,
+        dimension_dirty,
+        dimension_compacted_delete,
+        dimension_widened,
+        first_visit_repair_large,
+        daily_uv_large,
+        daily_uv_sparse,
+        config_asof_join_large,
+        config_join_large,
         first_visit_repair_stream,
         daily_uv_stream,
         jump_out_stream,

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -30,23 +27,11 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keyed state with list values or expiry needs the RocksDB provider."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidemark"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root

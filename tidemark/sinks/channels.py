@@ -27,6 +27,15 @@ def stream_channels(routed: DataFrame, path: str, checkpoint: str) -> DataStream
     )
 
 
+# Fixed value: the topic of daily unique visitors.
+UV_TOPIC = "dwd_traffic_uv_log"
+
+
+def uv_topic_rows(visitors: DataFrame, topic: str = UV_TOPIC, key: str = "mid") -> DataFrame:
+    """SNK3: ``topic, key, value`` rows of daily unique visitors; the value is the page record as it came in."""
+    return visitors.select(F.lit(topic).alias("topic"), F.col(key).alias("key"), "value")
+
+
 def to_topics(routed: DataFrame, topics: dict[str, str] = CHANNEL_TOPICS, key: str = "mid") -> DataFrame:
     """``topic, key, value`` rows for the Kafka sink; channels without a topic are left out.
 

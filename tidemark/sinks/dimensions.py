@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators import sizes
 from tidemark.operators.changelog import latest_per_key
 
 # Fixed value: the change type of a removed source row.
@@ -27,8 +26,8 @@ def _quoted(*names: str) -> str:
 
 
 def dimension_schema(sink_columns: str) -> T.StructType:
-    """All columns of a dimension are text, in configured order."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in sink_columns.split(",")])
+    """All columns of a dimension are text, in configured order; empty names at the end are left out."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in sink_columns.rstrip(",").split(",")])
 
 
 def create_dimension(
@@ -47,13 +46,9 @@ def create_dimension(
 
 
 def create_dimensions(spark: SparkSession, schema: str, config: DataFrame) -> list[str]:
-    """SNK5 for every row of the configuration in force, whose size is checked."""
-    if not sizes.fits_broadcast(config):
-        raise ValueError("the configuration is too large to create its tables one by one")
-    return [
-        create_dimension(spark, schema, r.sink_table, r.sink_columns, r.sink_primary_key)
-        for r in config.collect()
-    ]
+    """SNK5 for every row of the configuration in force, one row at a time on the driver."""
+    rows = config.select("sink_table", "sink_columns", "sink_primary_key").toLocalIterator()
+    return [create_dimension(spark, schema, *row) for row in rows]
 
 
 def row_key(data: Column | str = "data", primary_key: Column | str = "sink_primary_key") -> Column:
@@ -84,10 +79,13 @@ def append_changes(routed: DataFrame, batch_id: int, path: str, order: str = "se
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """All stored changes: ``sink_table, row_key, type, data, seq, batch_id``."""
+    """All stored changes: ``sink_table, row_key, type, data, seq, batch_id``; none before the first batch."""
     schema = (
         "row_key string, type string, data map<string,string>, seq bigint, batch_id bigint, sink_table string"
     )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
@@ -151,40 +149,48 @@ def publish_dimension(
     primary_key: str | None = None,
     on_delete: str = "upsert",
 ) -> str:
-    """Write a dimension's current rows to its catalog table; running it again changes nothing."""
+    """Write a dimension's current rows to its catalog table; running it again changes nothing.
+
+    Columns that the configuration gained since the table was made are added to
+    it; those that it lost stay and become NULL.
+    """
     name = create_dimension(spark, schema, sink_table, sink_columns, primary_key)
     rows = read_dimension(spark, path, sink_table, sink_columns, on_delete)
-    rows.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    there = spark.table(name).columns
+    new = [c for c in rows.columns if c not in there]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{_quoted(c)} STRING' for c in new)})")
+    values = [F.col(_quoted(c)) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in there + new]
+    rows.select(*values).write.mode("overwrite").insertInto(name)
     return name
 
 
-def compact_changes(spark: SparkSession, path: str, new_path: str, on_delete: str = "upsert") -> None:
-    """Fold a change folder into a new one that holds each row once, as batch -1.
+def compact_changes(spark: SparkSession, path: str, new_path: str) -> None:
+    """Fold a change folder into a new one that holds each row once or twice, as batch -1.
 
-    Works on all tables together: the entries of ``data`` are folded one by one,
-    so a row's group holds one entry per column. Continue with ``new_path``
-    afterwards.
+    A row's last delete is kept, with the values that columns had by then, so
+    that both readings of deletes give the same as before; what was carried
+    later follows as a snapshot. Works on all tables together: the entries of
+    ``data`` are folded one by one, so a row's group holds two entries per
+    column at most. Continue with ``new_path`` afterwards.
     """
-    changes = read_changes(spark, path)
     row = ["sink_table", "row_key"]
-    # A removal becomes an entry without a column, so it folds together with the others.
-    removal = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
-    removed = _is_removal(on_delete)
-    entries = changes.select(*row, "seq", F.explode(F.when(removed, removal).otherwise(F.map_entries("data"))).alias("_e"))
-    latest = latest_per_key(entries.select(*row, "seq", "_e.*"), [*row, "key"], ["seq"])
-    written = F.when(F.col("key").isNotNull(), F.struct("seq", "key", "value"))
-    folded = latest.groupBy(*row).agg(
-        F.coalesce(F.max(F.when(F.col("key").isNull(), F.col("seq"))), F.lit(NEVER)).alias("_removed_at"),
-        F.collect_list(written).alias("_entries"),
+    changes = read_changes(spark, path)
+    removed = changes.where(F.col("type") == DELETE_TYPE).groupBy(*row).agg(F.max("seq").alias("_removed_at"))
+    entries = changes.select(*row, "seq", F.explode(F.map_entries("data")).alias("_e")).select(*row, "seq", "_e.*")
+    marked = entries.join(removed, row, "left").withColumn("_later", F.coalesce(F.col("seq") > F.col("_removed_at"), F.lit(True)))
+    latest = latest_per_key(marked, [*row, "_later", "key"], ["seq"])
+    folded = latest.groupBy(*row, "_later").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("data"),
+        F.max("seq").alias("_written_at"),
+        F.first("_removed_at").alias("_removed_at"),
     )
-    kept = F.filter("_entries", lambda e: e["seq"] > F.col("_removed_at"))
-    rows = folded.withColumn("_kept", kept).where(F.size("_kept") > 0)
-    snapshot = rows.select(
+    rows = folded.select(
         *row,
-        F.lit(SNAPSHOT_TYPE).alias("type"),
-        F.map_from_entries(F.transform("_kept", lambda e: F.struct(e["key"], e["value"]))).alias("data"),
-        F.array_max(F.transform("_kept", lambda e: e["seq"])).alias("seq"),
+        F.when(F.col("_later"), SNAPSHOT_TYPE).otherwise(DELETE_TYPE).alias("type"),
+        "data",
+        F.when(F.col("_later"), F.col("_written_at")).otherwise(F.col("_removed_at")).alias("seq"),
     )
-    snapshot.hint("rebalance", "sink_table").write.mode("overwrite").partitionBy("sink_table").parquet(
+    rows.hint("rebalance", "sink_table").write.mode("overwrite").partitionBy("sink_table").parquet(
         f"{new_path.rstrip('/')}/batch_id=-1"
     )

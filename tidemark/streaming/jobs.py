@@ -1,14 +1,14 @@
 """The four warehouse jobs as Structured Streaming queries.
 
-Each returns a streaming DataFrame or a writer; the caller picks source, sink
-and trigger. Writers always carry a checkpoint location.
+Each returns a writer; the caller picks source, sink and trigger. Writers always carry a checkpoint location, and keyed
+state lies beside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -20,57 +20,57 @@ from tidemark.operators.split import route_channels
 from tidemark.plans.jobs import page_records, route_dimensions
 from tidemark.sinks.dimensions import append_changes
 from tidemark.streaming.operators import (
-    MONOTONOUS_DELAY,
+    LATENESS_MS,
     VISIT_TTL_MS,
+    FirstVisits,
     first_entry_per_day_stream,
     match_next_stream,
-    repair_first_visit_stream,
 )
+from tidemark.streaming.state import Sink, batch_writer
 
 
 def split_traffic_stream(
-    raw: DataFrame, order: str = "seq", tz: str = DISPLAY_ZONE, context: str = "record"
-) -> DataFrame:
+    raw: DataFrame,
+    sink: Sink,
+    checkpoint: str,
+    order: str = "seq",
+    tz: str = DISPLAY_ZONE,
+    context: str = "record",
+    keep_start_context: bool = False,
+) -> DataStreamWriter:
     """Traffic split on a stream of ``value`` and ``order``: channel rows as in the batch plan.
 
-    Only the text and what the repair needs pass through the keyed state. Dirty
-    rows are keyed by a hash of their text, which spreads them over the tasks;
-    they leave no state.
+    Records are parsed once; dirty rows have no device and leave no state.
     """
-    own_key = F.concat(F.lit("dirty "), F.xxhash64("value").cast("string"))
-    slim = log_records(raw).select(
-        F.coalesce("mid", own_key).alias("device"),
-        F.col(order),
-        "value",
-        F.col("is_new").alias("repaired"),
-        F.when(~F.col("is_dirty"), F.col("ts")).alias("ts"),
-    )
-    repaired = repair_first_visit_stream(slim, "device", "repaired", "ts", order, tz)
-    records = log_records(repaired.drop("device", "ts")).withColumn(
-        "is_new", F.when(F.col("is_dirty"), F.col("is_new")).otherwise(F.col("repaired"))
-    )
-    return route_channels(records.drop("repaired"), context)
+    visits = FirstVisits(raw.sparkSession, checkpoint, "string", order=order, tz=tz)
+
+    def handle(records: DataFrame, batch_id: int) -> DataFrame:
+        return route_channels(visits.repair(records, batch_id), context, keep_start_context)
+
+    return batch_writer(log_records(raw), checkpoint, handle, sink)
 
 
 def daily_unique_visitors_stream(
-    pages: DataFrame, order: str = "seq", tz: str = DISPLAY_ZONE, ttl_ms: int | None = VISIT_TTL_MS
-) -> DataFrame:
+    pages: DataFrame, sink: Sink, checkpoint: str, order: str = "seq", tz: str = DISPLAY_ZONE, ttl_ms: int | None = VISIT_TTL_MS
+) -> DataStreamWriter:
     """Daily unique visitor on a page-log stream."""
     return first_entry_per_day_stream(
-        page_records(pages), order=order, entry=is_missing("last_page_id"), tz=tz, ttl_ms=ttl_ms
+        page_records(pages), sink, checkpoint, order=order, entry=is_missing("last_page_id"), tz=tz, ttl_ms=ttl_ms
     )
 
 
 def jump_outs_stream(
     pages: DataFrame,
+    sink: Sink,
+    checkpoint: str,
     order: str = "seq",
     within_ms: int = JUMP_OUT_MS,
     last_page: str = "page.last_page_id",
-    delay: str = MONOTONOUS_DELAY,
-) -> DataFrame:
+    lateness_ms: int = LATENESS_MS,
+) -> DataStreamWriter:
     """Jump-out on a page-log stream; a pair appears once the watermark has passed it."""
     entry = is_blank("last_page_id")
-    return match_next_stream(page_records(pages, last_page), entry, entry, within_ms, order=order, delay=delay)
+    return match_next_stream(page_records(pages, last_page), entry, entry, sink, checkpoint, within_ms, order=order, lateness_ms=lateness_ms)
 
 
 def route_dimensions_stream(

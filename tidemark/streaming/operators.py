@@ -1,69 +1,166 @@
-"""Streaming DataFrame forms of the keyed operators."""
+"""Streaming forms of the keyed operators: each micro-batch meets the state that earlier ones left.
+
+Every form returns a writer. What it emits goes to ``sink(rows, batch_id)``, for instance ``state.file_sink``.
+"""
 
 from __future__ import annotations
 
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import time
 
-from tidemark.functions.paths import is_missing
-from tidemark.functions.time import DAY_MS, DISPLAY_ZONE, previous_local_date, to_date_text
-from tidemark.operators.patterns import JUMP_OUT_MS
-from tidemark.operators.visits import NEW
-from tidemark.session import use_rocksdb_state
-from tidemark.streaming import processors
-from tidemark.streaming.processors import DailyVisitProcessor, FirstVisitProcessor, NextMatchProcessor
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-# Python workers get the processors with the query, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(processors)
+from tidemark.functions.paths import is_missing
+from tidemark.functions.time import DAY_MS, DISPLAY_ZONE, local_date
+from tidemark.operators import sizes
+from tidemark.operators.patterns import JUMP_OUT_MS, match_next
+from tidemark.operators.visits import NEW, RETURNING, first_entry_per_day, first_visit_dates
+from tidemark.streaming.state import Sink, StateTable, batch_writer
 
 # Fixed value: how long a device's last visit is remembered after it was written.
 VISIT_TTL_MS = DAY_MS
 
-# One millisecond keeps rows that carry exactly the newest time seen so far.
-MONOTONOUS_DELAY = "1 millisecond"
+# How far a row's time may lie behind the newest one seen: partitions of a topic are read at different speeds.
+LATENESS_MS = 60 * 1000
+
+BEFORE_ALL = -(1 << 62)
+
+
+class FirstVisits:
+    """STA2: the first-visit date of every device seen so far, written once and never changed."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str, key_type: str, key: str = "mid", is_new: str = "is_new", ts: str = "ts", order: str = "seq", tz: str = DISPLAY_ZONE):
+        columns = f"key {key_type}, day date, first_claim date, last_claim date, known boolean"
+        self.table = StateTable(spark, checkpoint, "first-visits", columns, lambda rows: rows.where("NOT known"))
+        self.key, self.is_new, self.ts, self.order, self.tz = key, is_new, ts, order, tz
+
+    def repair(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The batch with ``is_new`` corrected. Rows without a key or a time stay as they are and leave no state."""
+        dated = batch.where(F.col(self.ts).isNotNull())
+        own = first_visit_dates(dated, self.key, self.is_new, self.ts, self.order, self.tz).withColumnRenamed(self.key, "key")
+        seen = self.table.before(batch_id).join(own.select("key"), "key", "left_semi").select("key", F.col("day").alias("_day"))
+        joined = own.join(seen, "key", "left").select(
+            "key", F.coalesce("_day", "first_visit_date").alias("day"), "first_claim", "last_claim", F.col("_day").isNotNull().alias("known")
+        )
+        stored = self.table.write(batch_id, joined)
+        wrong = stored.where("first_claim <> day OR last_claim <> day").select(F.col("key").alias(self.key), F.col("day").alias("_first_day"))
+        claims = (F.col(self.is_new) == NEW) & F.col(self.ts).isNotNull()
+        looked = sizes.lookup_join(batch, wrong, self.key, self.order, claims)
+        late = F.coalesce(claims & (local_date(self.ts, self.tz) != F.col("_first_day")), F.lit(False))
+        return looked.withColumn(self.is_new, F.when(late, F.lit(RETURNING)).otherwise(F.col(self.is_new))).select(*batch.columns)
+
+
+class DailyVisits:
+    """STA3/STA4: the day of every device's last emitted entry page; forgotten ``ttl_ms`` after it was written."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str, key_type: str, key: str = "mid", ts: str = "ts", order: str = "seq", entry: Column | None = None, tz: str = DISPLAY_ZONE, ttl_ms: int | None = VISIT_TTL_MS):
+        latest = lambda rows: rows.groupBy("key").agg(
+            *[F.max_by(c, "version").alias(c) for c in ("day", "written_at")], F.max("version").alias("version")
+        )
+        self.table = StateTable(spark, checkpoint, "daily-visits", f"key {key_type}, day date, written_at bigint", latest)
+        self.key, self.ts, self.order, self.tz, self.ttl_ms = key, ts, order, tz, ttl_ms
+        self.entry = is_missing("last_page_id") if entry is None else entry
+
+    def fresh(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Entry pages whose day differs from the device's previous one; adds ``visit_date``."""
+        now = int(time.time() * 1000)
+        found = first_entry_per_day(batch, self.key, self.ts, self.order, self.entry, self.tz)
+        heads = found.groupBy(F.col(self.key).alias("key")).agg(F.min_by("visit_date", self.order).alias("_day"), F.min(self.order).alias("_head"))
+        known = self.table.before(batch_id)
+        if self.ttl_ms is not None:
+            known = known.where(F.col("written_at") > now - self.ttl_ms)
+        again = known.join(heads, "key").where("day = _day").select(F.col("key").alias(self.key), F.col("_head").alias(self.order))
+        kept = found.join(again, [self.key, self.order], "left_anti")
+        last = kept.groupBy(F.col(self.key).alias("key")).agg(F.max_by("visit_date", self.order).alias("day"))
+        self.table.write(batch_id, last.withColumn("written_at", F.lit(now).cast("bigint")))
+        return kept
+
+
+class NextMatches:
+    """STA6/STA8: pairs of adjacent rows of a key in event-time order, decided once the watermark has passed them.
+
+    The watermark is the newest time seen less ``lateness_ms``. Rows behind that of the batch before come too late: they
+    are left out and counted. State holds only rows that a later pair can need, so it ends with the traffic.
+    """
+
+    FIELDS = "ts bigint, seq bigint, is_first boolean, is_second boolean, row string"
+
+    def __init__(self, spark: SparkSession, checkpoint: str, key_type: str, within_ms: int = JUMP_OUT_MS, key: str = "mid", lateness_ms: int = LATENESS_MS):
+        self.rows = StateTable(spark, checkpoint, "match-rows", f"key {key_type}, {self.FIELDS}")
+        self.marks = StateTable(spark, checkpoint, "match-marks", "batch_id bigint, watermark bigint, late bigint")
+        self.within_ms, self.key, self.lateness_ms = within_ms, key, lateness_ms
+
+    def _watermark(self, batch_id: int) -> int:
+        mark = self.marks.of(batch_id).first()
+        return mark["watermark"] if mark else BEFORE_ALL
+
+    def step(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """``batch`` holds ``key`` and ``FIELDS``."""
+        passed = self._watermark(batch_id - 1)
+        seen = batch.agg(F.max("ts").alias("newest"), F.count_if(F.col("ts") < passed).alias("late")).first()
+        newest = BEFORE_ALL if seen["newest"] is None else seen["newest"] - self.lateness_ms
+        watermark = max(passed, newest)
+        rows = self.rows.of(batch_id - 1).union(batch.where(F.col("ts") >= passed).select("key", *[f.split()[0] for f in self.FIELDS.split(", ")]))
+        self.marks.write(batch_id, batch.sparkSession.createDataFrame([(batch_id, watermark, seen["late"])], "batch_id bigint, watermark bigint, late bigint"))
+        kept = rows.where(F.col("ts") >= watermark - self.within_ms)
+        self.rows.write(batch_id, kept)
+        return self._pairs(rows, passed, watermark)
+
+    def rest(self, last_batch_id: int) -> DataFrame:
+        """The pairs that are still open, for a stream that has ended."""
+        return self._pairs(self.rows.of(last_batch_id), self._watermark(last_batch_id), None)
+
+    def late_rows(self, last_batch_id: int) -> int:
+        """How many rows came too late in all batches so far."""
+        return sum(self.marks.of(i).first()["late"] for i in range(last_batch_id + 1))
+
+    def _pairs(self, rows: DataFrame, start: int, end: int | None) -> DataFrame:
+        pairs = match_next(rows, F.col("is_first"), F.col("is_second"), self.within_ms, "key", columns=["ts", "seq", "row"])
+        at = F.col("second.ts")
+        pairs = pairs.where((at >= start) & (at < end if end is not None else F.lit(True)))
+        halves = [F.col(f"{half}.{name}").alias(f"{half}_{name}") for half in ("first", "second") for name in ("ts", "seq", "row")]
+        return pairs.select(F.col("key").alias(self.key), *halves)
+
+
+def key_type(df: DataFrame, key: str) -> str:
+    return df.schema[key].dataType.simpleString()
 
 
 def repair_first_visit_stream(
-    df: DataFrame,
-    key: str = "mid",
-    is_new: str = "is_new",
-    ts: str = "ts",
-    order: str = "seq",
-    tz: str = DISPLAY_ZONE,
-) -> DataFrame:
-    """STA2 on a stream: same columns, ``is_new`` corrected. Rows without a key are dropped."""
-    use_rocksdb_state(df.sparkSession)
-    day = to_date_text(ts, tz)
-    own = F.when(F.col(is_new) == NEW, day).otherwise(previous_local_date(ts, tz).cast("string"))
-    keyed = df.where(F.col(key).isNotNull()).withColumns({"visit_day": day, "own_day": own})
-    return keyed.groupBy(key).transformWithStateInPandas(
-        FirstVisitProcessor(is_new, order), df.schema, "Append", "None"
-    )
+    df: DataFrame, sink: Sink, checkpoint: str, key: str = "mid", is_new: str = "is_new", ts: str = "ts", order: str = "seq", tz: str = DISPLAY_ZONE
+) -> DataStreamWriter:
+    """STA2 on a stream: same columns, ``is_new`` corrected."""
+    visits = FirstVisits(df.sparkSession, checkpoint, key_type(df, key), key, is_new, ts, order, tz)
+    return batch_writer(df, checkpoint, visits.repair, sink)
 
 
 def first_entry_per_day_stream(
     df: DataFrame,
+    sink: Sink,
+    checkpoint: str,
     key: str = "mid",
     ts: str = "ts",
     order: str = "seq",
     entry: Column | None = None,
     tz: str = DISPLAY_ZONE,
     ttl_ms: int | None = VISIT_TTL_MS,
-) -> DataFrame:
-    """STA3/STA4 on a stream; adds ``visit_date``.
+) -> DataStreamWriter:
+    """STA3/STA4 on a stream; adds ``visit_date``. Works with every trigger."""
+    visits = DailyVisits(df.sparkSession, checkpoint, key_type(df, key), key, ts, order, entry, tz, ttl_ms)
+    return batch_writer(df, checkpoint, visits.fresh, sink)
 
-    State expires ``ttl_ms`` after its last write, which needs a
-    processing-time trigger. Pass ``ttl_ms=None`` for a run that ends
-    (``availableNow``).
-    """
-    use_rocksdb_state(df.sparkSession)
-    entry = is_missing("last_page_id") if entry is None else entry
-    entries = df.where(entry & F.col(key).isNotNull()).withColumn("visit_date", to_date_text(ts, tz))
-    return entries.groupBy(key).transformWithStateInPandas(
-        DailyVisitProcessor(order, ttl_ms),
-        entries.schema,
-        "Append",
-        "ProcessingTime" if ttl_ms else "None",
+
+def match_rows(df: DataFrame, first: Column, second: Column, key: str = "mid", ts: str = "ts", order: str = "seq", row: Column | str = "value") -> DataFrame:
+    """Rows as :class:`NextMatches` takes them; only rows that can be part of a pair keep their text."""
+    row = F.col(row) if isinstance(row, str) else row
+    first, second = F.coalesce(first, F.lit(False)), F.coalesce(second, F.lit(False))
+    return df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("key"),
+        F.col(ts).alias("ts"),
+        F.col(order).cast("bigint").alias("seq"),
+        first.alias("is_first"),
+        second.alias("is_second"),
+        F.when(first | second, row).cast("string").alias("row"),
     )
 
 
@@ -71,36 +168,18 @@ def match_next_stream(
     df: DataFrame,
     first: Column,
     second: Column,
+    sink: Sink,
+    checkpoint: str,
     within_ms: int = JUMP_OUT_MS,
     key: str = "mid",
     ts: str = "ts",
     order: str = "seq",
     row: Column | str = "value",
-    delay: str = MONOTONOUS_DELAY,
-) -> DataFrame:
-    """STA6/STA8 on a stream: pairs with ``first_*`` and ``second_*`` time, arrival number and text."""
-    use_rocksdb_state(df.sparkSession)
-    row = F.col(row) if isinstance(row, str) else row
-    first, second = F.coalesce(first, F.lit(False)), F.coalesce(second, F.lit(False))
-    rows = (
-        df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-        .select(
-            F.col(key),
-            F.col(ts).alias("ts"),
-            F.col(order).alias("seq"),
-            first.alias("is_first"),
-            second.alias("is_second"),
-            F.when(first | second, row).alias("row"),
-            F.timestamp_millis(F.col(ts)).alias("event_time"),
-        )
-        .withWatermark("event_time", delay)
-    )
-    halves = [
-        T.StructField(f"{half}_{name}", dtype())
-        for half in ("first", "second")
-        for name, dtype in (("ts", T.LongType), ("seq", T.LongType), ("row", T.StringType))
-    ]
-    schema = T.StructType([df.schema[key], *halves])
-    return rows.groupBy(key).transformWithStateInPandas(
-        NextMatchProcessor(key, within_ms), schema, "Append", "EventTime"
-    )
+    lateness_ms: int = LATENESS_MS,
+) -> DataStreamWriter:
+    """STA6/STA8 on a stream: pairs with ``first_*`` and ``second_*`` time, arrival number and text.
+
+    A pair appears once the watermark has passed it; ``NextMatches.rest`` gives those that are open when a stream ends.
+    """
+    matches = NextMatches(df.sparkSession, checkpoint, key_type(df, key), within_ms, key, lateness_ms)
+    return batch_writer(match_rows(df, first, second, key, ts, order, row), checkpoint, matches.step, sink)
