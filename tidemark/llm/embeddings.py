@@ -25,8 +25,9 @@ ROUNDS = 40
 BITS = 64
 CHUNKS = 4
 WIDTH = BITS // CHUNKS
-#: Candidates differ in at most so many bits of the code: far more than vectors with a cosine of 0.95 do.
-RADIUS = 18
+#: Candidates differ in at most so many bits of the code. Vectors with a cosine of 0.95 differ in 6.5 on average, with a
+#: standard deviation of 2.4.
+RADIUS = 13
 BLOCK = 1024
 #: Classes for each partition of the Hamming tables.
 PARTITION_ROWS = 4_000
@@ -141,10 +142,14 @@ def _links(rotation: Rotation, dims: int, least: float):
                 ids, copies, side = (np.asarray(members.field(c)) for c in ("id", "k", "side"))
                 unit = _units(members.field("vector"), dims)
                 codes = rotation.codes(unit)
-                linked = (unit @ unit.T >= least) & (meeting(codes[:, None], codes[None, :]) == batch.column("bucket")[row].as_py())
+                linked = unit @ unit.T >= least
                 if side.any():
                     linked &= side[:, None] != side[None, :]
                 np.fill_diagonal(linked, False)
+                a, b = np.nonzero(linked)
+                linked[a, b] = meeting(codes[a], codes[b]) == batch.column("bucket")[row].as_py()
+                if not linked.any():
+                    continue
                 label, before = ids.copy(), None
                 while before is None or (label != before).any():
                     before = label
