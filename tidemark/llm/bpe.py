@@ -77,6 +77,8 @@ class Splitter:
 
     def split(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first byte of every word, and whether it is a special text. ``bounds``: rows, from 0 to the length."""
+        if not len(data):
+            return np.zeros(0, np.int64), np.zeros(0, bool)
         raw = data.tobytes()
         at_byte = np.flatnonzero((data & 0xC0) != 0x80)
         points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
@@ -92,16 +94,15 @@ class Splitter:
                 apart[[i, j]] = True
                 kind[i:j] = SPECIAL
         apart[n] = True
-        start = np.append(kind[1:] != kind[:-1], True) if n else np.zeros(0, bool)
-        start = np.append(True, start[:-1]) | apart[:-1] if n else start
+        start = np.append(True, kind[1:] != kind[:-1]) | apart[:-1]
         runs = np.flatnonzero(start)
         ends = np.append(runs[1:], n)
         word = np.append(start, True)
         more = ~apart[ends]
-        end = ends[(kind[runs] == SPACE) & more] if n else ends
+        end = ends[(kind[runs] == SPACE) & more]
         word[end - 1] = True
         word[end[points[end - 1] == 0x20]] = False
-        lone = (kind[runs] == OTHER) & (points[runs] == 0x27) & (ends == runs + 1) & more if n else np.zeros(0, bool)
+        lone = (kind[runs] == OTHER) & (points[runs] == 0x27) & (ends == runs + 1) & more
         which = np.flatnonzero(lone)
         which = which[word[runs[which]] & (kind[np.minimum(runs[which] + 1, n - 1)] == LETTER)]
         for k in which.tolist():
