@@ -63,6 +63,10 @@ def character_classes() -> np.ndarray:
     return classes
 
 
+def _ends(starts: np.ndarray, size: int) -> np.ndarray:
+    return np.append(starts[1:], size)[: len(starts)]
+
+
 class Splitter:
     """Splits texts into words as byte-level BPE does, for many texts at once.
 
@@ -361,7 +365,7 @@ class Encoder:
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, row after row, and each row's number of ids. ``bounds`` goes from 0 to the length."""
         starts, special = self.splitter.split(data, bounds)
-        ends = np.append(starts[1:], len(data))
+        ends = _ends(starts, len(data))
         distinct, first, word = np.unique(range_hashes(data, starts, ends) ^ special.astype(np.uint64), return_index=True, return_inverse=True)
         if len(self.rows) > REMEMBERED:
             self.forget()
@@ -387,7 +391,7 @@ class Encoder:
         decoded = self.decode(ids)
         if not np.array_equal(decoded, data):
             starts, special = self.splitter.split(data, bounds)
-            raw, ends = data.tobytes(), np.append(starts[1:], len(data))
+            raw, ends = data.tobytes(), _ends(starts, len(data))
             words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
             each = self.ids_of(words, special.tolist())
             total = np.append(0, np.cumsum([len(x) for x in each]))
@@ -417,7 +421,7 @@ def _counts(special: list[str]):
             for i, j in slices(bounds):
                 own = data[bounds[i] : bounds[j]]
                 starts, alone = splitter.split(own, bounds[i : j + 1] - bounds[i])
-                ends = np.append(starts[1:], len(own))
+                ends = _ends(starts, len(own))
                 starts, ends = starts[~alone], ends[~alone]
                 distinct, first, n = np.unique(range_hashes(own, starts, ends), return_index=True, return_counts=True)
                 length = ends[first] - starts[first]
