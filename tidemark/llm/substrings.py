@@ -24,8 +24,8 @@ from tidemark.llm.text import _VALUES, _powers, gather, mix, slices, utf8
 GRAM = 20
 #: Text bytes for each partition of pieces, text bytes handled at once, and pieces' bytes in one suffix array.
 PARTITION_BYTES = 16 << 20
-SLICE_BYTES = 2 << 20
-BATCH_BYTES = 12 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 6 << 20
 SHARD_BYTES = 1 << 20
 
 _PIECE = np.dtype([("gram", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("count", "u1")])
