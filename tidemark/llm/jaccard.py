@@ -4,13 +4,15 @@ Sets are put into bands of size. In each band, a hash deals all n-grams into seg
 Jaccard similarity of 0.8 or more differ in at most h = (r + s) / 9 n-grams, so of any h + 1 segments at least one is
 equal in both (pigeonhole); a segment compared up to one deletion counts as two. Every set indexes the segments that any
 partner may look at, and the one-deletion neighbourhoods of the first few. As a query, a set is free in which segments
-it spends its h + 1 on, and takes those that cost least: segments of few n-grams occur in many sets, so they are skipped,
-and where that is not enough, segments of many n-grams are also looked up by their deletions.
-
-Signatures are packed by target partition and shuffled once; each partition lists the sets that share a signature.
-Members of a list are first compared with the list's pivot only, and what those links join is one component. Lists that
-still hold several components are then compared across components, in blocks of bounded size, where parity sketches
-rule out most pairs without error. All links are verified on the n-grams themselves.
+it spends its h + 1 on, and takes those that cost least: a first pass counts all n-grams by hash in a table of fixed size,
+and the rarest n-gram of a segment bounds how many sets can have it. Segments of passages that many documents share are
+thereby skipped, and where too few others are left, segments of many n-grams are also looked up by their deletions.
+
+Signatures are packed by target partition and shuffled once; each partition lists the sets that share a signature, if one
+of them looks it up. Members of a list are first compared with the list's pivot only, and what those links join is one
+component. In a few more rounds, members of lists that still hold several components are compared with one hub each.
+Lists that then are still open are compared across components, in blocks of bounded size, and parity sketches rule out
+most pairs without error. All links are verified on the n-grams themselves.
 """
 
 from __future__ import annotations
@@ -29,8 +31,14 @@ from tidemark.llm.text import SPACED, gather, mix, shingle_sets, slices, utf8, w
 PARTITION_BYTES = 16 << 20
 #: Sets of one list that meet in one block.
 BLOCK = 512
-#: Bits of a parity sketch: a power of two of at least twice the set's size, within these.
-SKETCH_BITS = (64, 1 << 16)
+#: Rounds in which members of open lists are compared with one hub each.
+HUB_ROUNDS = 2
+#: Bits of a parity sketch: a power of two of at least four times the set's size, within these. So many rule out nearly
+#: all pairs below a similarity of 0.79.
+SKETCH_BITS = (64, 1 << 18)
+#: Counters of n-grams, as a power of two, and how many of them make one row of the table.
+COUNTER_BITS = 20
+COUNTER_ROW = 1 << 12
 
 
 def _bands() -> np.ndarray:
@@ -53,95 +61,154 @@ def band_shape(band: int) -> tuple[int, int, int, int]:
     return largest, segments, spare, deep
 
 
-def _segments(mixed: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a set: each n-gram's segment, and the sum of n-grams and their number by segment."""
+def _segments(mixed: np.ndarray, band: int, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a set: each n-gram's segment, and by segment the sum of n-grams, their number and the count of the rarest."""
     _, m, _, _ = band_shape(band)
     at = ((mixed >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
-    sums = np.zeros(m, np.uint64)
+    sums, cost = np.zeros(m, np.uint64), np.full(m, np.iinfo(np.int64).max)
     np.add.at(sums, at, mixed)
-    return at, sums, np.bincount(at, minlength=m)
+    np.minimum.at(cost, at, costs)
+    return at, sums, np.bincount(at, minlength=m), cost
+
+
+def _mixed(grams: np.ndarray) -> np.ndarray:
+    return mix(grams ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def _counter(mixed: np.ndarray) -> np.ndarray:
+    return (mixed & np.uint64((1 << COUNTER_BITS) - 1)).astype(np.int64)
 
 
 def _salt(band: int, segment: np.ndarray) -> np.ndarray:
     return mix(segment.astype(np.uint64) + np.uint64(band << 40))
 
 
-def signatures(grams: np.ndarray) -> tuple[np.ndarray, bool]:
-    """All signatures of a set, as an indexed set and as a query, and whether they are too few to find all partners.
+def signatures(grams: np.ndarray, counters: np.ndarray | None = None) -> tuple[np.ndarray, bool]:
+    """All signatures of a set, and whether they are too few to find all partners.
 
-    Sets of fewer than 4 have no partner but an equal one, which the comparison of whole sets finds.
+    The last bit tells those that the set looks up as a query from those that it is only indexed under. Sets of fewer
+    than 4 have no partner but an equal one, which the comparison of whole sets finds.
     """
     n = len(grams)
     if n < 4:
         return np.zeros(0, np.uint64), False
-    mixed = mix(grams ^ np.uint64(0x5851F42D4C957F2D))
+    mixed = _mixed(grams)
+    costs = np.zeros(n, np.int64) if counters is None else counters[_counter(mixed)]
     own = int(np.searchsorted(BANDS, n, "right")) - 1
-    out, lacking = [], False
+    index, query, lacking = [], [], False
     for band in (own, own - 1):
         if band < 0 or band < own and 5 * int(BANDS[own]) <= 4 * n:
             continue
         largest, m, spare, deep = band_shape(band)
-        at, sums, count = _segments(mixed, band)
+        at, sums, count, cost = _segments(mixed, band, costs)
         salt = _salt(band, np.arange(m))
         exact = mix(sums + salt)
         if band == own:
             # A query r <= 1.25 n looks at its first 2 r / 9 + 1 + spare segments, or fewer.
             indexed = min(m, n * 5 // 18 + 1 + spare)
-            out.append(exact[np.flatnonzero(count[:indexed] > 0)])
+            index.append(exact[np.flatnonzero(count[:indexed] > 0)])
             near = np.flatnonzero(at < deep)
-            out.append(mix(sums[at[near]] - mixed[near] + salt[at[near]]))
+            index.append(mix(sums[at[near]] - mixed[near] + salt[at[near]]))
         need = (n + min(n, largest)) // 9 + 1
         seen = min(m, need + spare)
-        chosen, raised = allocate(count[:seen], need, min(deep, seen))
-        out.append(exact[chosen])
+        chosen, raised = allocate(count[:seen], cost[:seen], need, min(deep, seen))
+        query.append(exact[chosen])
         near = np.flatnonzero(np.isin(at, raised))
-        out.append(mix(sums[at[near]] - mixed[near] + salt[at[near]]))
+        query.append(mix(sums[at[near]] - mixed[near] + salt[at[near]]))
         lacking |= len(chosen) + len(raised) < need
-    return np.unique(np.concatenate(out)), lacking
+    looked, filed = (np.unique(np.concatenate(x) >> np.uint64(1)) for x in (query, index))
+    filed = np.setdiff1d(filed, looked, assume_unique=True)
+    return np.concatenate([looked << np.uint64(1) | np.uint64(1), filed << np.uint64(1)]), lacking
 
 
-def allocate(count: np.ndarray, need: int, deep: int) -> tuple[np.ndarray, np.ndarray]:
+def allocate(count: np.ndarray, cost: np.ndarray, need: int, deep: int) -> tuple[np.ndarray, np.ndarray]:
     """Segments to look up, and those of them to look up by deletions too: together ``need``, at the least cost.
 
-    The expected length of a list falls with the number of n-grams in the segment. Segments of one n-gram are replaced
-    by deletions of the fullest segments among the first ``deep`` while those have five n-grams or more.
+    Segments are taken by the count of their rarest n-gram, with counts up to twice the median taken as equal, and then
+    by their number of n-grams: the more, the fewer sets have them all. The dearest of those taken, and those of one
+    n-gram, are replaced by deletions of the fullest segments among the first ``deep`` while these have five n-grams or
+    more. If too few segments hold anything, what is returned is less than ``need``.
     """
-    order = np.argsort(-count, kind="stable")
-    chosen = order[: min(need, int((count > 0).sum()))]
-    rich = chosen[(chosen < deep) & (count[chosen] > 1)]
+    full = np.flatnonzero(count > 0)
+    usual = 2 * np.median(cost[full]) if len(full) else 0
+    dear = np.where(cost[full] > usual, cost[full], 0)
+    chosen = full[np.lexsort((-count[full], dear))[:need]]
+    rich = chosen[(chosen < deep) & (count[chosen] > 1) & (cost[chosen] <= usual)]
     lacking = need - len(chosen)
-    swap = 0 if lacking else min(int((count[chosen] == 1).sum()), int((count[rich] >= 5).sum()))
-    return chosen[: len(chosen) - swap], rich[: lacking + swap]
+    if lacking:
+        rich = np.concatenate([rich, chosen[(chosen < deep) & (count[chosen] > 1) & (cost[chosen] > usual)]])
+        return chosen, rich[:lacking]
+    weak = (count[chosen] == 1) | (cost[chosen] > usual)
+    raised = rich[count[rich] >= 5][: int(weak.sum())]
+    away = np.flatnonzero(weak)[::-1][: len(raised)]
+    return np.delete(chosen, away), raised
 
 
 def sketch(grams: np.ndarray) -> bytes:
     """Parities of the number of n-grams by hash; a sketch of half the bits is the exclusive or of the two halves."""
     low, high = SKETCH_BITS
-    bits = min(high, max(low, 1 << (2 * max(1, len(grams)) - 1).bit_length()))
+    bits = min(high, max(low, 1 << (4 * max(1, len(grams)) - 1).bit_length()))
     odd = np.bincount((mix(grams) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _profile_and_sign(parts: int, n: int):
+def _count_grams(n: int):
+    """One table of counters for each task, in rows of ``COUNTER_ROW``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        for batch in batches:
+            data, bounds = utf8(batch.column(0))
+            for i, j in slices(bounds):
+                for own in shingle_sets(*words(data, bounds[i : j + 1], SPACED), n):
+                    np.add.at(total, _counter(_mixed(own)), 1)
+        table = np.minimum(total, (1 << 32) - 1).astype("<u4").reshape(-1, COUNTER_ROW)
+        full = np.flatnonzero(table.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array([table[k].tobytes() for k in full], pa.binary())], ["row", "counts"])
+
+    return run
+
+
+def _sum_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for row, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+            own = rows.setdefault(row, np.zeros(COUNTER_ROW, np.int64))
+            own += np.frombuffer(counts.as_py(), "<u4")
+    yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array([r.tobytes() for r in rows.values()], pa.binary())], ["row", "counts"])
+
+
+def gram_counters(texts: DataFrame, n: int) -> np.ndarray:
+    """How many documents hold the n-grams of each hash bucket: a table of fixed size, over all documents."""
+    counted = texts.select("text").mapInArrow(_count_grams(n), "row long, counts binary")
+    summed = counted.repartition(8, "row").mapInArrow(_sum_counters, "row long, counts binary")
+    total = np.zeros((1 << COUNTER_BITS) // COUNTER_ROW * COUNTER_ROW, np.int64).reshape(-1, COUNTER_ROW)
+    for row in summed.collect():
+        total[row["row"]] = np.frombuffer(row["counts"], np.int64)
+    return np.minimum(total.ravel(), (1 << 62) - 1)
+
+
+def _profile_and_sign(parts: int, n: int, shared):
     """Rows of two kinds: part >= 0 has packed signatures for that partition, part -1 describes one document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = shared.value
         for batch in batches:
             ids = batch.column(0)
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             numbers = ids.fill_null(0).to_numpy(zero_copy_only=False)
             data, bounds = utf8(batch.column(1))
-            for i, j in slices(bounds, 8 << 20):
+            for i, j in slices(bounds, 4 << 20):
                 sets = shingle_sets(*words(data, bounds[i : j + 1], SPACED), n)
                 size = np.array([len(s) for s in sets], np.int64)
                 low = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 high = np.array([mix(s ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                signed = [signatures(s) if k else (np.zeros(0, np.uint64), False) for s, k in zip(sets, known[i:j])]
+                signed = [signatures(s, counters) if k else (np.zeros(0, np.uint64), False) for s, k in zip(sets, known[i:j])]
                 own = [s for s, _ in signed]
                 count = np.array([len(s) for s in own], np.int64)
                 sigs = np.concatenate(own) if own else np.zeros(0, np.uint64)
                 owner = np.repeat(numbers[i:j], count)
-                part = (sigs % np.uint64(parts)).astype(np.int64)
+                part = ((sigs >> np.uint64(1)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 sigs, owner = sigs[order], owner[order]
                 at = np.searchsorted(part[order], np.arange(parts + 1))
@@ -160,8 +227,8 @@ def _profile_and_sign(parts: int, n: int):
     return run
 
 
-_NAMES = ["part", "sigs", "owners", "doc", "n", "low", "high", "sketch", "lacking"]
-_SCHEMA = "part long, sigs binary, owners binary, doc long, n long, low long, high long, sketch binary, lacking boolean"
+_NAMES = ["part", "sigs", "owners", "doc", "n", "low", "high", "sketch", "flag"]
+_SCHEMA = "part long, sigs binary, owners binary, doc long, n long, low long, high long, sketch binary, flag boolean"
 
 
 def _blob_batch(parts: list[int], sigs: list[bytes], owners: list[bytes]) -> pa.RecordBatch:
@@ -189,40 +256,46 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     sig, owner = np.concatenate(sigs), np.concatenate(owners)
     order = np.argsort(sig, kind="stable")
-    sig, owner = sig[order], owner[order]
+    sig, owner, asks = sig[order] >> np.uint64(1), owner[order], (sig[order] & np.uint64(1)).astype(bool)
     shared = np.zeros(len(sig), bool)
     shared[1:] = sig[1:] == sig[:-1]
     shared[:-1] |= shared[1:]
-    sig, owner = sig[shared], owner[shared]
-    order = np.lexsort((owner, sig))
-    sig, owner = sig[order], owner[order]
+    sig, owner, asks = sig[shared], owner[shared], asks[shared]
+    order = np.lexsort((~asks, owner, sig))
+    sig, owner, asks = sig[order], owner[order], asks[order]
     once = np.append(True, (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1])) if len(sig) else np.zeros(0, bool)
-    sig, owner = sig[once], owner[once]
+    sig, owner, asks = sig[once], owner[once], asks[once]
     first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(sig)))
-    first, size = first[size > 1], size[size > 1]
+    used = (size > 1) & np.logical_or.reduceat(asks, first) if len(first) else np.zeros(0, bool)
+    first, size = first[used], size[used]
     if not len(first):
         return
-    members = owner[gather(first, size)]
+    at = gather(first, size)
+    members, asks = owner[at], asks[at]
     hashed = mix(members.view(np.uint64))
     starts = np.cumsum(size) - size
-    name = mix(np.add.reduceat(hashed, starts) + size.astype(np.uint64))
+    name = mix(np.add.reduceat(mix(hashed + asks), starts) + size.astype(np.uint64))
     _, pick = np.unique(name, return_index=True)
-    # The pivot is the member of the least hash, so lists of one group tend to have the same one.
-    low = np.minimum.reduceat(hashed, starts)
-    pivots = members[np.flatnonzero(hashed == np.repeat(low, size))]
+    # The pivot is the query of the least hash, so lists of one group tend to have the same one.
+    ranked = np.where(asks, hashed, np.uint64((1 << 64) - 1))
+    low = np.minimum.reduceat(ranked, starts)
+    pivots = members[np.flatnonzero(asks & (ranked == np.repeat(low, size)))]
     for k in range(0, len(pick), 20_000):
         own = pick[k : k + 20_000]
-        rows = members[gather(starts[own], size[own])]
+        rows = gather(starts[own], size[own])
         for a in range(0, len(rows), 500_000):
             part = slice(a, a + 500_000)
             none = pa.nulls(len(rows[part]), pa.int64())
-            columns = [np.repeat(name[own].view(np.int64), size[own])[part], np.repeat(pivots[own], size[own])[part], rows[part]]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), none, none, none, pa.nulls(len(none), pa.binary()), pa.nulls(len(none), pa.bool_())], _LIST_NAMES)
+            columns = [np.repeat(name[own].view(np.int64), size[own])[part], np.repeat(pivots[own], size[own])[part], members[rows[part]]]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns), none, none, none, pa.nulls(len(none), pa.binary()), pa.array(asks[rows[part]])], _LIST_NAMES
+            )
 
 
-_LIST_NAMES = ["list", "pivot", "doc", "n", "low", "high", "sketch", "lacking"]
-_LIST_SCHEMA = "list long, pivot long, doc long, n long, low long, high long, sketch binary, lacking boolean"
+_LIST_NAMES = ["list", "pivot", "doc", "n", "low", "high", "sketch", "flag"]
+#: ``flag``: of a member, whether it looks the list up; of a document, whether it lacks segments.
+_LIST_SCHEMA = "list long, pivot long, doc long, n long, low long, high long, sketch binary, flag boolean"
 
 
 def _linked(n: int, percent: int):
@@ -281,52 +354,49 @@ def links_of_lacking(docs: DataFrame, lacking: DataFrame, n: int, percent: int,
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that are of different components and that neither sizes nor sketches rule out."""
+    """Pairs of one block that are of different components, and of which one looks the list up; without those that their
+    sizes or sketches rule out."""
     us, vs, held = [], [], 0
     for batch in batches:
         for row in range(batch.num_rows):
             members = batch.column("members")[row].values
-            doc, label, n = (np.asarray(members.field(k)) for k in ("class", "label", "n"))
-            side = np.asarray(members.field("side"))
-            left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(doc)),) * 2
-            prints = [np.frombuffer(x.as_py(), np.uint8) for x in members.field("sketch")]
-            for i in left.tolist():
-                other = right if side.any() else right[right > i]
-                other = other[(label[other] != label[i]) & (5 * np.minimum(n[other], n[i]) >= 4 * np.maximum(n[other], n[i]))]
-                if len(other):
-                    other = other[_apart(prints, i, other) <= (n[other] + n[i]) // 9]
-                    us.append(np.minimum(doc[i], doc[other]))
-                    vs.append(np.maximum(doc[i], doc[other]))
-                    held += len(other)
+            doc, label, n, asks, side = (members.field(k).to_numpy(zero_copy_only=False) for k in ("class", "label", "n", "asks", "side"))
+            bits = _table(members.field("sketch"))
+            for i in range(len(doc)) if not side.any() else np.flatnonzero(side == 0).tolist():
+                other = np.flatnonzero(side == 1) if side.any() else np.arange(i + 1, len(doc))
+                fits = (label[other] != label[i]) & (asks[other] | asks[i]) & (5 * np.minimum(n[other], n[i]) >= 4 * np.maximum(n[other], n[i]))
+                other = other[fits]
+                other = other[np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1) <= (n[other] + n[i]) // 9]
+                us.append(np.minimum(doc[i], doc[other]))
+                vs.append(np.maximum(doc[i], doc[other]))
+                held += len(other)
             if held > 200_000:
-                yield _pair_batch(us, vs)
-                us, vs, held = [], [], 0
+                # Lists of one group repeat each other's pairs.
+                kept = _pair_batch(us, vs)
+                us, vs, held = [kept.column(0).to_numpy()], [kept.column(1).to_numpy()], 0
+                if kept.num_rows > 500_000:
+                    yield kept
+                    us, vs = [], []
     yield _pair_batch(us, vs)
 
 
-def _pair_batch(us: list, vs: list) -> pa.RecordBatch:
-    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-    both = np.unique(np.stack([u, v], 1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
+def _table(sketches: pa.Array) -> np.ndarray:
+    """Sketches folded to the size of the smallest, a row each. Differing parities never outnumber differing n-grams."""
+    rows = [np.frombuffer(x.as_py(), np.uint64) for x in sketches]
+    width = min(len(r) for r in rows)
+    return np.stack([_folded(r, width) for r in rows])
 
 
-def _apart(prints: list[np.ndarray], i: int, other: np.ndarray) -> np.ndarray:
-    """A lower bound of the size of the symmetric difference: the parities that differ."""
-    out = np.zeros(len(other), np.int64)
-    width = np.array([len(prints[k]) for k in other.tolist()])
-    for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        least = min(int(w), len(prints[i]))
-        table = np.stack([prints[k] for k in other[at].tolist()])
-        out[at] = np.bitwise_count(_folded(table, least) ^ _folded(prints[i][None], least)).sum(axis=1)
-    return out
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while len(bits) > width:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
 
 
-def _folded(table: np.ndarray, width: int) -> np.ndarray:
-    while table.shape[1] > width:
-        half = table.shape[1] // 2
-        table = table[:, :half] ^ table[:, half:]
-    return table
+def _pair_batch(us: list, vs: list) -> pa.RecordBatch:
+    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+    both = np.unique(np.stack([u, v], 1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
 
 def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -345,12 +415,13 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
         raise ValueError("segments are laid out for 80 percent or more")
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     _, parts = partitions_for(rows, "text", PARTITION_BYTES)
-    packed = rows.mapInArrow(_profile_and_sign(4 * parts, n), _SCHEMA)
+    shared = docs.sparkSession.sparkContext.broadcast(gram_counters(rows, n))
+    packed = rows.mapInArrow(_profile_and_sign(4 * parts, n, shared), _SCHEMA)
     key = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.xxhash64("doc", "low"))
     listed = packed.repartition(parts, key).mapInArrow(_lists, _LIST_SCHEMA)
     listed = stored(listed, "lists")
     profile = listed.where("list IS NULL").drop("list", "pivot")
-    lists = listed.where("list IS NOT NULL").select("list", "pivot", "doc")
+    lists = listed.where("list IS NOT NULL").select("list", "pivot", "doc", F.col("flag").alias("asks"))
 
     whole = profile.where("doc IS NOT NULL AND n > 0")
     equal = whole.groupBy("low", "high", "n").agg(F.min("doc").alias("class"), F.count("*").alias("k")).where("k > 1")
@@ -364,7 +435,7 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
         named = lead.select(F.col("doc").alias(column), F.col("class").alias("_lead"))
         return frame.join(named, column, "left").withColumn(column, F.coalesce("_lead", column)).drop("_lead")
 
-    members = stored(led(lists.select("list", "pivot", "doc").distinct(), "doc"), "members")
+    members = stored(led(lists.groupBy("list", "pivot", "doc").agg(F.max("asks").alias("asks")), "doc"), "members")
     first = led(members.where("pivot <> doc").select("pivot", "doc"), "pivot").where("pivot <> doc")
     counted = first.groupBy("pivot", "doc").agg(F.count("*").alias("k"))
     best = counted.groupBy("doc").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
@@ -372,21 +443,34 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     links = verified(texts, stored(best.select(F.col("doc").alias("u"), F.col("pivot").alias("v")), "pivot-pairs"), n, percent)
     joined = stored(components(links.union(same)), "first-components")
 
-    def labelled(frame: DataFrame) -> DataFrame:
+    def labelled(frame: DataFrame, joined: DataFrame) -> DataFrame:
         return frame.join(joined, F.col("doc") == F.col("node"), "left").select(*frame.columns, F.coalesce("component", "doc").alias("label"))
 
-    spread = stored(labelled(members.select("list", "doc").distinct()), "labelled-members")
-    open_lists = spread.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k")).where("lo <> hi")
-    open_lists = stored(open_lists.select("list", F.ceil(F.col("k") / BLOCK).alias("blocks")), "open-lists")
+    seats = members.groupBy("list", "doc").agg(F.max("asks").alias("asks"))
+    for turn in range(HUB_ROUNDS + 1):
+        spread = stored(labelled(seats, joined), "labelled-members")
+        hub = F.min_by(F.struct(F.col("doc").alias("hub"), F.col("label").alias("hub_label")), F.xxhash64("doc", F.lit(turn))).alias("h")
+        found = spread.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"), hub).where("lo <> hi")
+        open_lists = stored(found.select("list", F.ceil(F.col("k") / BLOCK).alias("blocks"), "h.*"), "open-lists")
+        if turn == HUB_ROUNDS:
+            break
+        # Members of other components meet one hub each before any pairs are formed.
+        tried = spread.join(open_lists, "list").where("label <> hub_label").groupBy("doc", "hub").agg(F.count("*").alias("k"))
+        tried = tried.groupBy("doc").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
+        hub_pairs = stored(tried.select(F.col("doc").alias("u"), F.col("hub").alias("v")), "hub-pairs")
+        links = links.union(verified(texts, hub_pairs, n, percent))
+        joined = stored(components(links.union(same)), "components")
+    open_lists = open_lists.select("list", "blocks")
     told = profile.groupBy("doc").agg(F.max(F.struct("n", "sketch")).alias("p")).select("doc", F.col("p.n").alias("n"), F.col("p.sketch").alias("sketch"))
+    told = stored(told, "sketches")
     crossing = spread.join(open_lists, "list").join(told, "doc")
     crossing = crossing.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     crossing = crossing.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    member = F.struct(F.col("doc").alias("class"), "label", "n", "sketch", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    member = F.struct(F.col("doc").alias("class"), "label", "n", "asks", "sketch", (F.col("own") > F.col("other")).cast("int").alias("side"))
     blocks = crossing.groupBy("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(member).alias("members"))
     pairs = stored(blocks.select("members").mapInArrow(_cross_pairs, "u long, v long").distinct(), "cross-pairs")
     more = verified(texts, pairs, n, percent)
-    lacking = profile.where("lacking").select("doc").distinct()
+    lacking = profile.where("flag").select("doc").distinct()
     if not lacking.isEmpty():
         for found in links_of_lacking(texts, stored(lacking, "lacking"), n, percent):
             more = more.union(found)
