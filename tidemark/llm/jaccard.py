@@ -198,7 +198,7 @@ def _profile_and_sign(parts: int, n: int, shared):
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             numbers = ids.fill_null(0).to_numpy(zero_copy_only=False)
             data, bounds = utf8(batch.column(1))
-            for i, j in slices(bounds, 4 << 20):
+            for i, j in slices(bounds, 1 << 20):
                 sets = shingle_sets(*words(data, bounds[i : j + 1], SPACED), n)
                 size = np.array([len(s) for s in sets], np.int64)
                 low = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
