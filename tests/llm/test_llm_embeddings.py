@@ -58,3 +58,33 @@ def test_pairs_meet_in_one_bucket():
         own = int(embeddings.meeting(np.array([a]), np.array([b]))[0])
         assert own == int(embeddings.meeting(np.array([b]), np.array([a]))[0])
         assert own in keys[0] & keys[1] if keys[0] & keys[1] else own == -1
+
+
+def common_direction(cosine, rows, pairs, dims=64):
+    """Vectors with a mean cosine of ``cosine``; those from ``rows`` on are partners of the first, at a cosine of 0.951."""
+    draw = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(np.sqrt(cosine) * unit(draw.standard_normal((1, dims))) + np.sqrt((1 - cosine) / dims) * draw.standard_normal((rows, dims)))
+    way = draw.standard_normal((pairs, dims))
+    way = unit(way - (way * base[:pairs]).sum(axis=1, keepdims=True) * base[:pairs])
+    return np.vstack([base, 0.951 * base[:pairs] + np.sqrt(1 - 0.951**2) * way])
+
+
+def test_recall_of_vectors_with_a_common_direction(spark):
+    table = common_direction(0.7, 1800, 600)
+    truth = (np.triu(table @ table.T, 1) >= 0.95).sum()
+    found = embeddings.near_duplicates(spark.createDataFrame(list(enumerate(table.tolist())), "vec_id long, embedding array<double>")).collect()
+    assert 2 * truth >= sum(r["n_links"] for r in found) >= 0.995 * 2 * truth
+
+
+def test_all_pairs_are_compared_if_tables_cannot_tell_them_apart(spark):
+    table = common_direction(0.93, 300, 60)
+    assert embeddings.learn_rotation(table, 64).tables == 0
+    truth = (np.triu(table @ table.T, 1) >= 0.95).sum()
+    found = embeddings.near_duplicates(spark.createDataFrame(list(enumerate(table.tolist())), "vec_id long, embedding array<double>")).collect()
+    assert sum(r["n_links"] for r in found) == 2 * truth
+
+
+def test_tables_and_radius_follow_the_sample():
+    even, shared = (embeddings.learn_rotation(common_direction(c, 3000, 0), 64) for c in (0.0, 0.7))
+    assert embeddings.CHUNKS <= even.tables < shared.tables and even.radius < shared.radius
