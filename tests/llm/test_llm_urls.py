@@ -1,3 +1,5 @@
+import math
+
 import pytest
 
 from tidemark.llm import urls
@@ -50,3 +52,23 @@ def test_without_labels_or_rows(judge):
     assert judge([(1, "http://a.xyz/")])[1]["verdict"] == "allow"
     assert judge([(1, "http://a.xyz/"), (2, "http://a.net/")])[1]["verdict"] == "block"
     assert judge([(1, "http://a.xyz/")], [])[1]["verdict"] == "allow"
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_statistics_cover_all_suffixes(spark, monkeypatch, shuffled):
+    if shuffled:
+        monkeypatch.setattr(urls, "BROADCAST_ROWS", 1)
+        monkeypatch.setattr(urls, "HOT_ROWS", 50)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        hosts = [f"s{i}.net" for i in range(11_000)] + ["hot.org"] * 100
+        schema = "_url string, host string, path string, label int"
+        labelled = spark.createDataFrame([(f"http://{h}/{i}", h, f"/{i}", 1) for i, h in enumerate(hosts)], schema)
+        model = urls.train(labelled)
+        others = spark.createDataFrame([(f"http://{h}/x", h, "/x") for h in [*hosts[9_000:10_000], *hosts[11_000:], *["new.com"] * 70]], "_url string, host string, path string")
+        seen = {r["host"]: (r["site_seen"], r["top_seen"]) for r in urls._with_features(others, model.suffixes, model.base).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen.pop("new.com") == (0.0, 0.0)
+    assert seen.pop("hot.org") == pytest.approx((math.log1p(100), math.log1p(100)))
+    assert len(seen) == 1000 and set(seen.values()) == {(math.log1p(1), math.log1p(11_000))}

@@ -9,12 +9,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.store import stored
+from tidemark.llm.store import BROADCAST_ROWS, stored
 
 #: Labelled URLs that training reads at most (in expectation; picked by a hash of the URL).
 TRAIN_URLS = 50_000
-#: Suffixes that training knows at most: those of the most labelled URLs. Others get the overall rate.
-SUFFIXES = 10_000
+#: Statistics of one kind of suffix are sent to all executors only if their suffixes were measured to have at most so many bytes.
+BROADCAST_BYTES = 16 << 20
+#: Suffixes of more URLs than this are hot: their statistics are sent to all executors.
+HOT_ROWS = 100_000
 #: Labelled URLs of overall rate that each suffix starts with.
 SMOOTHING = 5.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -102,11 +104,28 @@ def _suffixes(host: Column) -> dict[str, Column]:
     return {"top": F.substring_index(host, ".", -1), "site": F.substring_index(host, ".", -2)}
 
 
+def _shuffled_join(rows: DataFrame, names: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """Left join of ``known`` by ``name``; the few hot names are broadcast, and their rows dealt over all partitions."""
+    told = [f"{name}_rate", f"{name}_seen"]
+    hot = names.groupBy(name).count().where(F.col("count") > HOT_ROWS).join(known, name, "left")
+    hot = stored(hot.select(name, *[F.col(c).alias(f"_hot_{c}") for c in told], F.lit(True).alias("_hot")), "hot-suffixes")
+    # No host holds a slash, so the keys of hot rows match nothing.
+    key = F.when(F.col("_hot"), F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col(name))
+    rows = rows.join(F.broadcast(hot), name, "left").withColumn("_key", key).join(known.withColumnRenamed(name, "_key"), "_key", "left")
+    return rows.withColumns({c: F.coalesce(f"_hot_{c}", c) for c in told}).drop("_key", "_hot", *[f"_hot_{c}" for c in told])
+
+
 def _with_features(pages: DataFrame, suffixes: DataFrame, base: float) -> DataFrame:
     rows = pages.withColumns(lexical_features(F.col("_url"), F.col("host"), F.col("path"))).withColumns(_suffixes(F.col("host")))
+    sizes = suffixes.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.octet_length("suffix")).alias("bytes")).collect()
+    small = {r["kind"] for r in sizes if r["n"] <= BROADCAST_ROWS and r["bytes"] <= BROADCAST_BYTES}
     for name in ("top", "site"):
         known = suffixes.where(F.col("kind") == name).select(F.col("suffix").alias(name), F.col("rate").alias(f"{name}_rate"), F.col("seen").alias(f"{name}_seen"))
-        rows = rows.join(F.broadcast(known), name, "left").fillna({f"{name}_rate": base, f"{name}_seen": 0.0})
+        if name in small:
+            rows = rows.join(F.broadcast(known), name, "left")
+        else:
+            rows = _shuffled_join(rows, pages.select(_suffixes(F.col("host"))[name].alias(name)), known, name)
+        rows = rows.fillna({f"{name}_rate": base, f"{name}_seen": 0.0})
     inputs = [*lexical_features(F.col("_url"), F.col("host"), F.col("path")), "top_rate", "top_seen", "site_rate", "site_seen"]
     return VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep").transform(rows)
 
@@ -118,7 +137,6 @@ def train(labelled: DataFrame, max_urls: int = TRAIN_URLS, seed: int = 7) -> Url
     base = 0.0 if totals["rate"] is None else float(totals["rate"])
     pairs = labelled.select("label", F.explode(F.create_map(*[x for k, c in _suffixes(F.col("host")).items() for x in (F.lit(k), c)])).alias("kind", "suffix"))
     rates = pairs.groupBy("kind", "suffix").agg(F.count("*").alias("n"), F.sum("label").alias("k"))
-    rates = rates.orderBy(F.desc("n"), "kind", "suffix").limit(SUFFIXES)
     rates = rates.select("kind", "suffix", ((F.col("k") + SMOOTHING * base) / (F.col("n") + SMOOTHING)).alias("rate"), F.log1p("n").alias("seen"))
     suffixes = stored(rates, "suffixes")
     if base in (0.0, 1.0):
