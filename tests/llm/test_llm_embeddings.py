@@ -88,3 +88,13 @@ def test_all_pairs_are_compared_if_tables_cannot_tell_them_apart(spark):
 def test_tables_and_radius_follow_the_sample():
     even, shared = (embeddings.learn_rotation(common_direction(c, 3000, 0), 64) for c in (0.0, 0.7))
     assert embeddings.CHUNKS <= even.tables < shared.tables and even.radius < shared.radius
+
+
+def test_vectors_link_within_every_length(spark):
+    draw = np.random.default_rng(8)
+    common, rare = draw.standard_normal((80, 16)), draw.standard_normal((20, 8))
+    table = [*common.tolist(), *rare.tolist(), *rare.tolist(), *(rare * 1.5 + 0.01).tolist(), [1.0, 2.0]]
+    found = embeddings.near_duplicates(spark.createDataFrame(list(enumerate(table)), "vec_id long, embedding array<double>")).collect()
+    told = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found}
+    assert all(told[80 + i][1] == told[100 + i][1] == told[120 + i][1] <= 80 + i and told[80 + i][0] >= 2 for i in range(20))
+    assert told[140] == (0, 140)

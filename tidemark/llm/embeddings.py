@@ -211,34 +211,8 @@ def _links(rotation: Rotation, dims: int, least: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``id_col, n_links, component_id, kept``: links are pairs found with a cosine of ``least`` or more.
-
-    Tables are added until ``RECALL`` of sample pairs with a cosine of exactly ``least`` meet; closer pairs meet more often.
-    If ``MOST_WORDS`` are too few for that, since all vectors are close to one another, every pair is compared. Links are counted between ids;
-    ``component_id`` is the smallest id reachable by links, and ``kept`` marks it.
-
-    Nulls and ties: vectors that are null, empty, all zero, hold a null or non-finite component, or are not of the most
-    common length link with nothing. Repeated rows of an id count once and all come back; rows without an id link with
-    nothing and have a null component. Only the named columns are read; labels play no part.
-
-    Plan: classes are formed with partial sums. Hamming tables are packed and shuffled once, a few numbers a class; only
-    classes with candidates take their vectors along, in blocks of ``BLOCK``. No pair is ever a row.
-    """
-    value = F.col(vector_col).cast("array<double>")
-    sound = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(value, lambda x: x != 0.0)
-    rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), value.alias("vector"), F.coalesce(sound, F.lit(False)).alias("sound"), F.size(value).alias("dims")
-    )
-    usual = rows.where("sound AND id IS NOT NULL").groupBy("dims").count().orderBy(F.desc("count"), "dims").first()
-    dims = usual["dims"] if usual else 1
-    usable = F.col("sound") & (F.col("dims") == dims) & F.col("id").isNotNull()
-    rows = rows.select("id", F.when(usable, F.col("vector")).alias("vector"))
-    rows = stored(rows.withColumn("h", F.xxhash64("vector")).withColumn("g", F.xxhash64(F.lit(7), "vector")), "vectors")
-    one_each = rows.where("vector IS NOT NULL").groupBy("h", "g", "id").agg(F.first("vector").alias("vector"))
-    classes = one_each.groupBy("h", "g").agg(F.min("id").alias("class"), F.count("*").alias("k"), F.first("vector").alias("vector"))
-    classes = stored(classes, "vector-classes")
-    n = classes.count()
+def _linked(classes: DataFrame, n: int, dims: int, least: float) -> DataFrame:
+    """``id, n, least`` of the links between the ``n`` classes, all of ``dims`` numbers."""
     pick = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(1, n)))
     sample = classes.where(pick).select("class", "vector").toArrow().sort_by("class")
     rotation = learn_rotation(_units(sample.column("vector"), dims), dims, least)
@@ -254,7 +228,37 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     placed = placed.join(classes.select(F.col("class").alias("id"), "k", "vector"), "id")
     member = F.struct("id", "k", "vector", (F.col("own") > F.col("other")).cast("int").alias("side"))
     blocks = placed.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(member).alias("members"))
-    links = stored(blocks.select("bucket", "members").mapInArrow(_links(rotation, dims, least), "id long, n long, least long"), "vector-links")
+    return stored(blocks.select("bucket", "members").mapInArrow(_links(rotation, dims, least), "id long, n long, least long"), "vector-links")
+
+
+def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``id_col, n_links, component_id, kept``: links are pairs found with a cosine of ``least`` or more.
+
+    Tables are added until ``RECALL`` of sample pairs with a cosine of exactly ``least`` meet; closer pairs meet more often.
+    If ``MOST_WORDS`` are too few for that, since all vectors are close to one another, every pair is compared. Links are
+    counted between ids; ``component_id`` is the smallest id reachable by links, and ``kept`` marks it.
+
+    Nulls and ties: vectors that are null, empty, all zero, or hold a null or non-finite component link with nothing;
+    vectors of different lengths do not link with one another. Repeated rows of an id count once and all come back; rows
+    without an id link with nothing and have a null component. Only the named columns are read; labels play no part.
+
+    Plan: classes are formed with partial sums. Lengths are handled one after another, each with its own rotation. Hamming
+    tables are packed and shuffled once, a few numbers a class; only classes with candidates take their vectors along, in
+    blocks of ``BLOCK``. No pair is ever a row.
+    """
+    value = F.col(vector_col).cast("array<double>")
+    sound = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(value, lambda x: x != 0.0)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), value.alias("vector"), F.coalesce(sound, F.lit(False)).alias("sound"))
+    usable = F.col("sound") & F.col("id").isNotNull()
+    rows = rows.select("id", F.when(usable, F.col("vector")).alias("vector"))
+    rows = stored(rows.withColumn("h", F.xxhash64("vector")).withColumn("g", F.xxhash64(F.lit(7), "vector")), "vectors")
+    one_each = rows.where("vector IS NOT NULL").groupBy("h", "g", "id").agg(F.first("vector").alias("vector"))
+    classes = one_each.groupBy("h", "g").agg(F.min("id").alias("class"), F.count("*").alias("k"), F.first("vector").alias("vector"))
+    classes = stored(classes.withColumn("dims", F.size("vector")), "vector-classes")
+    lengths = classes.groupBy("dims").agg(F.count("*").alias("n")).where("n > 1").orderBy("dims").collect()
+    links = classes.sparkSession.createDataFrame([], "id long, n long, least long")
+    for r in lengths:
+        links = links.unionByName(_linked(classes.where(F.col("dims") == r["dims"]), r["n"], r["dims"], least))
     counts = links.groupBy("id").agg(F.sum("n").alias("n"))
     joined = components(links.select(F.col("id").alias("u"), F.col("least").alias("v")))
     told = classes.select("h", "g", "class", "k").join(counts, F.col("class") == F.col("id"), "left").drop("id")
