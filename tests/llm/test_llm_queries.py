@@ -10,7 +10,7 @@ from tidemark.llm import decontam, jaccard, line_dedup, queries, quality
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     yield con
     con.close()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontam, embeddings, jaccard, line_dedup, quality, sharding, substrings, urls, warc
+from tidemark.llm import bpe, decontam, dialogue, embeddings, jaccard, line_dedup, manifest, mixing, quality, sharding, substrings, urls, warc
 
 URL_RULES = [
     urls.Rule("net/", "block"),
@@ -98,6 +98,55 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = F.when(tampered, manifest.leaf_digest([F.col(c) for c in manifest.FIELDS[:-1]] + [lowered]))
+    built = manifest.merkle_manifest(docs, claim=claim)
+    folded = built.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        manifest.fold(F.coalesce("claim", "leaf"), F.col("path")).alias("folded_root"),
+    )
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with the faults that the query's contract plants, by a checksum of conversation and turn; nulls as one space."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(told("text"), ".!?", "")).otherwise(told("text"))
+    rows = conversations.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(told("role")).alias("role"), text.alias("text"), F.when(kind == 3, 2).otherwise(1).alias("copies")
+    )
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    fixed = dialogue.repair_conversations(damaged(original))
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias("key")
+    every = original.select("conv_id").distinct().select("conv_id", key("conv_id"))
+    summary = fixed.summary.select("*", key("conv")).drop("conv", "turns")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    joined = every.join(summary, "key", "left").join(dialogue.repaired_digests(fixed.lines), "key", "left")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_line_dedup": op2_line_dedup,
@@ -109,8 +158,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_merkle": op11_merkle,
+    "op12_mixing": op12_mixing,
+    "op13_conversations": op13_conversations,
 }
 
+#: CRC-32 of a list of bytes, as two parts around the list: the table is made from the polynomial.
+_CRC_TABLE = """t AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc)"""
+_CRC = """xor(list_reduce(list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+  lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _told(*values: str) -> str:
+    parts = [f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || {v} END" for v in values]
+    return "sha256(" + " || ".join(parts) + ")"
+
 ORACLES: dict[str, str] = {
     "op2_line_dedup": r"""
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
@@ -160,5 +224,107 @@ found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
 SELECT w.doc_id, len(w.words) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
   sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(w.words) AS contaminated
 FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id LEFT JOIN found f ON f.doc_id = w.doc_id
+""",
+    "op11_merkle": f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (SELECT row_number() OVER () AS r, doc_id, lang, {_told("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+  CASE WHEN {_CRC.format(text="CAST(doc_id AS VARCHAR)")} % 3 = 0
+    THEN {_told("doc_id", "source", "lang", "n_chars", _LOWER.format(text="text"))} END AS claim FROM documents, t),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+up AS (SELECT 0 AS level, lang, pos, n, leaf AS h FROM placed
+  UNION ALL SELECT level + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1
+  GROUP BY level, lang, pos // 8, n),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM up WHERE n = 1),
+tops AS (SELECT 0 AS level, g AS pos, n, h FROM subroots
+  UNION ALL SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1
+  GROUP BY level, pos // 8, n),
+steps AS (
+  SELECT p.r, u.level, coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos < p.pos // CAST(8 ** u.level AS BIGINT)), '') AS a,
+    coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos > p.pos // CAST(8 ** u.level AS BIGINT)), '') AS b
+  FROM placed p JOIN up u ON u.lang IS NOT DISTINCT FROM p.lang AND u.n > 1 AND u.pos // 8 = p.pos // CAST(8 ** (u.level + 1) AS BIGINT)
+  GROUP BY p.r, u.level
+  UNION ALL
+  SELECT p.r, 1000 + u.level, coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos < s.g // CAST(8 ** u.level AS BIGINT)), ''),
+    coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos > s.g // CAST(8 ** u.level AS BIGINT)), '')
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+  JOIN tops u ON u.n > 1 AND u.pos // 8 = s.g // CAST(8 ** (u.level + 1) AS BIGINT) GROUP BY p.r, u.level),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY level) AS k FROM steps),
+proofs AS (SELECT r, sha256(string_agg(a || b, '' ORDER BY level)) AS proof, count(*) AS k FROM steps GROUP BY r),
+folded AS (SELECT r, CAST(0 AS BIGINT) AS k, coalesce(claim, leaf) AS h FROM leaves
+  UNION ALL SELECT f.r, o.k, sha256(o.a || f.h || o.b) FROM folded f JOIN ordered o ON o.r = f.r AND o.k = f.k + 1),
+final AS (SELECT r, arg_max(h, k) AS h FROM folded GROUP BY r)
+SELECT p.doc_id, p.leaf, s.h AS subroot, root.h AS root, coalesce(q.proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN final f ON f.r = p.r LEFT JOIN proofs q ON q.r = p.r,
+  (SELECT h FROM tops WHERE n = 1) root
+""",
+    "op12_mixing": r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+sized AS (SELECT doc_id, source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS size, md5(text) AS digest,
+  1 - CAST(len(regexp_extract_all(text, '[!-@\[-`{-~]')) AS DOUBLE) / greatest(length(text), 1) AS plain,
+  (CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(text)), 1, 13) AS BIGINT)
+    + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u FROM d),
+keyed AS (SELECT *, -ln(u) / greatest(CAST(0.1 AS DOUBLE), plain * plain) AS key FROM sized),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM keyed GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM sources),
+weighed AS (SELECT *, CAST(CASE k % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS w, CAST(2 * source_size AS DOUBLE) AS most FROM ranked),
+rising AS (SELECT *, row_number() OVER (ORDER BY most / w, k) AS i FROM weighed),
+whole AS (SELECT 1.5 * CAST(sum(source_size) AS DOUBLE) AS goal, sum(w) AS w FROM weighed),
+tries AS (SELECT 0 AS filled, CAST(0 AS DOUBLE) AS took, CAST(0 AS DOUBLE) AS heavy
+  UNION ALL SELECT i, sum(most) OVER (ORDER BY i), sum(w) OVER (ORDER BY i) FROM rising),
+shares AS (SELECT t.filled, goal - took AS rest, whole.w - heavy AS weight FROM tries t, whole WHERE whole.w - heavy > 0),
+fit AS (SELECT arg_min(rest, filled) AS rest, arg_min(weight, filled) AS weight FROM shares s
+  WHERE NOT EXISTS (SELECT 1 FROM rising r WHERE r.i > s.filled AND r.w * s.rest / s.weight >= r.most)),
+targets AS (SELECT r.source, source_size, CASE WHEN fit.rest IS NULL THEN most ELSE least(r.w * fit.rest / fit.weight, most) END AS target FROM rising r, fit),
+plan AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM targets),
+sampled AS (SELECT k.*, p.source_size, p.target, p.epochs, CAST(round(p.target) AS BIGINT) - p.epochs * p.source_size AS budget,
+  sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS FIRST, digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM keyed k JOIN plan p ON p.source IS NOT DISTINCT FROM k.source)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, budget - before)) AS BIGINT) AS taken FROM sampled
+""",
+    "op13_conversations": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+told AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+marked AS (SELECT *, {_CRC.format(text="name")} % 20 AS kind FROM told, t),
+turns AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE kind <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS i,
+  trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, left(role, 1) AS initial FROM turns),
+judged AS (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+  WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+  lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS previous FROM numbered),
+facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+  count(*) FILTER (previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+step(state, initial, after) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+given(state, role, after) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+more(state, after, cost, audit, lines) AS (
+  SELECT state, state, 0, '', '' FROM given
+  UNION ALL SELECT state, after, 5, 'I', role || ':' || chr(10) FROM given
+  UNION ALL SELECT a.state, b.after, 10, 'II', a.role || ':' || chr(10) || b.role || ':' || chr(10) FROM given a JOIN given b ON b.state = a.after),
+edits(state, own, after, letter, cost, given) AS (
+  SELECT state, CAST(NULL AS VARCHAR), state, 'D', 2, CAST(NULL AS VARCHAR) FROM given
+  UNION ALL SELECT state, initial, after, 'K', 0, NULL FROM step
+  UNION ALL SELECT state, NULL, after, 'R', 1, role FROM given),
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {{'cost': 0, 'audit': '', 'lines': ''}} AS w FROM facts
+  UNION ALL
+  SELECT a.conv_id, j.i, e.after, min({{'cost': a.w.cost + m.cost + e.cost + CASE WHEN j.fault = 't' AND e.letter <> 'D' THEN 5 ELSE 0 END,
+    'audit': a.w.audit || m.audit || e.letter,
+    'lines': a.w.lines || m.lines || CASE WHEN e.letter = 'D' THEN '' ELSE coalesce(e.given, j.role) || ':' || j.text || chr(10) END}})
+  FROM ways a JOIN judged j ON j.conv_id IS NOT DISTINCT FROM a.conv_id AND j.i = a.i + 1
+  JOIN more m ON m.state = a.state JOIN edits e ON e.state = m.after
+  WHERE (e.letter = 'D' OR j.fault NOT IN ('b', 'd')) AND (e.letter <> 'K' OR e.own = j.initial)
+  GROUP BY a.conv_id, j.i, e.after),
+ended AS (SELECT a.conv_id, min({{'cost': a.w.cost + m.cost, 'audit': a.w.audit || m.audit, 'lines': a.w.lines || m.lines}}) AS w
+  FROM ways a JOIN facts f ON f.conv_id IS NOT DISTINCT FROM a.conv_id AND f.n = a.i JOIN more m ON m.state = a.state
+  WHERE m.after IN (0, 3) GROUP BY a.conv_id)
+SELECT c.conv_id, coalesce(f.gaps, 0) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate,
+  coalesce(f.truncated, 0) AS truncated, coalesce(f.illegal, 0) AS illegal, CAST(coalesce(e.w.cost, 0) AS BIGINT) AS cost,
+  coalesce(e.w.audit, '') AS audit, sha256(coalesce(CASE WHEN e.w.lines = '' THEN '' ELSE left(e.w.lines, length(e.w.lines) - 1) END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """,
 }
