@@ -45,6 +45,16 @@ def jump_outs(rows, within_ms):
     return out
 
 
+def timeouts(rows, within_ms):
+    """rows: (seq, mid, ts, last_page) -> seq of entry pages that nothing follows in time."""
+    ahead, out = {}, []
+    for seq, mid, ts, last_page in sorted(rows, key=lambda r: (r[2], r[0]), reverse=True):
+        if not last_page and (mid not in ahead or ahead[mid] - ts >= within_ms):
+            out.append(seq)
+        ahead[mid] = ts
+    return out
+
+
 def as_of(records, changes):
     """records: (seq, table); changes: (seq, table, deleted, sink) -> {seq: sink}."""
     out = {}

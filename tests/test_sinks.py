@@ -1,5 +1,6 @@
+from datetime import datetime, timedelta, timezone
+
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators.records import log_records
 from tidemark.operators.routing import config_changes, current_config
@@ -7,9 +8,8 @@ from tidemark.operators.split import route_channels
 from tidemark.plans.jobs import route_dimensions
 from tidemark.sinks import channels, dimensions as dims
 from tidemark.sources.text import kafka_columns, read_log
-from tidemark.streaming.jobs import route_dimensions_stream, run_to_end
 from test_records import ERR, PAGE, START, raw
-from test_routing import CREATE, DROP, INSERT
+from test_routing import CREATE, INSERT
 
 COLUMNS = "id,name,n"
 
@@ -40,8 +40,11 @@ def test_channel_files_and_topics(spark, tmp_path):
 
 
 def test_kafka_columns(spark):
-    df = spark.createDataFrame([(bytearray(b"x"), 0, 5), (None, 0, 6)], "value binary, partition int, offset bigint")
-    assert [(r.value, r.seq) for r in kafka_columns(df).collect()] == [("x", 5), (None, 6)]
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(bytearray(b"x"), 0, 5, at), (None, 0, 6, at), (None, 1, 2**62, at - timedelta(milliseconds=1)), (None, 12, 0, at)]
+    df = kafka_columns(spark.createDataFrame(rows, "value binary, partition int, offset bigint, timestamp timestamp"))
+    assert [(r.value, r.seq) for r in df.limit(2).collect()] == [("x", 5), (None, 6)]
+    assert [(r.partition, r.seq) for r in df.orderBy("arrival").collect()] == [(1, 2**62), (0, 5), (0, 6), (12, 0)]
     with pytest.raises(ValueError):
         read_log(spark, {"kind": "other"})
 
@@ -82,10 +85,12 @@ def test_upsert_sets_carried_columns_only(spark, tmp_path, compact):
     assert read("delete") == {("1", None, "5"), ("3", "y", None)}
 
 
-def test_row_without_key_fails_the_batch(spark, tmp_path):
-    bad = routed(spark, [("insert", {"name": "a"}, 1)])
-    with pytest.raises(Exception, match="primary key"):
-        dims.append_changes(bad, 0, str(tmp_path / "changes"))
+def test_rows_without_a_key_are_left_out(spark, tmp_path):
+    path = str(tmp_path / "changes")
+    rows = routed(spark, [("insert", {"name": "a"}, 1), ("insert", {"id": "1", "name": "b"}, 2), ("insert", None, 3)])
+    dims.append_changes(rows, 0, path)
+    assert current(spark, path) == {("1", "b", None)}
+    assert sorted(r.seq for r in dims.keyless(rows).collect()) == [1, 3]
 
 
 def test_publish_follows_the_configuration(spark, tmp_path):
@@ -123,17 +128,3 @@ def test_create_and_publish(spark, tmp_path):
         name = dims.publish_dimension(spark, path, "dim_test", "dim_user_info", "id,name,n", "id")
         assert [tuple(r) for r in spark.table(name).collect()] == [("1", "b", None)]
     spark.sql("DROP SCHEMA dim_test CASCADE")
-
-
-@pytest.mark.parametrize("as_of", [False, True])
-def test_dimension_stream(spark, tmp_path, as_of):
-    landed, config = str(tmp_path / "landed"), str(tmp_path / "config")
-    lines = [INSERT.replace('"1"', f'"{i}"') for i in range(6)]
-    raw(spark, lines).withColumn("seq", F.col("seq") * 10).coalesce(1).write.parquet(landed)
-    spark.createDataFrame([(15, CREATE), (45, DROP)] if as_of else [(15, CREATE)], "seq bigint, value string").write.parquet(config)
-    source = read_log(spark, {"kind": "landed", "path": landed})
-    path = str(tmp_path / "changes")
-    read_config = lambda: read_log(spark, {"kind": "landed", "path": config}, stream=False)
-    run_to_end(route_dimensions_stream(source, read_config, "shop", path, str(tmp_path / "ckpt"), as_of=as_of), 120)
-    ids = {r.id for r in dims.read_dimension(spark, path, "dim_user_info", "id,name,n").collect()}
-    assert ids == ({"2", "3", "4"} if as_of else {str(i) for i in range(6)})

@@ -19,7 +19,9 @@ from tidemark.streaming.jobs import (
 )
 from tidemark.streaming import state
 from tidemark.streaming.operators import (
+    DailyVisits,
     NextMatches,
+    distinct_entries_stream,
     first_entry_per_day_stream,
     match_next_stream,
     repair_first_visit_stream,
@@ -149,7 +151,7 @@ def test_state_survives_a_restart(spark, tmp_path):
 
 
 def test_state_is_folded_and_batches_run_again(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(state, "SNAPSHOT_EVERY", 2)
+    monkeypatch.setattr(state, "FOLD_EVERY", 2)
     latest = lambda rows: rows.groupBy("key").agg(F.max_by("v", "version").alias("v"), F.max("version").alias("version"))
     table = StateTable(spark, str(tmp_path / "ckpt"), "t", "key string, v int", latest)
     expected = {}
@@ -206,3 +208,82 @@ def test_last_visit_expires(spark, tmp_path):
         out = run(spark, tmp_path, first_entry_per_day_stream, landed_text(spark, path, True, SCHEMA), ttl_ms=60_000 if index < 2 else 1)
         seen.append(sorted(r.seq for r in out.collect()))
     assert seen == [[0], [0], [0, 2]]
+
+
+def test_stream_timeouts_equal_model(spark, tmp_path):
+    rows = [(i, f"m{i % 5}", D1 + i * 2_900 + (i % 3), "0", [None, "", "p"][(i // 5) % 3]) for i in range(300)]
+    source = stream_of(spark, tmp_path, frame(spark, rows), parts=4)
+    entry = is_blank("last_page_id")
+    out = run(spark, tmp_path, match_next_stream, source, entry, entry, within_ms=10_000, row=F.col("mid"), lateness_ms=5_000, timeouts=True)
+    last = spark.read.parquet(str(tmp_path / "out")).agg(F.max("batch_id")).first()[0]
+    left = NextMatches(spark, str(tmp_path / "ckpt"), "string", 10_000, lateness_ms=5_000, timeouts=True).rest(last)
+    got = [(r.first_seq, r.second_seq) for r in out.unionByName(left).collect()]
+    pages = [(r[0], r[1], r[2], r[4]) for r in rows]
+    assert len(got) == len(set(got))
+    assert {g for g in got if g[1] is not None} == models.jump_outs(pages, 10_000)
+    assert sorted(g[0] for g in got if g[1] is None) == sorted(models.timeouts(pages, 10_000))
+
+
+def test_distinct_entries_stream(spark, tmp_path):
+    rows = random_rows(600, 12, 13)
+    out = run(spark, tmp_path, distinct_entries_stream, stream_of(spark, tmp_path, frame(spark, rows)), lateness="30 days").collect()
+    expected = {(r[1], models.day_of(r[2])) for r in rows if r[4] is None}
+    assert sorted((r.mid, str(r.visit_date)) for r in out) == sorted(expected)
+    # The exact form emits a device's day again where days are interleaved.
+    assert len(expected) < len(models.daily_uv([(r[0], r[1], r[2], r[4]) for r in rows]))
+
+
+def rows_scanned(df):
+    """Rows that the scans of a plan without shuffles gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(plan.apply(i).metrics().apply("numOutputRows").value() for i in range(plan.size()))
+
+
+def test_a_small_batch_reads_little_of_a_large_state(spark, tmp_path):
+    """1,000 of a million keys, here a tenth of ten million so that the test is short: blocks and pages are what counts."""
+    table = StateTable(spark, str(tmp_path / "ckpt"), "t", "key string, day int")
+    keys = spark.range(1_000_000).select(F.concat(F.lit("device-"), "id").alias("key"), F.lit(1).alias("day"))
+    table.write(0, keys.repartition(4))
+    batch = spark.range(0, 1_000_000, 10_000).select(F.concat(F.lit("device-"), "id").alias("key"))
+    found = table.before(1, batch)
+    assert rows_scanned(found) < 0.02 * 1_000_000
+    assert found.join(batch, "key").count() == 100
+    # A batch that touches more blocks than are worth asking for reads everything, with the same result.
+    many = spark.range(0, 1_000_000, 100).select(F.concat(F.lit("device-"), "id").alias("key"))
+    assert table.before(1, many).join(many, "key").count() == 10_000
+
+
+def test_folders_of_a_long_state_stay_few():
+    for count in (0, 1, 19, 20, 21, 399, 400, 401, 8123):
+        parts = StateTable._covering(count)
+        at = 0
+        for level, start in parts:
+            assert start == at
+            at += state.FOLD_EVERY**level
+        assert at == count and len(parts) <= 4 * state.FOLD_EVERY
+
+
+def test_expired_periods_are_dropped_and_state_levels_off(spark, tmp_path):
+    """With a lifetime of three batches, the rows of state stop growing; a batch that runs again gives the same rows."""
+    now = [1_000_000]
+    visits = DailyVisits(spark, str(tmp_path / "ckpt"), "string", ttl_ms=3_000, clock=lambda: now[0])
+    kept, model, stored_rows = [], {}, []
+    for batch_id in range(12):
+        now[0] += 1_000
+        rows = [(batch_id * 10 + i, f"m{(batch_id * 3 + i) % 40}", D1, "0", None) for i in range(10)]
+        batch = spark.createDataFrame(rows, SCHEMA)
+        got = sorted(r.seq for r in visits.fresh(batch, batch_id).collect())
+        if batch_id % 4 == 3:
+            now[0] += 200
+            assert sorted(r.seq for r in visits.fresh(batch, batch_id).collect()) == got
+            now[0] -= 200
+        expected = []
+        for seq, mid, *_ in rows:
+            if mid not in model or model[mid] <= now[0] - 3_000:
+                expected.append(seq)
+                model[mid] = now[0]
+        assert got == expected
+        kept.append(got)
+        stored_rows.append(spark.read.parquet(str(tmp_path / "ckpt-state" / "daily-visits")).count())
+    assert sum(stored_rows[9:]) <= 1.2 * sum(stored_rows[6:9]) and max(stored_rows) <= 60 and len(os.listdir(tmp_path / "ckpt-state" / "daily-visits")) <= 3

@@ -5,9 +5,11 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import models
-from tidemark.operators.patterns import match_next
+from tidemark.operators import counts, sizes
+from tidemark.operators.patterns import match_next, match_timeouts
 from tidemark.operators.visits import first_entry_per_day, repair_first_visit
 from tidemark.functions.paths import is_blank
+from tidemark.sources.text import arrival_order
 
 D1 = 1704070800000  # 2024-01-01 09:00 at +8
 D2 = D1 + models.DAY_MS
@@ -87,6 +89,51 @@ def test_uv_equals_model(spark, group_rows):
     assert len(expected) > len(distinct)
 
 
+@pytest.mark.parametrize("spread", [lambda i: i, lambda i: i * 10**9, lambda i: i if i % 2 else 10**15 + i, lambda i: 10**15 if i == 0 else i])
+def test_chunks_hold_about_as_many_rows(spark, spread):
+    """However a hot device's numbers lie, its chunks are contiguous and hold at most twice the rows asked for."""
+    rows = [("hot", spread(i)) for i in range(5000)] + [(f"m{i % 50}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "mid string, seq bigint").repartition(4)
+    found = sizes.with_chunk(df, "mid", "seq", sizes.hot_keys(df, "mid", 100, "seq"))
+    chunks = found.groupBy("mid", "_chunk").agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()
+    hot = sorted((r for r in chunks if r.mid == "hot"), key=lambda r: r["_chunk"])
+    assert len(hot) >= 50 and max(r.n for r in hot) <= 200
+    assert all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
+    assert {r["_chunk"] for r in chunks if r.mid != "hot"} == {0}
+
+
+def test_uv_by_time_partition_and_offset(spark):
+    rows = [(i, "m0" if i % 3 else "m1", D1 + (i * 7919 % 40) * models.DAY_MS // 20, "0", None) for i in range(400)]
+    order = arrival_order(F.expr("seq div 8"), F.col("seq") % 2, F.expr("seq div 2"))
+    df = frame(spark, rows).withColumn("arrival", order)
+    ranked = sorted(rows, key=lambda r: (r[0] // 8, r[0] % 2, r[0] // 2))
+    expected = models.daily_uv([(k, r[1], r[2], r[4]) for k, r in enumerate(ranked)])
+    for group_rows in (1000, 20):
+        assert uv(df, order="arrival", group_rows=group_rows) == {ranked[k][0] for k in expected}
+
+
+@pytest.mark.parametrize("bucket_ms", [None, 10_000, 13_001])
+def test_timeouts_equal_model(spark, bucket_ms):
+    rows = random_rows(1500, 6, 12)
+    out = match_timeouts(frame(spark, rows), is_blank("last_page_id"), 10_000, columns=["seq"], bucket_ms=bucket_ms)
+    assert sorted(r["first"].seq for r in out.collect()) == sorted(models.timeouts([(r[0], r[1], r[2], r[4]) for r in rows], 10_000))
+
+
+def test_daily_counts_and_sketches(spark):
+    rows = [(i, f"m{i * 31 % 4000}" if i % 50 else None, D1 + (i % 3) * models.DAY_MS, "0", None) for i in range(20_000)]
+    visits = frame(spark, rows).withColumn("visit_date", F.from_unixtime(F.col("ts") / 1000 + 28_800, "yyyy-MM-dd"))
+    exact = {r.visit_date: (r.n_visitors, r.n_visits) for r in counts.daily_visitors(visits).collect()}
+    days = {d: [r for r in rows if models.day_of(r[2]) == d] for d in {models.day_of(r[2]) for r in rows}}
+    assert exact == {d: (len({r[1] for r in own} - {None}), len(own)) for d, own in days.items()}
+    sketches = counts.daily_sketches(visits)
+    for r in counts.visitors_in(sketches, "visit_date").collect():
+        assert abs(r.n_visitors - exact[r.visit_date][0]) <= 0.05 * exact[r.visit_date][0]
+    whole = counts.visitors_in(sketches).first().n_visitors
+    devices = len({r[1] for r in rows} - {None})
+    assert abs(whole - devices) <= 0.05 * devices
+    assert counts.daily_visitors(visits.limit(0)).collect() == [] and counts.daily_sketches(visits.limit(0)).collect() == []
+
+
 def jumps(df, within_ms=10_000, **kw):
     entry = is_blank("last_page_id")
     out = match_next(df, entry, entry, within_ms, **kw)

@@ -35,6 +35,35 @@ def match_next(
     A hot key is thereby spread over its buckets in a single shuffle, and rows
     that meet neither condition travel without their columns.
     """
+    paired = _with_next(df, first, second, within_ms, key, ts, order, columns, bucket_ms)
+    hit = F.col("_is_first") & F.col("_next_is_second") & (F.col("_next_ts") - F.col("_ts") < within_ms)
+    return paired.where(hit).select(key, F.col("_row").alias("first"), F.col("_next_row").alias("second"))
+
+
+def match_timeouts(
+    df: DataFrame,
+    first: Column,
+    within_ms: int = JUMP_OUT_MS,
+    key: str = "mid",
+    ts: str = "ts",
+    order: str = "seq",
+    columns: list[str] | None = None,
+    bucket_ms: int | None = None,
+) -> DataFrame:
+    """Extension of STA8: rows that meet ``first`` and that no row of the key follows in less than ``within_ms``.
+
+    They are the partial matches that run out of time; a row whose next one comes in time, but does not meet the second
+    condition, is none. Output: the key and the row as struct ``first``. Plan as in :func:`match_next`.
+    """
+    paired = _with_next(df, first, F.lit(False), within_ms, key, ts, order, columns, bucket_ms)
+    alone = F.col("_next_ts").isNull() | (F.col("_next_ts") - F.col("_ts") >= within_ms)
+    return paired.where(F.col("_is_first") & alone).select(key, F.col("_row").alias("first"))
+
+
+def _with_next(
+    df: DataFrame, first: Column, second: Column, within_ms: int, key: str, ts: str, order: str, columns: list[str] | None, bucket_ms: int | None
+) -> DataFrame:
+    """Every row beside the next one of its key, if that comes in less than ``within_ms`` or in the same bucket."""
     columns = columns or [c for c in df.columns if c != key]
     bucket_ms = bucket_ms or within_ms * GAPS_PER_BUCKET
     if bucket_ms < within_ms:
@@ -62,10 +91,4 @@ def match_next(
             "_next_row": F.lead("_row").over(ahead),
         }
     )
-    hit = (
-        (F.col("_bucket") == F.col("_own"))
-        & F.col("_is_first")
-        & F.col("_next_is_second")
-        & (F.col("_next_ts") - F.col("_ts") < within_ms)
-    )
-    return paired.where(hit).select(key, F.col("_row").alias("first"), F.col("_next_row").alias("second"))
+    return paired.where(F.col("_bucket") == F.col("_own"))

@@ -14,6 +14,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one key that a single task may sort.
 GROUP_ROWS = 4_000_000
 
+# Quantiles of a hot key's order, among which its chunks' bounds are chosen, and bounds that a look-up skips at a time.
+QUANTILES = 1024
+STRIDE = 32
+
 
 def _column_bytes(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType):
@@ -38,25 +42,31 @@ def floor_div(value: Column, width: int) -> Column:
 def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, order: str | None = None) -> DataFrame:
     """Keys with more than ``group_rows`` rows, as ``_hot_key``.
 
-    With ``order``, also the numbers at which their chunks begin (``_low``) and
-    the width (``_width``) that gives about ``rows / group_rows`` chunks, however
-    sparse the numbers are. The counts are combined before the shuffle, and at
-    most ``rows / group_rows`` keys can qualify, which bounds the broadcast.
+    With ``order``, a number of any type, also the bounds (``_bounds``, and every
+    ``STRIDE``-th of them as ``_top``) that cut a key's rows into chunks of about
+    ``group_rows``, however its numbers lie: they are quantiles of the rows, from
+    mergeable summaries of the hot keys only. The counts are combined before the
+    shuffle, at most ``rows / group_rows`` keys can qualify, and all of them
+    together have about ``rows / group_rows`` bounds, which bounds the broadcast.
     """
-    counts = [F.count("*").alias("_hot_rows")]
-    if order is not None:
-        counts += [F.min(order).cast("bigint").alias("_low"), F.max(order).cast("bigint").alias("_high")]
-    hot = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot_key")).agg(*counts).where(F.col("_hot_rows") > group_rows)
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot_key")).agg(F.count("*").alias("_hot_rows"))
+    hot = counts.where(F.col("_hot_rows") > group_rows)
     if order is None:
         return hot.select("_hot_key")
+    rows = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key")).select("_hot_key", "_hot_rows", F.col(order).alias("_at"))
+    cuts = F.percentile_approx("_at", [i / QUANTILES for i in range(1, QUANTILES)], 8 * QUANTILES)
+    found = rows.groupBy("_hot_key").agg(F.max("_hot_rows").alias("_hot_rows"), cuts.alias("_cuts"))
     chunks = F.call_function("div", F.col("_hot_rows") + F.lit(group_rows - 1), F.lit(group_rows))
-    width = F.call_function("div", F.col("_high") - F.col("_low"), chunks) + 1
-    return hot.select("_hot_key", "_low", width.cast("bigint").alias("_width"))
+    chunk_at = lambda i: F.call_function("div", i * chunks, F.lit(QUANTILES))
+    found = found.withColumn("_bounds", F.array_distinct(F.filter("_cuts", lambda _, i: chunk_at(i + 1) > chunk_at(i))))
+    return found.select("_hot_key", "_bounds", F.filter("_bounds", lambda _, i: (i + 1) % STRIDE == 0).alias("_top"))
 
 
 def chunk_of(order: str) -> Column:
-    """The chunk of a row of a hot key; needs ``_low`` and ``_width``."""
-    return F.call_function("div", F.col(order) - F.col("_low"), F.col("_width")).cast("bigint")
+    """The chunk of a row of a hot key, the number of bounds up to it; needs ``_bounds`` and ``_top``."""
+    upto = lambda bounds: F.size(F.filter(bounds, lambda b: b <= F.col(order)))
+    above = upto("_top") * STRIDE
+    return (above + upto(F.slice("_bounds", above + 1, F.lit(STRIDE)))).cast("bigint")
 
 
 def with_chunk(df: DataFrame, key: str, order: str, hot: DataFrame) -> DataFrame:

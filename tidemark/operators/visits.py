@@ -83,7 +83,7 @@ def first_entry_per_day(
     order: str = "seq",
     entry: Column | None = None,
     tz: str = DISPLAY_ZONE,
-    group_rows: int = sizes.GROUP_ROWS,
+    group_rows: int | None = sizes.GROUP_ROWS,
 ) -> DataFrame:
     """STA3: entry pages whose day differs from the device's previous entry page.
 
@@ -91,14 +91,18 @@ def first_entry_per_day(
     again. Adds ``visit_date``. Hot devices are split into order-contiguous
     chunks. The first window settles every row but the first of each chunk;
     the second compares those firsts with the last day of the chunk before,
-    and sees one row per chunk of a device.
+    and sees one row per chunk of a device. With ``group_rows`` of None the rows
+    are known to be few, and one window does.
     """
     entry = is_missing("last_page_id") if entry is None else entry
     entries = df.where(entry & F.col(key).isNotNull()).withColumn("visit_date", local_date(ts, tz))
+    day = F.col("visit_date")
+    if group_rows is None:
+        before = F.lag(day).over(W.partitionBy(key).orderBy(order))
+        return entries.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("_before") != day)).drop("_before")
     hot = sizes.hot_keys(entries, key, group_rows, order)
     chunked = sizes.with_chunk(entries, key, order, hot)
 
-    day = F.col("visit_date")
     within = W.partitionBy(key, "_chunk").orderBy(order)
     whole = within.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     marked = chunked.withColumns(

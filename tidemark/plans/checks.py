@@ -196,4 +196,45 @@ FROM cfg WHERE (seq // 500) % 9 = 1 OR ((seq // 500) % 9 IN (3, 5) AND NOT delet
     "daily_uv_sparse": _UV,
     "config_asof_join_large": _CONFIG_ASOF,
     "config_join_large": _CONFIG_JOIN,
+    "dimension_stream_delete": f"""WITH {_DIM} SELECT sink_table, id, last_order, price FROM last_routed WHERE type <> 'delete'""",
+    "dimension_late_config": _FOLDED,
+    "dimension_published": f"""WITH {_DIM}, widened AS (
+  SELECT seq, source_table, sink_table, sink_columns, deleted FROM cfg
+  UNION ALL SELECT seq + 250, source_table, sink_table, 'id,last_order,price', FALSE FROM cfg WHERE NOT deleted),
+rows AS (SELECT w.seq, c.sink_table, w.id, CASE WHEN c.sink_columns LIKE '%last_order%' THEN w.last_order END AS last_order, w.price
+  FROM wanted w ASOF JOIN widened c ON w.tbl = c.source_table AND w.seq >= c.seq WHERE NOT c.deleted)
+SELECT sink_table, id, arg_max(last_order, seq) FILTER (last_order IS NOT NULL) AS last_order, arg_max(price, seq) AS price
+FROM rows GROUP BY sink_table, id""",
+    "customer_log": """WITH c AS (SELECT *, c_custkey % 17 = 0 AS broken FROM customer)
+SELECT c_custkey AS seq, CASE WHEN broken THEN NULL WHEN c_custkey % 5 = 0 THEN 'd' WHEN c_custkey % 3 = 0 THEN 'u' ELSE 'r' END AS op,
+  CASE WHEN NOT broken THEN c_custkey % 5 = 0 END AS is_deleted, CASE WHEN NOT broken THEN c_custkey END AS c_custkey,
+  CASE WHEN NOT broken THEN c_name END AS c_name, CASE WHEN NOT broken THEN c_mktsegment END AS c_mktsegment FROM c""",
+    "daily_uv_clustered": f"""WITH {_LOG} SELECT seq, mid, d FROM (
+  SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY CASE WHEN seq % 3 = 0 THEN seq WHEN seq = 1 THEN seq + 1000000000000
+    ELSE seq + 1000000000000000 END) AS p FROM pl WHERE lp IS NULL) x
+WHERE p IS NULL OR p <> d""",
+    "daily_uv_partitions": f"""WITH {_LOG}, moved AS (
+  SELECT seq, mid, ts, lp, strftime(make_timestamp((ts - (seq % 2) * 30000000 + 28800000) * 1000), '%Y-%m-%d') AS d FROM pl)
+SELECT seq, mid, d FROM (
+  SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY ts // 1000, seq % 2, seq // 2) AS p FROM moved WHERE lp IS NULL) x
+WHERE p IS NULL OR p <> d""",
+    "first_visit_repair_partitions": f"""WITH {_LOG} SELECT seq, mid, ts,
+  CASE WHEN is_new = '1' AND d <> first_value(CASE WHEN is_new = '1' THEN d ELSE dm END) OVER (PARTITION BY mid
+    ORDER BY ts // 1000, seq % 2, seq // 2 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+  THEN '0' ELSE is_new END AS is_new FROM pl""",
+    "daily_uv_partitions_stream": _UV,
+    "jump_out_timeouts": f"""WITH {_LOG} SELECT mid, seq, ts FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY mid ORDER BY ts, seq) AS t2 FROM pl) x
+WHERE coalesce(length(lp), 0) = 0 AND (t2 IS NULL OR t2 - ts >= 3600000)""",
+    "jump_out_timeouts_stream": f"""WITH {_LOG} SELECT mid, seq, CASE WHEN t2 - ts < 3600000 THEN s2 END AS s2 FROM (
+  SELECT *, lead(seq) OVER w AS s2, lead(ts) OVER w AS t2, lead(coalesce(length(lp), 0) = 0) OVER w AS e2
+  FROM pl WINDOW w AS (PARTITION BY mid ORDER BY ts, seq)) x
+WHERE coalesce(length(lp), 0) = 0 AND (e2 AND t2 - ts < 3600000 OR t2 IS NULL OR t2 - ts >= 3600000)""",
+    "daily_visitor_counts": f"""WITH {_LOG} SELECT d, count(DISTINCT mid) AS n_visitors, count(*) AS n_visits FROM (
+  SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY seq) AS p FROM pl WHERE lp IS NULL) x
+WHERE p IS NULL OR p <> d GROUP BY d""",
+    "daily_uv_distinct_stream": f"""WITH {_LOG}, moved AS (
+  SELECT seq, mid, CASE WHEN seq % 5 = 0 THEN dm ELSE d END AS d FROM pl WHERE lp IS NULL)
+SELECT mid, d, TRUE AS emitted, count(*) FILTER (p IS NULL OR p <> d) AS n_exact
+FROM (SELECT *, lag(d) OVER (PARTITION BY mid ORDER BY seq) AS p FROM moved) x GROUP BY mid, d""",
 }

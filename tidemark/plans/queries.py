@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import time as t
 from tidemark.functions.paths import is_blank, is_missing, read_array, read_long, read_object, read_string
 from tidemark.operators.changelog import fold_changes
-from tidemark.operators.patterns import match_next
+from tidemark.operators.counts import daily_visitors
+from tidemark.operators.patterns import match_next, match_timeouts
 from tidemark.operators.records import log_records, parse_records, to_text
 from tidemark.operators.routing import (
     change_records,
@@ -20,6 +22,7 @@ from tidemark.operators.routing import (
     prune_data,
     route_as_of,
     route_current,
+    table_changes,
     without_maintenance,
 )
 from tidemark.operators.split import CHANNEL_TOPICS, route_channels
@@ -35,8 +38,8 @@ from tidemark.plans.jobs import (
     split_traffic,
 )
 from tidemark.session import shared_folder
-from tidemark.sinks import channels, dimensions as dims
-from tidemark.sources.text import landed_text, read_log
+from tidemark.sinks import channels, dimensions as dims, upserts
+from tidemark.sources.text import arrival_order, landed_text, read_log
 from tidemark.streaming import jobs, operators as streams
 from tidemark.streaming.state import file_sink, read_sink
 
@@ -49,6 +52,9 @@ WIDE_DIMENSION = "dim_nation_1"
 # Small limits, so that the branches for large sides and hot keys run on these tables.
 FEW_ROWS = 40
 
+# These dimensions are of a few thousand rows each.
+FEW_BUCKETS = 2
+
 
 def first_visit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_first_visit(inputs.log_view(spark, sf_dir)).select("seq", "mid", "ts", "is_new")
@@ -438,6 +444,78 @@ def daily_uv_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select((F.col("seq") / 1_000_000).cast("bigint").alias("seq"), "mid", F.col("visit_date").cast("string").alias("d"))
 
 
+def daily_uv_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival numbers in two far clusters and one between still give chunks of about the same rows."""
+    seq = F.col("seq")
+    far = F.when(seq % 3 == 0, seq).when(seq == 1, seq + 10**12).otherwise(seq + 10**15)
+    logs = inputs.log_view(spark, sf_dir).withColumn("at", far)
+    found = first_entry_per_day(logs, order="at", group_rows=FEW_ROWS)
+    return found.select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
+
+
+def _two_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs whose devices write to two partitions in turn, with the broker's time by the second."""
+    seq = F.col("seq")
+    seconds = (F.col("ts") / 1000).cast("bigint") * 1000
+    arrival = arrival_order(seconds, seq % 2, F.call_function("div", seq, F.lit(2)))
+    return inputs.log_view(spark, sf_dir).withColumn("arrival", arrival)
+
+
+def daily_uv_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry pages in the order of time, partition and offset, hot devices in chunks."""
+    logs = _two_partitions(spark, sf_dir).withColumn("ts", F.col("ts") - (F.col("seq") % 2) * 30_000_000)
+    found = first_entry_per_day(logs, order="arrival", group_rows=FEW_ROWS)
+    return found.select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
+
+
+def first_visit_repair_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first record of a device by time, partition and offset sets its first visit."""
+    return repair_first_visit(_two_partitions(spark, sf_dir), order="arrival").select("seq", "mid", "ts", "is_new")
+
+
+def daily_uv_partitions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same order on a stream of four batches."""
+    out, checkpoint = _folders(spark)
+    source = _landed_stream(spark, _two_partitions(spark, sf_dir))
+    jobs.run_to_end(streams.first_entry_per_day_stream(source, file_sink(out), checkpoint, order="arrival"))
+    return read_sink(spark, out).select("seq", "mid", F.col("visit_date").cast("string").alias("d"))
+
+
+def jump_out_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry pages that nothing follows within the hour (an extension)."""
+    found = match_timeouts(inputs.log_view(spark, sf_dir), is_blank("last_page_id"), HOUR_MS, columns=["seq", "ts"])
+    return found.select("mid", F.col("first.seq").alias("seq"), F.col("first.ts").alias("ts"))
+
+
+def jump_out_timeouts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs and time-outs of a stream that ended."""
+    out, checkpoint = _folders(spark)
+    entry = is_blank("last_page_id")
+    source = _landed_stream(spark, inputs.log_view(spark, sf_dir))
+    jobs.run_to_end(streams.match_next_stream(source, entry, entry, file_sink(out), checkpoint, HOUR_MS, row="is_new", timeouts=True))
+    last = spark.read.parquet(out).agg(F.max("batch_id")).first()[0]
+    matches = streams.NextMatches(spark, checkpoint, "bigint", HOUR_MS, timeouts=True)
+    found = read_sink(spark, out).unionByName(matches.rest(last))
+    return found.select("mid", F.col("first_seq").alias("seq"), F.col("second_seq").alias("s2"))
+
+
+def daily_visitor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices and daily entries of every day, from the daily-unique-visitor log (an extension)."""
+    visits = first_entry_per_day(inputs.log_view(spark, sf_dir))
+    return daily_visitors(visits).select(F.col("visit_date").cast("string").alias("d"), "n_visitors", "n_visits")
+
+
+def daily_uv_distinct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA3's approximate form beside the exact one, on logs whose days arrive interleaved: devices and days, and how
+    often the exact form emits them."""
+    out, checkpoint = _folders(spark)
+    logs = inputs.log_view(spark, sf_dir).withColumn("ts", F.col("ts") - F.when(F.col("seq") % 5 == 0, 86_400_000).otherwise(0))
+    jobs.run_to_end(streams.distinct_entries_stream(_landed_stream(spark, logs), file_sink(out), checkpoint))
+    exact = first_entry_per_day(logs).groupBy("mid", "visit_date").agg(F.count("*").alias("n_exact"))
+    found = read_sink(spark, out).join(exact, ["mid", "visit_date"], "full")
+    return found.select("mid", F.col("visit_date").cast("string").alias("d"), F.col("seq").isNotNull().alias("emitted"), "n_exact")
+
+
 def config_asof_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _asof(spark, sf_dir, group_rows=FEW_ROWS, max_rows=0)
 
@@ -449,25 +527,34 @@ def config_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("seq", "table", "sink_table", "sink_columns")
 
 
-def _landed(spark: SparkSession, df: DataFrame, parts: int = 4) -> tuple[str, str]:
-    """Write rows as files in arrival order, one for each trigger; the folder and the schema."""
-    path = shared_folder(spark, "landed")
-    cuts = df.stat.approxQuantile("seq", [i / parts for i in range(1, parts)], 0.001)
+#: Rows of one landed file: every trigger takes the same number of files, all of them far from empty.
+FILE_ROWS = 250_000
+
+
+def _landed(spark: SparkSession, df: DataFrame, parts: int = 4, before: int = 0) -> tuple[str, str, int]:
+    """Write rows in arrival order, ``parts`` triggers after ``before`` empty ones; the folder, the schema and the files of a trigger."""
+    staged, path = shared_folder(spark, "staged"), shared_folder(spark, "landed")
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    files = max(1, rows.count() // parts // FILE_ROWS)
+    cuts = rows.stat.approxQuantile("seq", [i / parts for i in range(1, parts)], 0.001) if parts > 1 else []
+    for _ in range(before * files):
+        rows.limit(0).write.mode("append").parquet(path)
     for low, high in zip([None, *cuts], [*cuts, None]):
-        part = df.where((F.lit(True) if low is None else F.col("seq") > low) & (F.lit(True) if high is None else F.col("seq") <= high))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        part = rows.where((F.lit(True) if low is None else F.col("seq") > low) & (F.lit(True) if high is None else F.col("seq") <= high))
+        part.repartition(files).write.mode("append").parquet(path)
+    return path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), files
 
 
 def _landed_stream(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path, schema = _landed(spark, df)
-    return landed_text(spark, path, True, schema, files_per_trigger=1)
+    path, schema, files = _landed(spark, df)
+    return landed_text(spark, path, True, schema, files_per_trigger=files)
 
 
-def _landed_log(spark: SparkSession, df: DataFrame) -> DataFrame:
+def _landed_log(spark: SparkSession, df: DataFrame, parts: int = 4, before: int = 0) -> DataFrame:
     """Raw text through the general reader."""
-    path, _ = _landed(spark, df.select("value", "seq"))
-    return read_log(spark, {"kind": "landed", "path": path, "files_per_trigger": 1})
+    path, _, files = _landed(spark, df.select("value", "seq"), parts, before)
+    return read_log(spark, {"kind": "landed", "path": path, "files_per_trigger": files})
 
 
 def _folders(spark: SparkSession) -> tuple[str, str]:
@@ -509,19 +596,64 @@ def traffic_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _channel_fields(read_sink(spark, out))
 
 
+def _dimension_stream(spark: SparkSession, sf_dir: str, config: DataFrame, before: int = 0, **options) -> str:
+    """The store of dimensions after four batches of changes; the configuration comes as one file, ``before`` empty ones ahead of it."""
+    store, checkpoint = shared_folder(spark, "store"), shared_folder(spark, "store-checkpoint")
+    changes = _landed_log(spark, inputs.raw_changes(spark, sf_dir))
+    settings = _landed_log(spark, config, 1, before)
+    jobs.run_to_end(jobs.route_dimensions_stream(changes, settings, "shop", store, checkpoint, as_of=True, buckets=FEW_BUCKETS, **options))
+    return store
+
+
+def _stored_dimensions(spark: SparkSession, store: str) -> DataFrame:
+    rows = upserts.live(upserts.read_store(spark, store))
+    column = lambda c, kind: F.col("data")[c].cast(kind).alias(c)
+    return rows.select("sink_table", column("id", "bigint"), column("last_order", "bigint"), column("price", "double"))
+
+
 def dimension_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All dimensions after four batches of changes."""
-    path, checkpoint = shared_folder(spark, "changes"), shared_folder(spark, "changes-checkpoint")
-    writer = jobs.route_dimensions_stream(
-        _landed_log(spark, inputs.raw_changes(spark, sf_dir)),
-        lambda: inputs.raw_config(spark, sf_dir),
-        "shop",
-        path,
-        checkpoint,
-        as_of=True,
+    """All dimensions after four batches of changes, kept current by the stream."""
+    return _stored_dimensions(spark, _dimension_stream(spark, sf_dir, inputs.raw_config(spark, sf_dir)))
+
+
+def dimension_stream_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with deletes applied."""
+    return _stored_dimensions(spark, _dimension_stream(spark, sf_dir, inputs.raw_config(spark, sf_dir), on_delete="delete"))
+
+
+def dimension_late_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The configuration arrives with the third batch; changes wait for it, and the result is that of the batch form."""
+    return _stored_dimensions(spark, _dimension_stream(spark, sf_dir, inputs.raw_config(spark, sf_dir), before=2, park_batches=4))
+
+
+def dimension_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dimensions read from the views that the stream published; every one gained a column on the way."""
+    schema = f"dims_{uuid.uuid4().hex}"
+    config = inputs.raw_config(spark, sf_dir)
+    wider = config.where(F.get_json_object("value", "$.op") != "d").select(
+        F.col("seq") + 250, F.replace("value", F.lit('"id,price"'), F.lit('"id,last_order,price"'))
     )
-    jobs.run_to_end(writer)
-    return _folded_rows(dims.read_changes(spark, path), "upsert")
+    _dimension_stream(spark, sf_dir, config.union(wider.toDF("seq", "value")), schema=schema)
+    rows = [
+        spark.table(f"{schema}.{t.name}").select(
+            F.lit(t.name).alias("sink_table"), F.col("id").cast("bigint"), F.col("last_order").cast("bigint"), F.col("price").cast("double")
+        )
+        for t in spark.catalog.listTables(schema)
+    ]
+    return reduce(DataFrame.union, rows)
+
+
+def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log of one table (SRC4): customers read, updated or deleted, in camel-case text."""
+    key = F.col("c_custkey")
+    image = F.struct(key.alias("cCustkey"), F.col("c_name").alias("cName"), F.col("c_mktsegment").alias("c_mktsegment"))
+    op = F.when(key % 5 == 0, "d").when(key % 3 == 0, "u").otherwise("r")
+    record = F.struct(op.alias("op"), F.when(op != "r", image).alias("before"), F.when(op != "d", image).alias("after"))
+    text = F.to_json(record)
+    text = F.when(key % 17 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    raw = inputs.table(spark, sf_dir, "customer").select(key.alias("seq"), text.alias("value"))
+    found = table_changes(raw, ("c_custkey", "c_name", "c_mktsegment"), camel=True)
+    return found.select("seq", "op", "is_deleted", F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -573,5 +705,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         jump_out_stream,
         traffic_split_stream,
         dimension_stream,
+        dimension_stream_delete,
+        dimension_late_config,
+        dimension_published,
+        customer_log,
+        daily_uv_clustered,
+        daily_uv_partitions,
+        first_visit_repair_partitions,
+        daily_uv_partitions_stream,
+        jump_out_timeouts,
+        jump_out_timeouts_stream,
+        daily_visitor_counts,
+        daily_uv_distinct_stream,
     )
 }

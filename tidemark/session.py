@@ -40,3 +40,34 @@ def shared_root(spark: SparkSession) -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unique path below :func:`shared_root`."""
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reads."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a few bytes as one file, without a job; the file appears whole or not at all."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, partial = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(partial, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    system.delete(target, False)
+    if not system.rename(partial, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """What :func:`write_note` wrote; None if there is no such file."""
+    if not path_exists(spark, path):
+        return None
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()

@@ -3,7 +3,8 @@
 Routed changes are appended to a change folder, one sub-folder per micro-batch;
 a batch that runs again replaces its own folder. A dimension is the fold of its
 changes, so a batch costs its own size and never rewrites a dimension.
-``publish_dimension`` writes the folded rows to the catalog table.
+``publish_dimension`` writes the folded rows to the catalog table. A stream that
+keeps dimensions current uses ``sinks.upserts`` instead.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changelog import latest_per_key
+from tidemark.session import path_exists
 
 # Fixed value: the change type of a removed source row.
 DELETE_TYPE = "delete"
@@ -52,27 +54,31 @@ def create_dimensions(spark: SparkSession, schema: str, config: DataFrame) -> li
 
 
 def row_key(data: Column | str = "data", primary_key: Column | str = "sink_primary_key") -> Column:
-    """Primary-key value of a row; ``primary_key`` may list several columns.
-
-    A record without a key value fails the batch instead of being lost.
-    """
+    """Primary-key value of a row, NULL if a part has no value; ``primary_key`` may list several columns."""
     data = F.col(data) if isinstance(data, str) else data
     primary_key = F.col(primary_key) if isinstance(primary_key, str) else primary_key
     parts = F.transform(F.split(primary_key, ","), lambda name: data[name])
     complete = F.coalesce(~F.exists(parts, lambda part: part.isNull()), F.lit(False))
-    error = F.raise_error(F.lit("change record without a primary key value")).cast("string")
-    return F.when(complete, F.to_json(parts)).otherwise(error)
+    return F.when(complete, F.to_json(parts))
+
+
+def keyed(routed: DataFrame) -> DataFrame:
+    """Routed changes that a dimension can take, with their ``row_key``."""
+    return routed.withColumn("row_key", row_key()).where(F.col("row_key").isNotNull())
+
+
+def keyless(routed: DataFrame) -> DataFrame:
+    """Routed changes that no dimension can take: a part of their primary key has no value."""
+    return routed.where(row_key().isNull())
 
 
 def append_changes(routed: DataFrame, batch_id: int, path: str, order: str = "seq") -> None:
     """SNK4, write side: store one batch of routed changes, replacing an earlier run of it.
 
-    The rows are rebalanced by table: small tables share tasks and a table that
+    Changes without a key value are left out; :func:`keyless` gives them. The rows are rebalanced by table: small tables share tasks and a table that
     holds most of the batch is split into several files.
     """
-    rows = routed.select(
-        "sink_table", row_key().alias("row_key"), "type", "data", F.col(order).alias("seq")
-    )
+    rows = keyed(routed).select("sink_table", "row_key", "type", "data", F.col(order).alias("seq"))
     rows.hint("rebalance", "sink_table").write.mode("overwrite").partitionBy("sink_table").parquet(
         f"{path.rstrip('/')}/batch_id={batch_id}"
     )
@@ -83,8 +89,7 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
     schema = (
         "row_key string, type string, data map<string,string>, seq bigint, batch_id bigint, sink_table string"
     )
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 

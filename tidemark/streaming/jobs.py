@@ -6,8 +6,6 @@ state lies beside it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -17,8 +15,8 @@ from tidemark.functions.time import DISPLAY_ZONE
 from tidemark.operators.patterns import JUMP_OUT_MS
 from tidemark.operators.records import log_records
 from tidemark.operators.split import route_channels
-from tidemark.plans.jobs import page_records, route_dimensions
-from tidemark.sinks.dimensions import append_changes
+from tidemark.plans.jobs import page_records
+from tidemark.streaming.dimensions import DimensionTables, dimension_source
 from tidemark.streaming.operators import (
     LATENESS_MS,
     VISIT_TTL_MS,
@@ -67,36 +65,27 @@ def jump_outs_stream(
     within_ms: int = JUMP_OUT_MS,
     last_page: str = "page.last_page_id",
     lateness_ms: int = LATENESS_MS,
+    timeouts: bool = False,
 ) -> DataStreamWriter:
-    """Jump-out on a page-log stream; a pair appears once the watermark has passed it."""
+    """Jump-out on a page-log stream; a pair appears once the watermark has passed it. ``timeouts`` adds entry pages that
+    nothing follows in time."""
     entry = is_blank("last_page_id")
-    return match_next_stream(page_records(pages, last_page), entry, entry, sink, checkpoint, within_ms, order=order, lateness_ms=lateness_ms)
+    return match_next_stream(page_records(pages, last_page), entry, entry, sink, checkpoint, within_ms, order=order, lateness_ms=lateness_ms, timeouts=timeouts)
 
 
 def route_dimensions_stream(
-    changes: DataFrame,
-    read_config: Callable[[], DataFrame],
-    database: str,
-    path: str,
-    checkpoint: str,
-    order: str = "seq",
-    as_of: bool = False,
+    changes: DataFrame, config: DataFrame, database: str, store: str, checkpoint: str, order: str = "seq", as_of: bool = False, **options
 ) -> DataStreamWriter:
-    """Dimension routing on a stream of change text.
+    """Dimension routing on streams of change text and configuration text; keeps the dimensions in ``store`` current.
 
-    ``read_config`` returns the configuration change text landed so far; it is
-    read again for every micro-batch, before the batch is routed. A batch that
-    runs again replaces what it wrote.
+    A batch is routed by the configuration known at its end: the versions in force, or with ``as_of`` those at each
+    record's arrival number. ``options`` are those of :class:`~tidemark.streaming.dimensions.DimensionTables`: reading of
+    deletes, batches that a change may wait for its configuration, the schema in which dimensions are published, a folder
+    for the change log, and a sink for rows left out.
     """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        append_changes(route_dimensions(batch, read_config(), database, order, as_of), batch_id, path, order)
-
-    return (
-        changes.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    tables = DimensionTables(changes.sparkSession, checkpoint, database, store, order, as_of, **options)
+    source = dimension_source(changes, config, order)
+    return source.writeStream.foreachBatch(tables.run).option("checkpointLocation", checkpoint).outputMode("append")
 
 
 def run_to_end(writer: DataStreamWriter, timeout_s: int = 600) -> None:
