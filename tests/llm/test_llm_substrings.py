@@ -65,3 +65,63 @@ def test_null_ids_repeated_rows_and_empty_tables(docs):
     out = substrings.dedup_substrings(docs([(None, text), (None, text), (7, text), (7, text), (9, text)])).collect()
     assert sorted((r["doc_id"] or 0, len(r["kept"])) for r in out) == [(0, 80), (0, 80), (7, 80), (7, 80), (9, 0)]
     assert substrings.dedup_substrings(docs([])).collect() == []
+
+
+def test_pieces_cover_every_window_once(rng):
+    for text in (b"x" * 2000, b"ab" * 700, bytes(rng.choice(b"abcd ") for _ in range(3000)), b"x" * 49, b"y" * 50):
+        data = np.frombuffer(text, np.uint8)
+        row, at, count, gram, content = substrings.pieces(data, np.array([0, len(data)]), 50, substrings.GRAM)
+        places = [a + k for a, n in zip(at.tolist(), count.tolist()) for k in range(n)]
+        assert places == list(range(max(0, len(text) - 49))) and (len(count) == 0 or count.max() <= substrings.MOST)
+    run = substrings.pieces(np.full(500_000, 120, np.uint8), np.array([0, 500_000]), 50, substrings.GRAM)
+    assert len(run[0]) == -(-499_951 // substrings.MOST)
+
+
+@pytest.mark.parametrize("parts", [8, 16, 100, 1024])
+def test_all_shards_are_used(rng, parts):
+    """Only the upper bits of a gram reach the dealing of pieces' bytes."""
+    table = np.zeros(40_000, substrings._CHECK)
+    table["gram"] = np.array([rng.getrandbits(64) >> 24 << 24 for _ in range(len(table))], np.uint64)
+    table["count"] = 1
+    body = substrings.zstandard.ZstdCompressor().compress(b"z" * 60)
+    batch = substrings.pa.RecordBatch.from_arrays(
+        [substrings.pa.array([1]), substrings.pa.array([body]), substrings.pa.array([[table.tobytes()]])], ["doc", "body", "checks"]
+    )
+    used = {p for out in substrings._extract(50, parts)(iter([batch])) for p in out.column(0).to_pylist()}
+    assert used == set(range(parts))
+
+
+def test_long_runs_of_one_character(docs):
+    """Five megabytes of runs that differ in length and surroundings: pieces repeat, and their bytes are shipped once."""
+    rows = [(1, "a" + "x" * 1_700_000 + "b"), (2, "x" * 1_700_001), (3, "c" + "x" * 1_600_007 + "d" * 60), (4, "d" * 70 + " " * 200)]
+    out = found(substrings.dedup_substrings(docs(rows)))
+    assert out[1] == (1_700_002, rows[0][1].encode(), [])
+    # One character longer than the run before it, but every window of it is in that run.
+    assert out[2][0] == 1_700_001 and out[2][1] == b"" and out[2][2] == [(0, 1_700_001)]
+    assert out[3][1] == b"c" + b"d" * 60 and out[4][1] == b" " * 200
+
+
+def test_a_long_run_takes_bounded_memory(tmp_path):
+    import subprocess
+    import sys
+
+    code = (
+        "import numpy as np, resource\n"
+        "from tidemark.llm import substrings as s\n"
+        "import pyarrow as pa\n"
+        "t = 'x' * 5_000_000\n"
+        "batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([t, 'y' + t])], ['doc', 'text'])\n"
+        "dealt = list(s._deal(50, 8)(iter([batch])))\n"
+        "settled = [r for b in s._compare(50)(iter(dealt)) for r in b.to_pylist()]\n"
+        "checks = {}\n"
+        "for r in settled:\n"
+        "    if r['checks']: checks.setdefault(r['doc'], []).append(r['checks'])\n"
+        "press = s.zstandard.ZstdCompressor().compress\n"
+        "rows = [(d, press({1: t, 2: 'y' + t}[d].encode()), c) for d, c in checks.items()]\n"
+        "if rows:\n"
+        "    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ['doc', 'body', 'checks'])\n"
+        "    list(s._shard(50)(s._extract(50, 8)(iter([batch]))))\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(__import__("pathlib").Path(__file__).parents[2]), check=True)
+    assert int(done.stdout) < 1000

@@ -1,7 +1,7 @@
 """Removal of byte strings that also start in a document of a smaller id, by suffix arrays over shards of candidates.
 
 Every ``width``-byte window belongs to the smallest-hashed gram within it (its minimiser), wherever it occurs, so windows
-are dealt into shards by minimiser without losing a match. Neighbouring windows of one minimiser form one piece of text.
+are dealt into shards by minimiser without losing a match. Neighbouring windows of one minimiser form one piece of text, of bounded length.
 A piece that an earlier document holds unchanged is all repeat, which hashes settle: within a batch before anything is
 shuffled, else within the shard. What is left are pieces that share a minimiser but not their bytes; only those are
 shipped as text, and a suffix array by induced sorting with its permuted common prefixes finds the windows that an
@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.store import partitions_for, stored
 from tidemark.llm.suffix import permuted_prefixes, suffix_array
-from tidemark.llm.text import _VALUES, _powers, gather, mix, slices, utf8
+from tidemark.llm.text import _VALUES, _powers, gather, mix, range_hashes, slices, utf8
 
 GRAM = 20
+#: Windows of one piece: their number is kept in a byte.
+MOST = 255
 #: Text bytes for each partition of pieces, text bytes handled at once, and pieces' bytes in one suffix array.
 PARTITION_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
@@ -36,8 +38,8 @@ _CHECK = np.dtype([("gram", "<u8"), ("at", "<u4"), ("count", "u1")])
 def pieces(data: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
     """Runs of windows with one minimiser: row, first window, number of windows, hashes of the gram and of all bytes.
 
-    ``bounds`` goes from 0 to the length; windows lie within rows. Of equal hashes the leftmost gram is taken, so equal
-    windows have equal minimisers.
+    ``bounds`` goes from 0 to the length; windows lie within rows. It is the gram's hash that counts, not its place, so
+    equal windows have equal minimisers, and a run of one character is one piece after the other of ``MOST`` windows.
     """
     n = len(data)
     if n < width:
@@ -47,29 +49,29 @@ def pieces(data: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUES[data] * power[:n], out=sums[1:])
     grams = mix((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
-    bits = np.uint64(n.bit_length())
-    low = grams >> bits << bits | np.arange(len(grams), dtype=np.uint64)
-    span, have = width - gram + 1, 1
+    low, span, have = grams, width - gram + 1, 1
     while have < span:
         step = min(have, span - have)
         low = np.minimum(low[: len(low) - step], low[step:])
         have += step
-    at = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     first, last = bounds[:-1], bounds[1:] - width
     long = last >= first
     edge = np.zeros(n + 2, np.int32)
     np.add.at(edge, first[long], 1)
     np.add.at(edge, last[long] + 1, -1)
-    valid = np.cumsum(edge[: len(at)]) > 0
+    valid = np.cumsum(edge[: len(low)]) > 0
     new = valid.copy()
-    new[1:] &= (at[1:] != at[:-1]) | ~valid[:-1]
+    new[1:] &= (low[1:] != low[:-1]) | ~valid[:-1]
     new[first[long]] = True
     start = np.flatnonzero(new)
-    stop = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True))
-    count = stop - start + 1
+    count = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)) - start + 1
+    cuts = -(-count // MOST)
+    skip = MOST * (np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+    start, count = np.repeat(start, cuts) + skip, np.minimum(MOST, np.repeat(count, cuts) - skip)
+    stop = start + count - 1
     row = np.searchsorted(bounds, start, "right") - 1
     content = mix((sums[stop + width] - sums[start]) * inverse[start] + count.astype(np.uint64))
-    return row, start - bounds[row], count, grams[at[start]], content
+    return row, start - bounds[row], count, low[start], content
 
 
 def _cut(data: np.ndarray, bounds: np.ndarray, i: int, j: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
@@ -240,15 +242,25 @@ def _extract(width: int, parts: int):
         doc, table, text = np.repeat(docs, [len(t) for t in tables]).astype("<i8"), np.concatenate(tables), np.concatenate(texts)
         length = table["count"].astype(np.int64) + width - 1
         start = np.cumsum(length) - length
-        part = (table["gram"] % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
+        # A document's equal pieces share one copy of their bytes; the copies are only places.
+        content = range_hashes(text, start, start + length)
+        order = np.lexsort((content, doc))
+        new = np.append(True, (doc[order[1:]] != doc[order[:-1]]) | (content[order[1:]] != content[order[:-1]]))
+        first, same = order[new], np.empty(len(order), np.int64)
+        same[order] = np.cumsum(new) - 1
+        # The gram's low bits are not kept, so it is mixed before it is dealt.
+        part = ((mix(table["gram"]) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((same, part))
         at = np.searchsorted(part[order], np.arange(parts + 1))
         full = np.flatnonzero(np.diff(at)).tolist()
         bodies = []
         for p in full:
             own = order[at[p] : at[p + 1]]
-            columns = (doc[own], table["at"][own], table["count"][own], text[gather(start[own], length[own])])
-            bodies.append(np.array([len(own)], "<i4").tobytes() + b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+            new = np.append(True, same[own[1:]] != same[own[:-1]])
+            held = first[same[own[new]]]
+            sizes = np.array([len(own), len(held)], "<i4")
+            columns = (table["at"][own], (np.cumsum(new) - 1).astype("<u4"), doc[held], table["count"][held], text[gather(start[held], length[held])])
+            bodies.append(sizes.tobytes() + b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
         return _rows(part=full, body=bodies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,18 +289,22 @@ def _shard(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bodies = _by_part(batches, [])
         for part in sorted(bodies):
-            docs, places, counts, texts = [], [], [], []
+            places, which, docs, counts, texts, before = [], [], [], [], [], 0
             for body in bodies.pop(part):
-                n = int(np.frombuffer(body, "<i4", 1)[0])
-                docs.append(np.frombuffer(body, "<i8", n, 4))
-                places.append(np.frombuffer(body, "<u4", n, 4 + 8 * n).astype(np.int64))
-                counts.append(np.frombuffer(body, "u1", n, 4 + 12 * n).astype(np.int64))
-                texts.append(np.frombuffer(body, np.uint8, offset=4 + 13 * n))
-            doc, at, count, text = map(np.concatenate, (docs, places, counts, texts))
+                n, k = (int(x) for x in np.frombuffer(body, "<i4", 2))
+                places.append(np.frombuffer(body, "<u4", n, 8).astype(np.int64))
+                which.append(np.frombuffer(body, "<u4", n, 8 + 4 * n).astype(np.int64) + before)
+                docs.append(np.frombuffer(body, "<i8", k, 8 + 8 * n))
+                counts.append(np.frombuffer(body, "u1", k, 8 + 8 * n + 8 * k).astype(np.int64))
+                texts.append(np.frombuffer(body, np.uint8, offset=8 + 8 * n + 9 * k))
+                before += k
+            at, which, doc, count, text = map(np.concatenate, (places, which, docs, counts, texts))
             found = repeated_windows(text, count + width - 1, doc, width)
-            piece = np.searchsorted(np.cumsum(count), np.arange(int(count.sum())), "right")
-            offset = np.arange(len(piece)) - (np.cumsum(count) - count)[piece]
-            own, runs = _runs(doc[piece[found]], (at[piece] + offset)[found], (at[piece] + offset)[found] + width)
+            # Of each piece its windows, for each place that holds it.
+            start = (np.cumsum(count) - count)[which]
+            hit = found[gather(start, count[which])]
+            place = np.repeat(at, count[which]) + gather(np.zeros(len(at), np.int64), count[which])
+            own, runs = _runs(np.repeat(doc[which], count[which])[hit], place[hit], place[hit] + width)
             if len(own):
                 yield _rows(doc=own, runs=runs)
 

@@ -1,8 +1,15 @@
 """Suffix arrays by induced sorting, in steps that each handle a whole bucket at once.
 
-Suffixes are classed as larger or smaller than their right neighbour, the leftmost-smaller ones are sorted by naming
-their substrings and then, recursively, pairs of neighbouring names, and all others are induced from them: bucket by
-bucket, each wave of suffixes places the suffixes one to the left of it.
+Suffixes are classed as larger or smaller than their right neighbour, the substrings between leftmost-smaller ones are
+sorted by inducing from their first symbols and named, and all other suffixes are induced from the sorted leftmost-smaller
+ones: bucket by bucket, each wave of suffixes places the suffixes one to the left of it.
+
+Where names repeat, the reduced string is not sorted by a further round of induction. Its alphabet is as large as the
+string is long, and a step for each symbol, which is what makes the byte alphabet fast here, would be a step for each
+element. Names of neighbours are paired instead, so each round covers twice as many, until the names are distinct or cover
+the depth that is asked for: a logarithmic number of sorts of the reduced string. Induction itself is one pass over the buckets.
+Common prefixes are compared eight symbols at a time up to the depth, for all suffixes together, and not carried from one
+to the next.
 """
 
 from __future__ import annotations
