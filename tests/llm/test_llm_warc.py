@@ -64,3 +64,52 @@ def test_records_and_frames_are_validated():
     other = warc.dictionary_frame(packed) + archive([good])[len(warc.dictionary_frame(warc._TEMPLATE)) :]
     assert [r.error for r in warc.read_archive(other)] == [None]
     assert list(warc.read_archive(b"")) == []
+
+
+def foreign(kind, block, *headers):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:0b9d6c1e-0000-4000-8000-000000000001>", "WARC-Date: 2020-01-01T00:00:00Z", *headers]
+    return "\r\n".join([*head, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    http = "Content-Type: application/http; msgtype=response"
+    records = [
+        foreign("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"),
+        foreign("response", b"HTTP/1.1 200 OK\r\nServer: s\r\n\r\nbody", http, "WARC-Payload-Digest: sha256:abcdef"),
+        foreign("response", b"HTTP/1.1 200 OK\r\nContent-Length: x\r\n\r\nbody", http, "WARC-Payload-Digest: sha1:!!"),
+        foreign("response", b"HTTP/1.1 200 OK\r\ncontent-length : 4\r\n\r\nbody", http),
+        foreign("response", b"no header at all", http),
+        foreign("revisit", b"HTTP/1.1 304\r\n\r\n", http, "WARC-Refers-To: <urn:uuid:1>"),
+        foreign("resource", b"", "Content-Type: text/plain", f"WARC-Payload-Digest: SHA1:{'A' * 32}"),
+        foreign("response", b"\xff\xfe", "Content-Type: image/png"),
+        b"WARC/1.1\r\n: \r\n\r\n",
+        b"",
+    ]
+    path = tmp_path / "foreign"
+    path.mkdir()
+    (path / "a.warc.zst").write_bytes(archive(records))
+    (path / "b.warc.zst").write_bytes(b"not an archive")
+    (path / "c.warc.zst").write_bytes(b"")
+    found = sorted(warc.read_archives(spark, str(path)).collect(), key=lambda r: (r["archive"], r["offset"]))
+    a = [(r["record_type"], r["page_id"], None if r["payload"] is None else bytes(r["payload"]), r["payload_bytes"], r["payload_digest"], r["error"] is None) for r in found[:-1]]
+    assert a == [
+        ("warcinfo", None, b"software: x\r\n", 13, None, True),
+        ("response", None, b"body", 4, None, True),
+        ("response", None, b"body", 4, None, False),
+        ("response", None, b"body", 4, None, True),
+        ("response", None, b"", 0, None, True),
+        ("revisit", None, None, None, None, True),
+        ("resource", None, b"", 0, "00" * 20, False),
+        ("response", None, b"\xff\xfe", 2, None, True),
+        (None, None, None, None, None, False),
+        (None, None, None, None, None, False),
+    ]
+    assert found[-1]["archive"].endswith("b.warc.zst") and found[-1]["error"]
+
+
+def test_very_long_payloads(spark, pages):
+    long = "é0123456789" * 1_500_000
+    found = read(spark, pages([(1, "u", long, ""), (2, "u", long, ""), (3, "u", "", "")]))
+    assert sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["error"]) for r in found) == [
+        (1, len(long.encode()), "revisit", None), (2, len(long.encode()), "response", None), (3, 0, "response", None)
+    ]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -63,8 +64,20 @@ def _urn(page_id: int | None) -> str:
 
 
 def _page(urn: str) -> int | None:
-    text = urn.removeprefix("<urn:page:").removesuffix(">")
-    return int(text) if text else None
+    """The page of a record id of :func:`record`; None for ids of other writers."""
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", urn)
+    return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
+
+
+def _sha1(digest: str | None) -> str | None:
+    """The hex form of a SHA-1 header in base 32; None for other digests."""
+    name, _, value = (digest or "").partition(":")
+    if name.lower() != "sha1":
+        return None
+    try:
+        return base64.b32decode(value.upper()).hex()
+    except ValueError:
+        return None
 
 
 def dictionary_frame(dictionary: bytes) -> bytes:
@@ -190,19 +203,32 @@ def _parse(offset: int, text: bytes) -> Parsed:
     elif not length.isdigit() or len(rest) != int(length) + 4 or not rest.endswith(b"\r\n\r\n"):
         out.error = "the block does not have the length in its header"
     else:
-        http, _, payload = rest[:-4].partition(b"\r\n\r\n")
-        told = next((int(v) for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.lower() == b"content-length"), None)
-        out.payload_bytes = told
-        if headers["warc-type"] == "response":
-            out.payload = payload
-            digest = "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
-            if told != len(payload):
-                out.error = "the payload does not have the length in its HTTP header"
-            elif headers.get("warc-payload-digest", digest) != digest:
-                out.error = "the payload does not have the digest in its header"
+        _parse_block(out, rest[:-4])
     return out
 
 
+def _parse_block(out: Parsed, block: bytes) -> None:
+    """The payload: what follows the HTTP header, or the whole block of records that are not HTTP."""
+    kind = out.headers["warc-type"]
+    if kind not in ("response", "revisit") or "application/http" not in out.headers.get("content-type", "application/http").lower():
+        out.payload, out.payload_bytes = block, len(block)
+    else:
+        http, _, payload = block.partition(b"\r\n\r\n")
+        lengths = [v.strip() for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.strip().lower() == b"content-length"]
+        told = int(lengths[0]) if lengths and re.fullmatch(rb"[0-9]{1,18}", lengths[0]) else None
+        if lengths and told is None:
+            out.error = "the HTTP header's length is not a number"
+        if kind == "revisit":
+            out.payload_bytes = told
+            return
+        out.payload, out.payload_bytes = payload, len(payload)
+        if told is not None and told != len(payload):
+            out.payload_bytes, out.error = told, "the payload does not have the length in its HTTP header"
+    digest = _sha1(out.headers.get("warc-payload-digest"))
+    if out.error is None and digest is not None and digest != hashlib.sha1(out.payload).hexdigest():
+        out.error = "the payload does not have the digest in its header"
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["archive", "offset", "record_type", "page_id", "refers_to", "url", "payload", "payload_bytes", "payload_digest", "error"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
@@ -214,10 +240,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in zip(batch.column(0), batch.column(1)):
             rows, size = [], 0
             for r in read_archive(content.as_py()):
-                digest = r.headers.get("warc-payload-digest")
-                digest = base64.b32decode(digest.removeprefix("sha1:")).hex() if digest else None
-                refers = r.headers.get("warc-refers-to")
-                ids = _page(r.headers.get("warc-record-id", "")), _page(refers) if refers else None
+                digest = _sha1(r.headers.get("warc-payload-digest"))
+                ids = _page(r.headers.get("warc-record-id", "")), _page(r.headers.get("warc-refers-to", ""))
                 rows.append((path.as_py(), r.offset, r.headers.get("warc-type"), *ids, r.headers.get("warc-target-uri"), r.payload, r.payload_bytes, digest, r.error))
                 size += len(r.payload or b"")
                 if size > 4 << 20:
@@ -229,7 +253,13 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record: ``archive, offset, record_type, page_id, refers_to, url, payload, payload_bytes,
-    payload_digest`` (hex SHA-1) and ``error``, which says what a record fails, null if it is sound."""
+    payload_digest`` (hex SHA-1) and ``error``, which says what a record fails, null if it is sound.
+
+    Archives of other writers are read as well. Ids that are not those of :func:`record`, digests other than SHA-1 and
+    headers that are missing give null fields; a response need not tell its HTTP length. Records that are not HTTP have
+    their whole block as payload. An archive whose frames break off gives its records up to there and one with an error;
+    an empty archive gives none. Records are held one at a time, whatever the size of the archive's payloads.
+    """
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     schema = (
         "archive string, offset long, record_type string, page_id long, refers_to long, url string, payload binary, "
