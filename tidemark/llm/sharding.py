@@ -8,10 +8,10 @@ the driver only ever sees a bounded histogram.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.store import stored
 
@@ -25,6 +25,10 @@ TIES = 1 << 62
 SLOT_ROWS = 100_000
 
 
+#: Buckets of all histograms that are collected at once.
+HISTOGRAM_ROWS = 1 << 17
+
+
 @dataclass
 class Cut:
     """Units with a smaller value go left, those with the value by their tie; ``tie`` -1: all of them go right."""
@@ -33,29 +37,52 @@ class Cut:
     value: int
     tie: int
 
-    def goes_left(self) -> Column:
-        v = F.col(self.dimension)
-        return (v < self.value) | ((v == self.value) & (F.col("tie") <= self.tie))
-
 
 @dataclass
 class Node:
+    """A part of the tree that holds the shards from ``first`` on; it is cut in two as long as it has several."""
+
     first: int
     leaves: int
     cut: Cut | None = None
     left: Node | None = None
     right: Node | None = None
 
-    def shard(self) -> Column:
-        """The number of a unit's leaf."""
-        if self.cut is None:
-            return F.lit(self.first)
-        return F.when(self.cut.goes_left(), self.left.shard()).otherwise(self.right.shard())
+    def levels(self) -> Iterator[list[Node]]:
+        """Cut nodes, level by level."""
+        nodes = [self]
+        while nodes := [n for n in nodes if n.cut is not None]:
+            yield nodes
+            nodes = [half for n in nodes for half in (n.left, n.right)]
 
     def ends(self) -> list[Node]:
         return [self] if self.cut is None else [*self.left.ends(), *self.right.ends()]
 
 
+def _table(spark: SparkSession, names: str, rows: list[tuple[int | None, ...]]) -> DataFrame:
+    """A small table of whole numbers, inline in the plan."""
+    value = lambda v: "CAST(NULL AS BIGINT)" if v is None else f"BIGINT('{v}')"
+    return spark.sql(f"SELECT * FROM VALUES {', '.join('(' + ', '.join(map(value, row)) + ')' for row in rows)} AS t({names})")
+
+
+def _along(dimension: Column) -> Column:
+    """The value of a unit in the dimension of that number."""
+    return F.element_at(F.array(*[F.col(d) for d in DIMENSIONS]), (dimension + 1).cast("int"))
+
+
+def routed(units: DataFrame, root: Node) -> DataFrame:
+    """Add ``node``, the first shard of the unit's leaf: one join with a table of cuts for each level of the tree."""
+    # All begin at the root; as a literal, that would turn the first join into one without a key.
+    placed = units.withColumn("node", F.pmod("tie", F.lit(1)) + F.lit(root.first))
+    for nodes in root.levels():
+        rows = [(n.first, DIMENSIONS.index(n.cut.dimension), n.cut.value, n.cut.tie, n.right.first) for n in nodes]
+        cuts = F.broadcast(_table(units.sparkSession, "node, dimension, cut, cut_tie, beyond", rows))
+        v = _along(F.col("dimension"))
+        stays = F.col("dimension").isNull() | (v < F.col("cut")) | ((v == F.col("cut")) & (F.col("tie") <= F.col("cut_tie")))
+        placed = placed.join(cuts, "node", "left").select(*units.columns, F.when(stays, F.col("node")).otherwise(F.col("beyond")).alias("node"))
+    return placed
+
+
 @dataclass
 class _Search:
     """Where the cut of a node lies: in [lo, hi] of ``column``, with ``below`` bytes before lo."""
@@ -69,20 +96,11 @@ class _Search:
     column: str = "value"
     value: int | None = None
     below: float = 0.0
+    step: int = 1
 
-    @property
-    def step(self) -> int:
-        return max(1, -(-(self.hi - self.lo + 1) // BUCKETS))
-
-    def within(self) -> Column:
-        here = F.col("node") == self.node.first
-        if self.column == "tie":
-            return here & (F.col(self.dimension) == self.value) & F.col("tie").between(self.lo, self.hi)
-        return here & F.col(self.dimension).between(self.lo, self.hi)
-
-    def bucket(self) -> Column:
-        name = "tie" if self.column == "tie" else self.dimension
-        return F.expr(f"({name} - {self.lo}L) div {self.step}L")
+    def row(self, buckets: int) -> tuple[int | None, ...]:
+        self.step = max(1, -(-(self.hi - self.lo + 1) // buckets))
+        return self.node.first, DIMENSIONS.index(self.dimension), self.value, self.lo, self.hi, self.step
 
     def cut(self, last: int) -> Cut:
         """All values up to ``last`` go left."""
@@ -111,15 +129,30 @@ class _Search:
         return self.cut(self.hi)
 
 
+def _histograms(placed: DataFrame, searches: list[_Search]) -> dict[int, list[tuple[int, float, int]]]:
+    """Bytes and units by bucket of every search."""
+    buckets = max(16, min(BUCKETS, HISTOGRAM_ROWS // len(searches)))
+    ranges = _table(placed.sparkSession, "node, dimension, fixed, lo, hi, step", [s.row(buckets) for s in searches])
+    v = _along(F.col("dimension"))
+    # Within one value of the dimension the tie is searched, else the value.
+    looked = F.when(F.col("fixed").isNull(), v).when(v == F.col("fixed"), F.col("tie"))
+    rows = placed.join(F.broadcast(ranges), "node").withColumn("v", looked).where("v BETWEEN lo AND hi")
+    found: dict[int, list[tuple[int, float, int]]] = {}
+    for r in rows.groupBy("node", F.expr("(v - lo) div step").alias("bucket")).agg(F.sum("bytes").alias("w"), F.count("*").alias("n")).collect():
+        found.setdefault(r["node"], []).append((r["bucket"], float(r["w"]), r["n"]))
+    return found
+
+
 def kd_tree(units: DataFrame, shards: int) -> Node:
     """Split ``units`` (the dimensions, ``tie`` and ``bytes``) until every leaf is one shard of near equal bytes.
 
-    A node of k shards is cut where the left part has the bytes of k // 2 of them. Levels are worked on together.
+    A node of k shards is cut where the left part has the bytes of k // 2 of them. Levels are worked on together; plans grow
+    with the number of levels, not of nodes, and what the driver sees is a bounded number of histogram rows.
     """
     root = Node(0, shards)
     whole: dict[str, float] = {}
     while open_nodes := [n for n in root.ends() if n.leaves > 1]:
-        placed = units.withColumn("node", root.shard())
+        placed = routed(units, root)
         spread = [f(d).alias(f"{k}_{d}") for d in DIMENSIONS for k, f in (("lo", F.min), ("hi", F.max))]
         stats = {r["node"]: r for r in placed.groupBy("node").agg(F.sum("bytes").alias("bytes"), *spread).collect()}
         searches = []
@@ -134,11 +167,7 @@ def kd_tree(units: DataFrame, shards: int) -> Node:
             total = float(own["bytes"])
             searches.append(_Search(node, widest, total * (node.leaves // 2) / node.leaves, total * SLACK, own[f"lo_{widest}"], own[f"hi_{widest}"]))
         while searches:
-            bucket = reduce(lambda other, s: F.when(s.within(), s.bucket()).otherwise(other), searches, F.lit(None).cast("long"))
-            rows = placed.select("node", bucket.alias("bucket"), "bytes").where("bucket IS NOT NULL")
-            found: dict[int, list] = {}
-            for r in rows.groupBy("node", "bucket").agg(F.sum("bytes").alias("w"), F.count("*").alias("n")).collect():
-                found.setdefault(r["node"], []).append((r["bucket"], float(r["w"]), r["n"]))
+            found = _histograms(placed, searches)
             left = []
             for search in searches:
                 cut = search.look(sorted(found.get(search.node.first, [])))
@@ -156,9 +185,15 @@ def _split(node: Node, cut: Cut) -> None:
 
 
 def shard_documents(
-    docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang"
+    docs: DataFrame,
+    shards: int | None = 8,
+    target_bytes: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    lang_col: str = "lang",
 ) -> DataFrame:
-    """Place every row in one of ``shards`` shards of near equal bytes.
+    """Place every row in one of ``shards`` shards of near equal bytes, or in as many as reach ``target_bytes`` each.
 
     Returns ``id_col``, ``size`` (UTF-8 bytes of the text plus 1), ``text_crc32``, ``shard`` and ``slot`` (gapless from 0
     within the shard). Equal texts share a shard unless they weigh more than ``PIECE`` of one: larger groups are dealt
@@ -184,16 +219,19 @@ def shard_documents(
     )
     rows = stored(rows, "shard-rows")
     totals = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    if target_bytes is not None:
+        shards = max(1, -(-(totals["bytes"] or 0) // target_bytes))
     most = max(1, int((totals["bytes"] or 0) / shards * PIECE))
     groups = rows.groupBy("h", "size").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > most)
     large = groups.where("bytes > size").select("h", "size", F.ceil(F.col("bytes") / most).alias("pieces"))
     rows = rows.join(F.broadcast(large), ["h", "size"], "left").withColumn("piece", F.coalesce(F.pmod("row", "pieces"), F.lit(0)).cast("long"))
-    doc = F.coalesce(F.min(F.col("id").cast("long")), F.lit(0))
+    # Two bits less, so that differences fit in a long whatever the ids.
+    doc = F.shiftright(F.coalesce(F.min(F.col("id").cast("long")), F.lit(0)), 2)
     units = rows.groupBy("h", "size", "piece").agg(
         F.sum("size").alias("bytes"), doc.alias("doc"), F.min("source").alias("source"), F.min("lang").alias("lang")
     )
     units = stored(units.withColumn("tie", F.pmod(F.xxhash64("h", "size", "piece"), F.lit(TIES))), "units")
-    placed = units.select("h", "size", "piece", kd_tree(units, shards).shard().alias("shard"))
+    placed = routed(units, kd_tree(units, shards)).select("h", "size", "piece", F.col("node").alias("shard"))
     rows = stored(rows.join(placed, ["h", "size", "piece"]).select("id", "size", "text_crc32", "row", "shard"), "placed-rows")
     parts = max(1, -(-totals["n"] // (shards * SLOT_ROWS)))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
