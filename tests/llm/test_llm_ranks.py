@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import pytest
+
 from tidemark.llm import ranks
 
 EDGE = [-(1 << 63), (1 << 63) - 1, -1, 0, 1, None]
@@ -20,7 +22,9 @@ def test_running_totals_of_few_rows(spark):
     assert [r["before"] for r in ranks.running_totals(frame([("a", None, 3)]), ["g"], "k", "w").collect()] == [0]
 
 
-def test_tie_offsets_number_every_group(spark, rng):
+@pytest.mark.parametrize("window_rows", [ranks.WINDOW_ROWS, 10])
+def test_tie_offsets_number_every_group(spark, rng, monkeypatch, window_rows):
+    monkeypatch.setattr(ranks, "WINDOW_ROWS", window_rows)
     rows = [(rng.choice("ab"), rng.randrange(5), i) for i in range(300)]
     got = ranks.tie_offsets(spark.createDataFrame(rows, "g string, t long, r long"), ["g"], ["t", "r"]).collect()
     by = defaultdict(list)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.store import stored
 
 FAN_BITS = 10
+#: Rows of one group that a single window may sort.
+WINDOW_ROWS = 20_000
 _SIGN = -(1 << 63)
 
 
@@ -58,9 +60,13 @@ def running_totals(counts: DataFrame, group: list[str], key: str, weight: str, o
 def tie_offsets(tied: DataFrame, group: list[str], keys: list[str], out: str = "offset") -> DataFrame:
     """Add ``out``, the number of rows of the same group that are smaller by ``keys``, compared one after the other.
 
-    The last key must tell all rows of a group apart. Keys are longs that are not null, groups may be of any size.
-    ``tied`` should be a stored table.
+    The last key must tell all rows of a group apart. Keys are longs that are not null, groups may be of any size: where
+    they are counted to be small, one window numbers them, else each key is ranked by its own directory. ``tied`` should be
+    a stored table.
     """
+    most = tied.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if most <= WINDOW_ROWS:
+        return tied.withColumn(out, (F.row_number().over(Window.partitionBy(*group).orderBy(*keys)) - 1).cast("long"))
     result = tied.withColumn(out, F.lit(0).cast("long"))
     for k, key in enumerate(keys):
         within = [*group, *keys[:k]]
