@@ -21,7 +21,7 @@ from tidemark.llm.store import small_or_shuffled, stored
 from tidemark.operators.sizes import fits_broadcast, lookup_join
 
 #: Documents expected in the fullest bin.
-BIN_ROWS = 20_000
+BIN_ROWS = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 #: Digits, punctuation and other marks of ASCII.
 MARK = r"[!-@\[-`{-~]"
