@@ -24,6 +24,7 @@ FAN = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The word of rows without an id; real words have 58 bits.
 NO_ID = -(1 << 63)
+_PATH = "array<struct<slots:array<string>,at:int>>"
 
 
 def digest(text: Column) -> Column:
@@ -82,11 +83,13 @@ def _parents(runs: DataFrame) -> DataFrame:
     return runs.select("g", F.col("run").alias("pos"), count.alias("n"), digest(F.array_join("slots", "")).alias("hash"))
 
 
-def _paths(runs: list[DataFrame], above: DataFrame) -> DataFrame | None:
-    """Of every run of the lowest level the path ``up`` above its parent node. ``above``: ``g, path`` above the group's root."""
+def _paths(runs: list[DataFrame], above: DataFrame | None) -> DataFrame | None:
+    """Of every run of the lowest level the path ``up`` above its parent node. ``above``: ``g, path`` above the group's root,
+    if there is anything above it."""
     lower = None
     for level in reversed(runs):
-        top = level.where(F.col("n") <= FAN).join(above, "g").withColumnRenamed("path", "up")
+        top = level.where(F.col("n") <= FAN)
+        top = top.withColumn("up", F.array().cast(_PATH)) if above is None else top.join(above, "g").withColumnRenamed("path", "up")
         if lower is not None:
             parents = lower.select("g", F.col("run").alias("_run"), F.col("slots").alias("_slots"), F.col("up").alias("_up"))
             rest = level.where(F.col("n") > FAN).withColumn("_run", F.shiftright("run", 3)).join(parents, ["g", "_run"])
@@ -96,9 +99,6 @@ def _paths(runs: list[DataFrame], above: DataFrame) -> DataFrame | None:
     return lower
 
 
-_PATH = "array<struct<slots:array<string>,at:int>>"
-
-
 def _placed(rows: DataFrame) -> DataFrame:
     """Rows ``g, word, bit, tie, row`` with their place ``pos`` in the group."""
     bits = F.bit_or(F.expr("shiftleft(1L, bit)"))
@@ -171,10 +171,9 @@ def merkle_manifest(
     told = subroots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("pos"), F.lit(groups.count()).cast("long").alias("n"), "hash")
     runs, root = _reduce(told)
     none = F.array().cast(_PATH)
-    whole = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("g"), none.alias("path"))
     heads = subroots.withColumnRenamed("hash", "subroot")
     if runs:
-        paths = _paths(runs, whole).select(F.col("run").alias("_run"), "slots", "up")
+        paths = _paths(runs, None).select(F.col("run").alias("_run"), "slots", "up")
         step = F.struct("slots", F.col("g").bitwiseAND(F.lit(FAN - 1)).cast("int").alias("at"))
         heads = heads.withColumn("_run", F.shiftright("g", 3)).join(paths, "_run").select("g", "subroot", F.concat(F.array(step), "up").cast(_PATH).alias("path"))
     else:
