@@ -72,3 +72,36 @@ def test_statistics_cover_all_suffixes(spark, monkeypatch, shuffled):
     assert seen.pop("new.com") == (0.0, 0.0)
     assert seen.pop("hot.org") == pytest.approx((math.log1p(100), math.log1p(100)))
     assert len(seen) == 1000 and set(seen.values()) == {(math.log1p(1), math.log1p(11_000))}
+
+
+def by_model(url, rules):
+    """Host, path and rule of one URL, character by character."""
+    if url is None or "://" not in url:
+        host, path = "", ""
+    else:
+        rest = url[url.index("://") + 3 :]
+        end = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+        host, rest = rest[:end], rest[end:]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        path = rest[: min([rest.index(c) for c in "?#" if c in rest], default=len(rest))]
+    best = None
+    for rule in rules:
+        own, _, tail = rule.text.partition("/")
+        if (host == own or host.endswith("." + own)) and path.startswith("/" + tail) and (best is None or len(rule.text) > len(best)):
+            best = rule.text
+    return host, path, best
+
+
+def test_random_urls_equal_a_model_and_repeated_rows_stay(judge, spark, rng):
+    parts = ["http", "://", "a", "B", ".", "net", "example.net", "example.com", "org", "/", "en/", "de/", "fr/", "?", "#", "É", "www."]
+    texts = [None, ""] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    texts += [f"{rng.choice(['http', 'X'])}://{rng.choice(['', 'a.', 'not'])}{rng.choice(parts)}{rng.choice(['/', '', '?'])}{rng.choice(parts)}" for _ in range(300)]
+    found = judge(list(enumerate(texts)))
+    verdicts = {r.text: r.verdict for r in URL_RULES}
+    for i, url in enumerate(texts):
+        host, path, rule = by_model(url, URL_RULES)
+        assert (found[i]["host"], found[i]["path"], found[i]["rule"]) == (host, path, rule), url
+        assert rule is None or found[i]["verdict"] == verdicts[rule]
+    frame = spark.createDataFrame([(1, "http://a.net/"), (1, "http://a.net/"), (None, None), (None, None)], "page_id long, url string")
+    rows = urls.filter_urls(frame, URL_RULES).collect()
+    assert sorted((r["page_id"] or 0, r["host"], r["verdict"]) for r in rows) == [(0, "", "block")] * 2 + [(1, "a.net", "block")] * 2
