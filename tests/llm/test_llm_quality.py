@@ -1,9 +1,12 @@
+import math
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import quality, text
 
 
 @pytest.fixture
@@ -38,3 +41,46 @@ def test_one_class_empty_texts_and_empty_tables(docs, labels):
     assert not model.trained
     assert [r["_score"] for r in quality.score_texts(frame.withColumn("_score", F.lit(9)), model).collect()] == [0.5] * 5
     assert quality.score_texts(docs([]), model).collect() == []
+
+
+def scalar_model(rows, epochs, alpha, beta, l1, l2):
+    """Follow-the-regularised-leader, one weight after the other, on dictionaries."""
+    z, n = {}, {}
+
+    def weight(k):
+        zk, nk = z.get(k, 0.0), n.get(k, 0.0)
+        return 0.0 if abs(zk) <= l1 else ((1 if zk > 0 else -1) * l1 - zk) / ((beta + math.sqrt(nk)) / alpha + l2)
+
+    for _ in range(epochs):
+        for label, x in rows:
+            w = [weight(k) for k, _ in x]
+            p = 1 / (1 + math.exp(-sum(a * v for a, (_, v) in zip(w, x))))
+            for (k, v), wk in zip(x, w):
+                g = (p - label) * v
+                sigma = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / alpha
+                z[k] = z.get(k, 0.0) + g - sigma * wk
+                n[k] = n.get(k, 0.0) + g * g
+    return weight
+
+
+def test_weights_equal_a_scalar_model(rng):
+    rows = []
+    for _ in range(60):
+        buckets = sorted(rng.sample(range(2, 40), rng.randint(0, 12)))
+        rows.append((rng.randint(0, 1), buckets, [rng.randint(1, 4) for _ in buckets]))
+    epoch = lambda: ((y, np.array(b, np.int32), np.array(t, np.int32)) for y, b, t in rows)
+    model = quality.fit(epoch)
+    plain = [(y, [(k, c / math.sqrt(max(1, sum(t)))) for k, c in zip(b, t)] + [(0, 1.0)]) for y, b, t in rows]
+    weight = scalar_model(plain, quality.EPOCHS, quality.ALPHA, quality.BETA, quality.L1, quality.L2)
+    assert np.allclose(model.weights[:40], [weight(k) for k in range(40)], atol=1e-6) and not model.weights[40:].any()
+
+
+def test_scores_are_sparse_dot_products(rng):
+    weights = np.random.default_rng(1).normal(size=1 << quality.BITS).astype(np.float32)
+    column = pa.array(["", None, "one two two, three", "x " * 3000])
+    data, bounds = text.utf8(column)
+    got = quality.scores(quality.Model(weights, True), column)
+    for k in range(len(column)):
+        buckets, _ = quality.features(*text.words(data, bounds[k : k + 2], text.MARKS))
+        total = sum(float(weights[b]) for b in buckets.tolist()) / math.sqrt(max(1, len(buckets))) + float(weights[0])
+        assert abs(got[k] - 1 / (1 + math.exp(-max(-35, min(35, total))))) < 1e-5

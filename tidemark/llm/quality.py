@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,17 +50,20 @@ def features(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([single, pair[within]]), np.concatenate([row, row[1:][within]])
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's buckets, ascending, and how often each occurs."""
     for batch in batches:
         data, bounds = utf8(batch.column("text"))
         for i, j in slices(bounds):
             bucket, row = features(*words(data, bounds[i : j + 1], MARKS))
             order = np.argsort(row, kind="stable")
             bucket, at = bucket[order], np.searchsorted(row[order], np.arange(j - i + 1))
-            packed = [bucket[at[k] : at[k + 1]].tobytes() for k in range(j - i)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("pick").slice(i, j - i), batch.column("label").slice(i, j - i), pa.array(packed, pa.binary())], ["pick", "label", "buckets"]
-            )
+            counted = [np.unique(bucket[at[k] : at[k + 1]], return_counts=True) for k in range(j - i)]
+            packed = [pa.array([x[k].astype("<i4").tobytes() for x in counted], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("pick").slice(i, j - i), batch.column("label").slice(i, j - i), *packed], _PACKED)
+
+
+_PACKED = ["pick", "label", "buckets", "times"]
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
@@ -68,28 +71,35 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, id_col
 
     About ``max_rows`` labelled rows are used, picked by a hash of their id. Labels other than 0 and 1 and rows without
     an id or a document are left out; a repeated label counts again. Without rows of both classes all weights are 0.
+
+    The driver reads the rows once per epoch, in the order of their pick, and holds one at a time beside the weights: the
+    sort is Spark's, and its partitions are fetched one after the other.
     """
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     share = max_rows / max(usable.count(), max_rows)
     pick = F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
     few = usable.where(pick < int(share * (1 << 30))).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(few), "_id")
-    rows = rows.select(F.xxhash64("_id").alias("pick"), "label", "text").mapInArrow(_hashed, "pick long, label int, buckets binary")
-    sample = sorted((r["pick"], r["label"], r["buckets"]) for r in stored(rows, "training-rows").toLocalIterator())
-    return fit([(label, np.frombuffer(buckets, np.int32)) for _, label, buckets in sample])
+    rows = rows.select(F.xxhash64("_id").alias("pick"), "label", "text").mapInArrow(_packed, "pick long, label int, buckets binary, times binary")
+    sample = stored(rows, "training-rows")
+    if sample.select("label").distinct().count() < 2:
+        return Model(np.zeros(1 << BITS, np.float32), False)
 
+    def epoch() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for r in sample.orderBy(*_PACKED).drop("pick").toLocalIterator():
+            yield r["label"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["times"], "<i4")
 
-def fit(sample: list[tuple[int, np.ndarray]]) -> Model:
-    """Follow-the-regularised-leader over the rows in order, with one learning rate for each weight."""
+    return fit(epoch)
+
+
+def fit(epoch: Callable[[], Iterable[tuple[int, np.ndarray, np.ndarray]]]) -> Model:
+    """Follow-the-regularised-leader over the rows (label, buckets, times of each) in order, with one learning rate for each
+    weight. ``epoch`` gives all rows anew."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    if len({label for label, _ in sample}) < 2:
-        return Model(np.zeros(1 << BITS, np.float32), False)
-    prepared = []
-    for label, buckets in sample:
-        at, times = np.unique(buckets, return_counts=True)
-        prepared.append((label, np.append(at, _BIAS), np.append(times / np.sqrt(max(1, len(buckets))), 1.0)))
     for _ in range(EPOCHS):
-        for label, at, x in prepared:
+        for label, buckets, times in epoch():
+            at = np.append(buckets, _BIAS)
+            x = np.append(times / np.sqrt(max(1, times.sum())), 1.0)
             w = _leader(z[at], n[at])
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - label) * x
