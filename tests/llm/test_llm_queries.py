@@ -57,12 +57,57 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r["doc_id"] for r in tokens} == ids(clean) and all(4 * r["n_tokens"] == len(r["ids"]) for r in tokens)
 
 
-def test_pipeline_of_odd_rows(spark, tmp_path):
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    docs = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "s", 0), (2, "a b c d e f", "en", "s", 11), (2, "a b c d e f", "en", "s", 11)], schema)
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    for rows, left in ((docs, [None, 1, 2]), (docs.limit(0), [])):
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """A folder whose labels and benchmark are given."""
+
+    def build(labels=(), benchmark=()):
+        spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        spark.createDataFrame(list(benchmark), "item_id long, text string").write.mode("overwrite").parquet(f"{tmp_path}/benchmark.parquet")
+        return str(tmp_path)
+
+    return build
+
+
+def test_pipeline_of_odd_rows(spark, folder):
+    docs = spark.createDataFrame(
+        [(1, None, None, None, None), (None, "", "en", "s", 0), (None, None, None, None, None), (2, "a b c d e f", "en", "s", 11), (2, "a b c d e f", "en", "s", 11)], DOCS
+    )
+    path = folder()
+    for rows, left in ((docs, [None, None, 1, 2]), (docs.limit(0), [])):
         for _, stage in corpus_pipeline.STAGES:
-            rows = stage(spark, rows, str(tmp_path))
+            rows = stage(spark, rows, path)
         assert sorted((r["doc_id"] for r in rows.collect()), key=str) == sorted(left, key=str)
+
+
+def test_a_null_row_is_not_taken_for_document_42(spark, folder):
+    path = folder(benchmark=[(1, "one two three four five")])
+    docs = spark.createDataFrame([(42, "one two three four five", "en", "s", 1), (None, None, None, None, None), (None, "clean words", "en", "s", 1)], DOCS)
+    kept = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, path).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(None, ""), (None, "clean words")]
+
+
+def test_stages_keep_columns_of_any_name(spark, folder, rng):
+    extra = ["n_lines", "n_dropped", "_drop", "_score", "_key", "row", "key", "_whole", "node", "component_id"]
+    texts = [" ".join(rng.choice("abcdefgh" if i % 4 else "wxyz") * 3 for _ in range(30)) + f" {i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    docs = docs.withColumns({c: F.concat(F.lit(c), "doc_id") for c in extra})
+    path = folder([(i, int(i % 4 > 0), 0) for i in range(40)] * 3, [(1, texts[3])])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in extra), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() == 40
+
+
+def test_rows_of_one_id_and_several_texts(spark, folder):
+    one, two = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    docs = spark.createDataFrame(
+        [(7, one, "en", "s", 1), (7, two, "en", "s", 1), (7, two, "de", "t", 2), (9, one, "en", "s", 1), (8, "", "en", "s", 0), (8, "", "en", "s", 0), (None, two, "", "", 0)], DOCS
+    )
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, folder()).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(7, one), (7, two), (8, ""), (0, two)])

@@ -176,6 +176,18 @@ def _told(*values: str) -> str:
     return "sha256(" + " || ".join(parts) + ")"
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(words) < 5 THEN words ELSE list_slice(words, i, i + 4) END, ' ') AS gram
+  FROM (SELECT *, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM d WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS u, doc_id AS w FROM d UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.w),
+least AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN least ON least.u = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+""",
     "op2_line_dedup": r"""
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM docs),
@@ -194,6 +206,22 @@ r AS (SELECT *, n >= 1000 AND holder IS NOT NULL AND page_id IS DISTINCT FROM ho
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN holder END AS refers_to
 FROM r
+""",
+    "op5_suffix_array": """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+places AS (SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS window_hex FROM (SELECT *, unnest(range(1, n - 48)) AS i FROM h)),
+first AS (SELECT window_hex, min(doc_id) AS holder FROM places GROUP BY window_hex HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, i FROM places JOIN first USING (window_hex) WHERE doc_id > holder),
+marked AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hits),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+runs AS (SELECT doc_id, k, min(i) AS low, max(i) + 49 AS high FROM numbered GROUP BY doc_id, k),
+gaps AS (SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS after, low FROM runs
+  UNION ALL SELECT h.doc_id, coalesce(max(r.high), 0), h.n + 1 FROM h LEFT JOIN runs r ON r.doc_id = h.doc_id GROUP BY h.doc_id, h.n),
+kept AS (SELECT g.doc_id, string_agg(substr(h, 2 * after + 1, 2 * (low - after - 1)), '' ORDER BY after) AS kept
+  FROM gaps g JOIN h ON h.doc_id = g.doc_id GROUP BY g.doc_id),
+counts AS (SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT h.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM h JOIN kept ON kept.doc_id = h.doc_id LEFT JOIN counts ON counts.doc_id = h.doc_id
 """,
     "op6_embeddings": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
