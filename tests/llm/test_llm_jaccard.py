@@ -1,7 +1,6 @@
 import re
 
 import numpy as np
-import pyarrow as pa
 
 from tidemark.llm import jaccard
 
@@ -64,8 +63,49 @@ def test_sketch_never_overstates_the_difference():
     for n, m in ((10, 12), (40, 35), (300, 290), (5000, 4200)):
         pool = draw.integers(0, 1 << 63, n + m).astype(np.uint64)
         a, b = np.unique(pool[:n]), np.unique(np.append(pool[: m // 2], pool[n : n + m - m // 2]))
-        bits = jaccard._table(pa.array([jaccard.sketch(x) for x in (a, b)], pa.binary()))
-        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(a, b))
+        bits = [np.frombuffer(jaccard.sketch(x), np.uint64) for x in (a, b)]
+        for width in {1, min(map(len, bits))}:
+            one, two = (jaccard._folded(x, width) for x in bits)
+            assert np.bitwise_count(one ^ two).sum() <= len(np.setxor1d(a, b))
+
+
+def test_a_forest_joins_what_pairs_join():
+    draw = np.random.default_rng(5)
+    for k in (1, 2, 5, 30):
+        for _ in range(20):
+            label = draw.integers(0, max(1, k // 2), k)
+            apart = np.full((k, k), -1)
+            for a, b in draw.integers(0, k, (k, 2)).tolist():
+                if label[a] != label[b]:
+                    apart[a, b] = apart[b, a] = draw.integers(0, 9)
+
+            def groups(pairs):
+                own = label.copy()
+                for _ in range(k):
+                    for a, b in pairs:
+                        low, high = sorted((own[a], own[b]))
+                        own[own == high] = low
+                return own.tolist()
+
+            tree = jaccard._forest(apart, label)
+            assert groups(tree) == groups(np.argwhere(apart >= 0).tolist()) and len(tree) < max(1, k)
+
+
+def test_shared_counts():
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 5000, n).astype(np.uint64)) for n in (0, 1, 40, 3000, 4000, 40)]
+    got = jaccard.shared_counts(sets)
+    assert all(got[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
+    assert jaccard.shared_counts([]).shape == (0, 0)
+
+
+def test_blocks_that_do_not_settle_are_compared_exactly(docs, rng, monkeypatch):
+    """Many sets just below the similarity, which sketches cannot tell from those just above."""
+    monkeypatch.setattr(jaccard, "HUB_ROUNDS", 0)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(30)}" for _ in range(rng.choice([9, 12, 14, 16, 20])))) for i in range(120)]
+    found = jaccard.similar_documents(docs(rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows)
 
 
 def rows_of(rng):

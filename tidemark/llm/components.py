@@ -34,9 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
     clean = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").distinct()
     current, mark = stored(clean, "edges"), None
     while True:
-        current = stored(_small_star(stored(_large_star(current), "large-star")), "small-star")
+        current = stored(_small_star(_large_star(current)), "stars")
         now = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (now["n"], now["s"]) == mark:
+        if not now["n"] or (now["n"], now["s"]) == mark:
             break
         mark = (now["n"], now["s"])
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -11,8 +11,10 @@ thereby skipped, and where too few others are left, segments of many n-grams are
 Signatures are packed by target partition and shuffled once; each partition lists the sets that share a signature, if one
 of them looks it up. Members of a list are first compared with the list's pivot only, and what those links join is one
 component. In a few more rounds, members of lists that still hold several components are compared with one hub each.
-Lists that then are still open are compared across components, in blocks of bounded size, and parity sketches rule out
-most pairs without error. All links are verified on the n-grams themselves.
+Lists that then are still open are looked at across components, in blocks of bounded size. Parity sketches rule out most
+pairs without error; of the others a block only asks for a forest that joins them, so what is compared is linear in its
+members. If the whole forest links, the block is settled; else its members' n-grams are brought together and compared exactly.
+All links are verified on the n-grams themselves.
 """
 
 from __future__ import annotations
@@ -33,9 +35,13 @@ PARTITION_BYTES = 16 << 20
 BLOCK = 512
 #: Rounds in which members of open lists are compared with one hub each.
 HUB_ROUNDS = 2
-#: Bits of a parity sketch: a power of two of at least four times the set's size, within these. So many rule out nearly
+#: Bits of a parity sketch: a power of two of at least eight times the set's size, within these. So many rule out nearly
 #: all pairs below a similarity of 0.79.
-SKETCH_BITS = (64, 1 << 18)
+SKETCH_BITS = (64, 1 << 19)
+#: Of the n-grams of one block's members, about so many on each side.
+BLOCK_GRAMS = 1 << 20
+#: A task signs equal sets once, as far as it remembers this many.
+REMEMBERED = 200_000
 #: Counters of n-grams, as a power of two, and how many of them make one row of the table.
 COUNTER_BITS = 20
 COUNTER_ROW = 1 << 12
@@ -147,7 +153,7 @@ def allocate(count: np.ndarray, cost: np.ndarray, need: int, deep: int) -> tuple
 def sketch(grams: np.ndarray) -> bytes:
     """Parities of the number of n-grams by hash; a sketch of half the bits is the exclusive or of the two halves."""
     low, high = SKETCH_BITS
-    bits = min(high, max(low, 1 << (4 * max(1, len(grams)) - 1).bit_length()))
+    bits = min(high, max(low, 1 << (8 * max(1, len(grams)) - 1).bit_length()))
     odd = np.bincount((mix(grams) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -193,6 +199,17 @@ def _profile_and_sign(parts: int, n: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = shared.value
+        signed_before: set[tuple[int, int]] = set()
+
+        def first(own: np.ndarray, fingerprint: tuple[int, int]) -> bool:
+            """Whether the set has not been signed in this task; a copy's links are those of the equal set."""
+            if not len(own) or fingerprint in signed_before:
+                return False
+            if len(signed_before) >= REMEMBERED:
+                signed_before.clear()
+            signed_before.add(fingerprint)
+            return True
+
         for batch in batches:
             ids = batch.column(0)
             known = ids.is_valid().to_numpy(zero_copy_only=False)
@@ -203,7 +220,10 @@ def _profile_and_sign(parts: int, n: int, shared):
                 size = np.array([len(s) for s in sets], np.int64)
                 low = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 high = np.array([mix(s ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                signed = [signatures(s, counters) if k else (np.zeros(0, np.uint64), False) for s, k in zip(sets, known[i:j])]
+                signed = [
+                    signatures(s, counters) if k and first(s, mark) else (np.zeros(0, np.uint64), False)
+                    for s, k, mark in zip(sets, known[i:j], zip(low.tolist(), high.tolist()))
+                ]
                 own = [s for s, _ in signed]
                 count = np.array([len(s) for s in own], np.int64)
                 sigs = np.concatenate(own) if own else np.zeros(0, np.uint64)
@@ -353,52 +373,122 @@ def links_of_lacking(docs: DataFrame, lacking: DataFrame, n: int, percent: int,
     return found
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that are of different components, and of which one looks the list up; without those that their
-    sizes or sketches rule out."""
-    us, vs, held = [], [], 0
+def _candidates(members: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """Members' ids, and for each two of them the bits in which their sketches differ; -1 for those that need no look:
+    of one component, of one side of the block, not asked for, or ruled out by size or sketch."""
+    doc, label, n, asks, side = (members.field(k).to_numpy(zero_copy_only=False) for k in ("class", "label", "n", "asks", "side"))
+    sketches = [np.frombuffer(x.as_py(), np.uint64) for x in members.field("sketch")]
+    width = np.array([len(x) for x in sketches])
+    apart = np.full((len(doc), len(doc)), -1, np.int32)
+    for own in np.unique(width).tolist():
+        # Sets that can link have sketches of one width or of twice that.
+        place = np.flatnonzero((width == own) | (width == 2 * own))
+        bits = np.stack([_folded(sketches[k], own) for k in place])
+        for at, i in enumerate(place.tolist()):
+            if width[i] != own:
+                continue
+            fits = (label[place] != label[i]) & (asks[place] | asks[i]) & ((width[place] > own) | (place < i))
+            fits &= 5 * np.minimum(n[place], n[i]) >= 4 * np.maximum(n[place], n[i])
+            if side.any():
+                fits &= side[place] != side[i]
+            other = np.flatnonzero(fits)
+            differ = np.bitwise_count(bits[other] ^ bits[at]).sum(axis=1).astype(np.int32)
+            near = differ <= (n[place[other]] + n[i]) // 9
+            other = place[other[near]]
+            apart[i, other] = apart[other, i] = differ[near]
+    return doc, apart
+
+
+def _forest(apart: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that join all members which candidate pairs join, the nearest first: at most one fewer than members.
+
+    Members of one component count as joined.
+    """
+    out, far = [], np.iinfo(np.int32).max
+    own = np.flatnonzero((apart >= 0).any(axis=1))
+    apart, label = apart[np.ix_(own, own)], label[own]
+    weight = np.where(apart < 0, far, apart)
+    outside = np.ones(len(label), bool)
+    reach, by = np.full(len(label), far, np.int32), np.zeros(len(label), np.int64)
+    while outside.any():
+        at = int(np.argmin(np.where(outside, reach, far)))
+        if not outside[at]:
+            at = int(np.flatnonzero(outside)[0])
+        elif reach[at] < far:
+            out.append((int(own[by[at]]), int(own[at])))
+        for new in np.flatnonzero(outside & (label == label[at])).tolist():
+            outside[new] = False
+            nearer = weight[new] < reach
+            reach[nearer], by[nearer] = weight[new][nearer], new
+    return out
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block a forest of pairs to compare, and the members that have a candidate at all. If all pairs of the forest
+    link, the block is settled."""
     for batch in batches:
+        rows, pairs, open_docs = [], [], []
         for row in range(batch.num_rows):
             members = batch.column("members")[row].values
-            doc, label, n, asks, side = (members.field(k).to_numpy(zero_copy_only=False) for k in ("class", "label", "n", "asks", "side"))
-            bits = _table(members.field("sketch"))
-            for i in range(len(doc)) if not side.any() else np.flatnonzero(side == 0).tolist():
-                other = np.flatnonzero(side == 1) if side.any() else np.arange(i + 1, len(doc))
-                fits = (label[other] != label[i]) & (asks[other] | asks[i]) & (5 * np.minimum(n[other], n[i]) >= 4 * np.maximum(n[other], n[i]))
-                other = other[fits]
-                other = other[np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1) <= (n[other] + n[i]) // 9]
-                us.append(np.minimum(doc[i], doc[other]))
-                vs.append(np.maximum(doc[i], doc[other]))
-                held += len(other)
-            if held > 200_000:
-                # Lists of one group repeat each other's pairs.
-                kept = _pair_batch(us, vs)
-                us, vs, held = [kept.column(0).to_numpy()], [kept.column(1).to_numpy()], 0
-                if kept.num_rows > 500_000:
-                    yield kept
-                    us, vs = [], []
-    yield _pair_batch(us, vs)
-
-
-def _table(sketches: pa.Array) -> np.ndarray:
-    """Sketches folded to the size of the smallest, a row each. Differing parities never outnumber differing n-grams."""
-    rows = [np.frombuffer(x.as_py(), np.uint64) for x in sketches]
-    width = min(len(r) for r in rows)
-    return np.stack([_folded(r, width) for r in rows])
+            doc, apart = _candidates(members)
+            tree = _forest(apart, members.field("label").to_numpy(zero_copy_only=False))
+            if tree:
+                rows.append(row)
+                pairs.append([{"u": min(doc[a], doc[b]), "v": max(doc[a], doc[b])} for a, b in tree])
+                open_docs.append(doc[(apart >= 0).any(axis=1)])
+        blocks = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("list", "i", "j")]
+        kind = pa.list_(pa.struct([("u", pa.int64()), ("v", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([*blocks, pa.array(pairs, kind), pa.array(open_docs, pa.list_(pa.int64()))], ["list", "i", "j", "pairs", "docs"])
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share."""
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    if not sets:
+        return out
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    used = times[number] > 1
+    _, number = np.unique(number[used], return_inverse=True)
+    owner = owner[used]
+    order = np.argsort(number, kind="stable")
+    number, owner = number[order], owner[order]
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, 2048):
+        low, high = np.searchsorted(number, [first, first + 2048])
+        held = np.zeros((len(sets), 2048), np.float32)
+        held[owner[low:high], number[low:high] - first] = 1
+        out += (held @ held.T).astype(np.int64)
+    return out
+
+
+def _block_links(n: int, percent: int):
+    """Compare all members of a block exactly; returns a forest of links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            us, vs = [], []
+            for row in range(batch.num_rows):
+                members = batch.column("members")[row].values
+                doc, label = (members.field(k).to_numpy(zero_copy_only=False) for k in ("doc", "label"))
+                data, bounds = utf8(members.field("text"))
+                sets = [s for i, j in slices(bounds) for s in shingle_sets(*words(data, bounds[i : j + 1], SPACED), n)]
+                both, size = shared_counts(sets), np.array([len(s) for s in sets])
+                linked = (both > 0) & (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (label[:, None] != label[None, :])
+                for a, b in _forest(np.where(linked, 0, -1), label):
+                    us.append(min(doc[a], doc[b]))
+                    vs.append(max(doc[a], doc[b]))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    return run
 
 
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """A smaller sketch of the same set. Differing parities never outnumber differing n-grams."""
     while len(bits) > width:
         bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
     return bits
 
 
-def _pair_batch(us: list, vs: list) -> pa.RecordBatch:
-    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-    both = np.unique(np.stack([u, v], 1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
-
-
 def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of the documents that link: ``id_col, n_shingles, component_id, class_id``.
 
@@ -446,35 +536,63 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     def labelled(frame: DataFrame, joined: DataFrame) -> DataFrame:
         return frame.join(joined, F.col("doc") == F.col("node"), "left").select(*frame.columns, F.coalesce("component", "doc").alias("label"))
 
+    def merged(joined: DataFrame, links: DataFrame) -> DataFrame:
+        """Components after more links: only the components that the links touch are worked on, each as one node."""
+        ends = labelled(links.select(F.col("u").alias("doc"), "v"), joined).select(F.col("label").alias("u"), F.col("v").alias("doc"))
+        ends = labelled(ends, joined).select("u", F.col("label").alias("v")).where("u <> v").distinct()
+        ends = stored(ends, "component-links")
+        if ends.isEmpty():
+            return joined
+        moves = stored(components(ends), "component-moves")
+        to = moves.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+        moved = joined.join(small_or_shuffled(to), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+        return stored(moved.union(moves.join(joined.select("node"), "node", "left_anti")), "components")
+
     seats = members.groupBy("list", "doc").agg(F.max("asks").alias("asks"))
     for turn in range(HUB_ROUNDS + 1):
         spread = stored(labelled(seats, joined), "labelled-members")
         hub = F.min_by(F.struct(F.col("doc").alias("hub"), F.col("label").alias("hub_label")), F.xxhash64("doc", F.lit(turn))).alias("h")
-        found = spread.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"), hub).where("lo <> hi")
-        open_lists = stored(found.select("list", F.ceil(F.col("k") / BLOCK).alias("blocks"), "h.*"), "open-lists")
+        found = spread.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub).where("lo <> hi")
+        open_lists = stored(found.select("list", "h.*"), "open-lists")
         if turn == HUB_ROUNDS:
             break
         # Members of other components meet one hub each before any pairs are formed.
         tried = spread.join(open_lists, "list").where("label <> hub_label").groupBy("doc", "hub").agg(F.count("*").alias("k"))
         tried = tried.groupBy("doc").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
         hub_pairs = stored(tried.select(F.col("doc").alias("u"), F.col("hub").alias("v")), "hub-pairs")
-        links = links.union(verified(texts, hub_pairs, n, percent))
-        joined = stored(components(links.union(same)), "components")
-    open_lists = open_lists.select("list", "blocks")
+        joined = merged(joined, verified(texts, hub_pairs, n, percent))
     told = profile.groupBy("doc").agg(F.max(F.struct("n", "sketch")).alias("p")).select("doc", F.col("p.n").alias("n"), F.col("p.sketch").alias("sketch"))
     told = stored(told, "sketches")
-    crossing = spread.join(open_lists, "list").join(told, "doc")
-    crossing = crossing.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+
+    # Open lists in blocks of one or two of their parts, so that each two members meet in one.
+    sized = spread.join(open_lists.select("list"), "list").join(told, "doc")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("blocks")
+    parts = stored(sized.groupBy("list").agg(parts), "list-parts")
+    crossing = sized.join(parts, "list").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
     crossing = crossing.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     member = F.struct(F.col("doc").alias("class"), "label", "n", "asks", "sketch", (F.col("own") > F.col("other")).cast("int").alias("side"))
     blocks = crossing.groupBy("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(member).alias("members"))
-    pairs = stored(blocks.select("members").mapInArrow(_cross_pairs, "u long, v long").distinct(), "cross-pairs")
-    more = verified(texts, pairs, n, percent)
+    forests = stored(blocks.mapInArrow(_block_pairs, "list long, i long, j long, pairs array<struct<u:long,v:long>>, docs array<long>"), "block-forests")
+    asked = forests.select("list", "i", "j", F.explode("pairs").alias("p")).select("list", "i", "j", "p.u", "p.v")
+    more = verified(texts, stored(asked.select("u", "v").distinct(), "forest-pairs"), n, percent)
+    # Where a pair of the forest does not link, other pairs may: what is left open in those blocks is compared exactly.
+    unsettled = stored(asked.join(more, ["u", "v"], "left_anti").select("list", "i", "j").distinct(), "unsettled-blocks")
+    if not unsettled.isEmpty():
+        joined, more = merged(joined, more), more.limit(0)
+        left = stored(forests.join(unsettled, ["list", "i", "j"]).select("list", "i", "j", "docs"), "unsettled-docs")
+        # Lists of one group repeat each other: of blocks with the same documents one is enough.
+        once = left.withColumn("docs", F.array_sort("docs")).dropDuplicates(["docs"])
+        left = labelled(once.select("list", "i", "j", F.explode("docs").alias("doc")), joined)
+        several = left.groupBy("list", "i", "j").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        left = stored(left.join(stored(several.select("list", "i", "j"), "open-blocks"), ["list", "i", "j"]), "open-members")
+        exact = left.join(texts.join(small_or_shuffled(stored(left.select("doc").distinct(), "open-docs")), "doc"), "doc")
+        exact = exact.groupBy("list", "i", "j").agg(F.collect_list(F.struct("doc", "label", "text")).alias("members"))
+        more = more.union(stored(exact.select("members").mapInArrow(_block_links(n, percent), "u long, v long").distinct(), "block-links"))
     lacking = profile.where("flag").select("doc").distinct()
     if not lacking.isEmpty():
         for found in links_of_lacking(texts, stored(lacking, "lacking"), n, percent):
             more = more.union(found)
-    final = components(more.union(links).union(same))
+    final = merged(joined, more)
     out = profile.join(final, F.col("doc") == F.col("node"), "left").join(lead.withColumnRenamed("doc", "_doc"), F.col("doc") == F.col("_doc"), "left")
     return out.select(
         F.col("doc").alias(id_col),
