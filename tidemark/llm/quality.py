@@ -14,6 +14,8 @@ from tidemark.llm.text import MARKS, grams, slices, utf8, words
 
 #: Labelled rows that training reads at most (in expectation; rows are picked by a hash of their id).
 TRAIN_ROWS = 20_000
+#: Parts in which the driver reads them, each epoch: of 20,000 rows about two megabytes.
+FETCHES = 64
 BITS = 18
 THRESHOLD = 0.7
 EPOCHS = 2
@@ -86,7 +88,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, id_col
         return Model(np.zeros(1 << BITS, np.float32), False)
 
     def epoch() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for r in sample.orderBy(*_PACKED).drop("pick").toLocalIterator():
+        # By number, so that partitions stay small: the driver holds one of them.
+        ordered = sample.repartitionByRange(FETCHES, "pick").sortWithinPartitions(*_PACKED).drop("pick")
+        for r in ordered.toLocalIterator():
             yield r["label"], np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["times"], "<i4")
 
     return fit(epoch)
