@@ -84,3 +84,8 @@ def test_scores_are_sparse_dot_products(rng):
         buckets, _ = quality.features(*text.words(data, bounds[k : k + 2], text.MARKS))
         total = sum(float(weights[b]) for b in buckets.tolist()) / math.sqrt(max(1, len(buckets))) + float(weights[0])
         assert abs(got[k] - 1 / (1 + math.exp(-max(-35, min(35, total))))) < 1e-5
+
+
+def test_a_text_column_travels_once(docs):
+    scored = quality.score_texts(docs([(1, "x")]), quality.Model(np.zeros(1 << quality.BITS, np.float32), True))
+    assert "_text" not in scored._jdf.queryExecution().analyzed().toString()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.store import stored
 from tidemark.llm.text import MARKS, grams, slices, utf8, words
@@ -131,13 +131,15 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     """All columns of ``docs`` and ``_score``, the probability of label 1 by the whole text.
 
     Null and empty texts get the score of the bias alone. Rows are scored one by one, so repeated rows, null ids and
-    further columns play no part; a column named ``_score`` is replaced.
+    further columns play no part; a column named ``_score`` is replaced. A text that is one of the columns travels once.
     """
     names = [c for c in docs.columns if c != "_score"]
+    at = names.index(text_col) if text_col in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores(model, batch.columns[-1]))], [*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(scores(model, batch.columns[at]))], [*names, "_score"])
 
-    rows = docs.select(*names, F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, rows.drop("_text").schema.add("_score", "double"))
+    rows = docs.select(*names)
+    schema = T.StructType([*rows.schema, T.StructField("_score", T.DoubleType())])
+    return (rows if at < len(names) else docs.select(*names, F.col(text_col).alias("_text"))).mapInArrow(run, schema)
