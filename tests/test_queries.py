@@ -45,3 +45,11 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     frame = pd.DataFrame([tuple(r) for r in got.collect()], columns=got.columns)
     assert len(frame) == len(expected) > 0
     assert rows_of(plain(frame)) == rows_of(plain(expected))
+
+
+def test_landed_triggers_have_a_file_for_each_core(spark):
+    from pyspark.sql import functions as F
+    from tidemark.plans.queries import _landed
+
+    path, _, files = _landed(spark, spark.range(200_000).select(F.col("id").alias("seq")), 2)
+    assert files == spark.sparkContext.defaultParallelism and spark.read.parquet(path).count() == 200_000

@@ -60,7 +60,7 @@ def mark_numbers(value: Column) -> Column:
     """JSON text with every number as a marked string, so that parsing keeps its digits as they are written."""
     split = F.regexp_replace(value, STRING_OR_NUMBER, f"$1{OPENS}$2{CLOSES}")
     numbers = F.replace(split, F.lit(OPENS + CLOSES), F.lit(""))
-    marked = F.regexp_replace(numbers, f"{OPENS}([^{CLOSES}]*){CLOSES}", f'"{NUMBER_MARK}$1{NUMBER_MARK}"')
+    marked = F.replace(F.replace(numbers, F.lit(OPENS), F.lit(f'"{NUMBER_MARK}')), F.lit(CLOSES), F.lit(f'{NUMBER_MARK}"'))
     return F.when(value.contains(OPENS) | value.contains(CLOSES), value).otherwise(marked)
 
 

@@ -529,19 +529,23 @@ def config_join_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Rows of one landed file: every trigger takes the same number of files, all of them far from empty.
 FILE_ROWS = 250_000
+#: A trigger has a file for each core, if they hold this many rows: a file is one task of everything that the batch does.
+CORE_ROWS = 10_000
 
 
 def _landed(spark: SparkSession, df: DataFrame, parts: int = 4, before: int = 0) -> tuple[str, str, int]:
-    """Write rows in arrival order, ``parts`` triggers after ``before`` empty ones; the folder, the schema and the files of a trigger."""
-    staged, path = shared_folder(spark, "staged"), shared_folder(spark, "landed")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
-    files = max(1, rows.count() // parts // FILE_ROWS)
-    cuts = rows.stat.approxQuantile("seq", [i / parts for i in range(1, parts)], 0.001) if parts > 1 else []
+    """Write rows in arrival order, ``parts`` triggers after ``before`` empty ones; the folder, the schema and the files of a trigger.
+
+    Counting and cutting read the arrival numbers only, and each part writes its own rows, so text is made once.
+    """
+    path = shared_folder(spark, "landed")
+    rows = df.count() // parts
+    files = max(1, min(spark.sparkContext.defaultParallelism, rows // CORE_ROWS), rows // FILE_ROWS)
+    cuts = df.select("seq").stat.approxQuantile("seq", [i / parts for i in range(1, parts)], 0.001) if parts > 1 else []
     for _ in range(before * files):
-        rows.limit(0).write.mode("append").parquet(path)
+        df.limit(0).write.mode("append").parquet(path)
     for low, high in zip([None, *cuts], [*cuts, None]):
-        part = rows.where((F.lit(True) if low is None else F.col("seq") > low) & (F.lit(True) if high is None else F.col("seq") <= high))
+        part = df.where((F.lit(True) if low is None else F.col("seq") > low) & (F.lit(True) if high is None else F.col("seq") <= high))
         part.repartition(files).write.mode("append").parquet(path)
     return path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), files
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,6 +42,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table that the optimiser sees to be empty; one made from a list is a job with Python workers."""
+    fields = T.StructType.fromDDL(schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where(F.lit(False))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in any file system that Spark reads."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changelog import latest_per_key
-from tidemark.session import path_exists
+from tidemark.session import no_rows, path_exists
 
 # Fixed value: the change type of a removed source row.
 DELETE_TYPE = "delete"
@@ -90,7 +90,7 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
         "row_key string, type string, data map<string,string>, seq bigint, batch_id bigint, sink_table string"
     )
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from tidemark.session import path_exists
+from tidemark.session import no_rows, path_exists
 from tidemark.sinks.dimensions import DELETE_TYPE, PRIMARY_KEY_PROPERTY, _quoted, keyed, read_changes
 
 BUCKETS = 16
@@ -69,7 +69,7 @@ def fold_entries(entries: DataFrame) -> DataFrame:
 def read_store(spark: SparkSession, store: str) -> DataFrame:
     """All rows, removed ones included; none before the first batch."""
     if not path_exists(spark, store):
-        return spark.createDataFrame([], STORE_SCHEMA)
+        return no_rows(spark, STORE_SCHEMA)
     return spark.read.schema(STORE_SCHEMA).parquet(store)
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tidemark.session import read_note, write_note
+from tidemark.session import no_rows, read_note, write_note
 
 FOLD_EVERY = 20
 
@@ -69,7 +69,7 @@ class StateTable:
     def _read(self, paths: list[str], keys: DataFrame | None = None) -> DataFrame:
         schema = f"{self.schema}, version bigint, block int"
         if not paths:
-            return self.spark.createDataFrame([], schema).drop("block")
+            return no_rows(self.spark, schema).drop("block")
         rows = self.spark.read.schema(schema).parquet(*paths)
         if keys is not None:
             touched = keys.select(block_of(self.key).alias("block")).distinct().limit(MAX_BLOCKS + 1).collect()
