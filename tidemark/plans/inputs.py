@@ -15,16 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) ->
     return spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+#: Rows of one task that writes or parses text.
+TASK_ROWS = 250_000
+
+
 def _spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the files have fewer splits than that.
+    """Rows dealt evenly over all cores, and over more tasks than that if there are many.
 
-    Writing and parsing text is costly per row, and a small table is a single
-    split. A large one has enough splits and is not shuffled.
+    Writing and parsing text is costly per row. A split of a file says little about its rows: a Parquet row group, of
+    any length, goes to one split, and the others of the file stay empty. The rows are few columns without text yet.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(cores, -(-df.count() // TASK_ROWS)))
 
 
 def _counter() -> F.Column:
