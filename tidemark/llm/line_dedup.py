@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.store import small_or_shuffled, stored
+from tidemark.llm.text import slices, utf8
 
 STRIPPED = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -40,7 +41,7 @@ def _keys(min_chars: int):
 
 def _drop(min_chars: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in slices(utf8(b.column("text"))[1])):
             texts = batch.column("text").cast(pa.binary())
             drops = batch.column("_drop")
             kept, lines, dropped = [], [], []

@@ -138,7 +138,9 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(scores(model, batch.columns[at]))], [*names, "_score"])
+            for i, j in slices(utf8(batch.column(at))[1]):
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(scores(model, part.column(at)))], [*names, "_score"])
 
     rows = docs.select(*names)
     schema = T.StructType([*rows.schema, T.StructField("_score", T.DoubleType())])
